@@ -236,7 +236,7 @@ def touched_paths(v: Views):
 
 @query("x34_omit_bodies", """
 SELECT number, pos, string_agg('diff --git a/' || path || ' b/' || path || chr(10) || '--- a/' || path || chr(10) || '+++ b/' || path || chr(10)
-  || '[diff body omitted]', chr(10) ORDER BY file_no) AS patch FROM v_files GROUP BY number, pos""")
+  || '[HUNK CONTENT OMITTED]', chr(10) ORDER BY file_no) AS patch FROM v_files GROUP BY number, pos""")
 def omit_bodies(v: Views):
     return v.patches().select(*ID, P.omit_bodies(F.col("patch")).alias("patch"))
 
@@ -258,9 +258,9 @@ WITH t AS (SELECT number, pos, file_no, path, 'diff --git a/' || path || ' b/' |
     || chr(10) || string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT line LIKE ' %') AS text,
     'diff --git a/' || path || ' b/' || path || chr(10) || '--- a/' || path || chr(10) || '+++ b/' || path || chr(10) || string_agg(line, chr(10) ORDER BY line_no) AS whole
   FROM v_lines GROUP BY number, pos, file_no, path),
-  s AS (SELECT number, pos, file_no, CASE WHEN length(whole) <= 100 THEN whole ELSE text END AS text FROM t)
-SELECT number, pos, file_no::BIGINT AS file_no, text, length(text)::BIGINT AS size FROM s
-QUALIFY coalesce(sum(length(text)) OVER (PARTITION BY number, pos ORDER BY file_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) <= 120""")
+  s AS (SELECT number, pos, file_no, CASE WHEN length(whole) <= 100 OR length(patch) <= 120 THEN whole ELSE text END AS text FROM t JOIN v_patches USING (number, pos))
+SELECT number, pos, file_no::BIGINT AS file_no, text, (length(text) + 1)::BIGINT AS size FROM s
+QUALIFY coalesce(sum(length(text) + 1) OVER (PARTITION BY number, pos ORDER BY file_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) <= 120""")
 def summarise_large(v: Views):
     df = diffs.summarise_large(v.patches(), ID, budget=120, whole_below=100)
     return _long(df, "file_no").drop("path")

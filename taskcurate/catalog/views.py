@@ -61,9 +61,10 @@ class Views:
 
     def comments(self) -> DataFrame:
         return self.table("events").selectExpr(
-            "event_id div 10 AS issue",
+            "event_id % 100 AS issue",
+            "event_id div 10 AS thread",
             "event_id AS comment_id",
-            "(event_id * 7) % 10 AS ord",
+            "((event_id div 100) * 7) % 10 AS ord",
             "ts AS updated_at",
             "CASE event_type WHEN 'error' THEN '' ELSE concat(event_type, ' note') END AS body",
             "CASE event_type WHEN 'click' THEN 'Bot' ELSE 'User' END AS user_type",
@@ -235,7 +236,7 @@ SQL_VIEWS = {
         CASE l_suppkey % 5 WHEN 0 THEN 'Fixes #' || l_partkey % 83 || ' quickly' WHEN 1 THEN 'add feature'
           WHEN 2 THEN 'Merge pull request #' || l_orderkey || ' from x' WHEN 3 THEN 'tidy (#' || l_orderkey || ')'
           ELSE 'Refactor core' END AS message FROM v_items""",
-    "v_comments": """SELECT event_id // 10 AS issue, event_id AS comment_id, (event_id * 7) % 10 AS ord, ts AS updated_at,
+    "v_comments": """SELECT event_id % 100 AS issue, event_id // 10 AS thread, event_id AS comment_id, ((event_id // 100) * 7) % 10 AS ord, ts AS updated_at,
         CASE event_type WHEN 'error' THEN '' ELSE event_type || ' note' END AS body,
         CASE event_type WHEN 'click' THEN 'Bot' ELSE 'User' END AS user_type FROM events""",
     "v_files": """SELECT l_orderkey AS number, pos, f AS file_no,

@@ -349,7 +349,7 @@ def new_file_diff(path: Column, content: Column) -> Column:
     return F.concat(head, F.array_join(F.transform(ls, lambda l: F.concat(F.lit("+"), l)), "\n"))
 
 
-def omit_bodies(patch: Column, marker: str = "[diff body omitted]") -> Column:
+def omit_bodies(patch: Column, marker: str = "[HUNK CONTENT OMITTED]") -> Column:
     """Keep file headers; one marker stands for all hunks of a file."""
     return F.array_join(
         F.transform(
