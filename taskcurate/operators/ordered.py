@@ -9,7 +9,7 @@ the only step that still sees a whole key works on those summary rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -129,3 +129,28 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     row = F.struct(*[F.col(c) for c in df.columns if c not in keys])
     best = df.groupBy(*keys).agg(F.max_by(row, F.struct(*order)).alias("_row"))
     return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+
+
+def top_rows(
+    df: DataFrame, keys: Sequence[str], score: str, tie: str, tie_block: Column, size_of: Callable[[Column], Column]
+) -> DataFrame:
+    """The best rows of each group by falling ``score``, ties by rising ``tie``.
+
+    ``size_of`` turns the group size into the number of rows wanted.  The cut
+    is found on counts per (group, score); only rows that share the score at
+    the cut have to be numbered.
+    """
+    hist = df.groupBy(*keys, score).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = hist.groupBy(*keys).agg(F.sum("_n").alias("_size"))
+    above = running(hist, keys, [F.col(score).desc()], [-log_bucket(F.col(score))], exclusive=True, _above=("sum", F.col("_n")))
+    cut = (
+        above.join(sizes, list(keys))
+        .withColumn("_want", size_of(F.col("_size")) - F.col("_above"))
+        .filter("_want > 0")
+        .select(*keys, score, F.when(F.col("_want") < F.col("_n"), F.col("_want")).alias("_want"))
+    )
+    on = [*keys, score]
+    whole = df.join(cut.filter("_want IS NULL").drop("_want"), on)
+    shared = df.join(cut.filter("_want IS NOT NULL"), on)
+    part = numbered(shared, on, [F.col(tie)], [tie_block], "_rank").filter("_rank <= _want").drop("_rank", "_want")
+    return whole.select(*df.columns).unionByName(part.select(*df.columns))
