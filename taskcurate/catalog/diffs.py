@@ -160,7 +160,7 @@ def case_file_edit(v: Views):
 
 
 @query("f30_keyword_search", """
-SELECT DISTINCT path FROM v_files WHERE contains(lower(path), 'm1') ORDER BY path LIMIT 50""")
+SELECT DISTINCT path FROM v_files WHERE contains(lower(regexp_extract(path, '[^/]*$')), 'm1') ORDER BY path LIMIT 50""")
 def keyword_search(v: Views):
     from ..operators.instances import search_paths
 

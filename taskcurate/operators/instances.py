@@ -49,8 +49,8 @@ def funnel(df: DataFrame, steps: dict[str, Column], switched_off: Sequence[str]
 
 
 def search_paths(df: DataFrame, keyword: str, limit: int = 50) -> DataFrame:
-    """First ``limit`` paths that hold the keyword in any case (a report, so limited)."""
-    hits = df.filter(F.lower("path").contains(keyword.lower())).select("path").distinct()
+    """First ``limit`` paths whose file name holds the keyword in any case (a report, so limited)."""
+    hits = df.filter(F.lower(paths.basename(F.col("path"))).contains(keyword.lower())).select("path").distinct()
     return hits.orderBy("path").limit(limit)
 
 
