@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .titles import strip
+from .common import strip
 
 _FUNCTION = r"<function\s*=\s*([^>]+)>"
 _PARAMETER = r"(?s)<parameter\s*=\s*([^>]+)>(.*?)</parameter>"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .titles import strip
+from .common import strip
 
 # Hints that a failure comes from the environment, not the code.
 INFRA_KEYWORDS = (

@@ -6,15 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import paths
+from .common import let
 
 FILE_HEAD = "diff --git a/"
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and hand it to ``body``; a filter would inline it per use."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def lines(text: Column) -> Column:
     return F.split(text, "\n")
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .common import strip
+
 # Words that mark an issue as resolved.
 RESOLVING_WORDS = ("close", "closes", "closed", "fix", "fixes", "fixed", "resolve", "resolves", "resolved")
 
@@ -69,11 +71,6 @@ def statement_from_pull(title: Column, body: Column) -> Column:
     return strip(F.concat(F.coalesce(title, F.lit("")), F.lit("\n\n"), text))
 
 
-def strip(text: Column) -> Column:
-    """Trim white space of any kind on both ends."""
-    return F.regexp_replace(text, r"^\s+|\s+\z", "")
-
-
 def ticket_title(text: Column) -> Column:
     return strip(F.regexp_replace(text, r"\s+", " "))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import titles
+from ..functions.common import strip
 from .ordered import running
 
 
@@ -44,7 +45,7 @@ def gated_comments(comments: DataFrame, commits: DataFrame, prefix: bool = True)
 
 def joined_bodies(comments: DataFrame, separator: str = "\n\n---\n\n") -> DataFrame:
     """One hint text per issue: non-empty bodies in list order."""
-    body = titles.strip(F.col("body"))
+    body = strip(F.col("body"))
     parts = comments.select("issue", "ord", "comment_id", body.alias("body")).filter("body <> ''")
     rows = F.array_sort(F.collect_list(F.struct("ord", "comment_id", "body")))
     return parts.groupBy("issue").agg(F.array_join(F.transform(rows, lambda r: r["body"]), separator).alias("hints"))

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.common import let
 from ..functions.paths import basename
 
 # File name pattern, test module, suite, prefix; in order of precedence.
@@ -125,10 +126,14 @@ def version_in_text(repo: Column, text: Column) -> Column:
     for patterns, names in by_patterns.items():
         found = F.coalesce(*[F.when(body.rlike(p), F.regexp_extract(body, p, 1)) for p in patterns])
         raw = F.when(repo.isin(*names), found) if raw is None else raw.when(repo.isin(*names), found)
-    compact = F.replace(raw, F.lit(" "), F.lit(""))
-    dots = F.when(compact.contains("."), F.substring_index(compact, ".", 2)).otherwise(compact)
-    pair = F.when(dots.contains(","), F.replace(F.substring_index(dots, ",", 2), F.lit(","), F.lit("."))).otherwise(dots)
-    return F.regexp_replace(pair, r"[^0-9.]", "")
+
+    def short(found: Column) -> Column:
+        compact = F.replace(found, F.lit(" "), F.lit(""))
+        sep = F.when(compact.contains("."), F.lit(".")).otherwise(F.lit(","))
+        pair = F.array_join(F.slice(F.split(compact, r"[.,]"), 1, 2), ".")
+        return F.when(compact.contains(sep), F.regexp_replace(pair, r"[^0-9.]", "")).otherwise(F.regexp_replace(compact, r"[^0-9.]", ""))
+
+    return let(raw, short)
 
 
 def version_from_text(df: DataFrame, keys: Sequence[str], number: str = "number") -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.common import strip
+
 
 def keep_or_reject(votes: DataFrame) -> DataFrame:
     """Majority per instance, a tie keeps; the first vote of the winning side speaks for it."""
@@ -114,10 +116,10 @@ def json_block(text: Column) -> Column:
     """First fenced json block, else the first fenced block that is valid JSON, else the text itself."""
     fenced = F.regexp_extract_all(text, F.lit(r"(?i)```json([\s\S]*?)```"), 1)
     other = F.filter(
-        F.transform(F.regexp_extract_all(text, F.lit(r"```([\s\S]*?)```"), 1), lambda b: _strip(b)),
+        F.transform(F.regexp_extract_all(text, F.lit(r"```([\s\S]*?)```"), 1), lambda b: strip(b)),
         lambda b: F.try_parse_json(b).isNotNull(),
     )
-    return F.coalesce(_strip(F.get(fenced, F.lit(0))), F.get(other, F.lit(0)), text)
+    return F.coalesce(strip(F.get(fenced, F.lit(0))), F.get(other, F.lit(0)), text)
 
 
 def braces(text: Column) -> Column:
@@ -128,10 +130,6 @@ def braces(text: Column) -> Column:
     )
 
 
-def _strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+\z", "")
-
-
 def parsed_answer(text: Column, schema: str, key: str, default: str) -> Column:
     """Struct of the answer; an answer that is not JSON yields ``default`` in ``key``."""
     body = braces(text)
