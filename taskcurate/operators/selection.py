@@ -49,11 +49,16 @@ def select_best(cands: DataFrame, mode: str) -> DataFrame:
     return SELECTORS[mode](cands)
 
 
-def yes_probability(logp_yes: Column, logp_no: Column, missing: float = -10000.0) -> Column:
-    """P(yes) from two log-probabilities; null when both vanish."""
+def yes_probability(logp_yes: Column, logp_no: Column, missing: float = -10000.0, digits: int | None = None) -> Column:
+    """P(yes) from two log-probabilities; null when both vanish.
+
+    With ``digits`` the result is rounded, so that equal odds tie whatever
+    their last bits are.
+    """
     yes = F.exp(F.coalesce(logp_yes, F.lit(missing)))
     no = F.exp(F.coalesce(logp_no, F.lit(missing)))
-    return F.when(yes + no > 0, yes / (yes + no))
+    p = F.when(yes + no > 0, yes / (yes + no))
+    return p if digits is None else F.round(p, digits)
 
 
 def submission(df: DataFrame, model: str) -> DataFrame:
