@@ -53,7 +53,7 @@ def label_matrix(v: Views):
 
 @query("a11_box_figures", f"""
 WITH {_LABELLED}, s AS (SELECT number, pos, count(*) FILTER (line LIKE '+%' OR line LIKE '-%') AS size FROM v_lines GROUP BY ALL)
-SELECT type, count(*) AS n, min(size)::BIGINT AS low, max(size)::BIGINT AS high, round(quantile_cont(size, 0.25), 6)::DOUBLE AS q1, round(quantile_cont(size, 0.5), 6)::DOUBLE AS median,
+SELECT type, count(*) AS n, min(size)::DOUBLE AS low, max(size)::DOUBLE AS high, round(quantile_cont(size, 0.25), 6)::DOUBLE AS q1, round(quantile_cont(size, 0.5), 6)::DOUBLE AS median,
   round(quantile_cont(size, 0.75), 6)::DOUBLE AS q3, floor(quantile_cont(size, 0.5))::BIGINT AS median_shown FROM s JOIN l USING (number) GROUP BY type""")
 def box_figures(v: Views):
     sizes = v.patches().select("number", P.n_changed(F.col("patch")).cast("long").alias("size")).join(_labelled(v), "number")

@@ -33,8 +33,8 @@ def yes_probability(v: Views):
 
 
 @query("d02_selector_by_name", """
-SELECT 'ef' AS mode, count(*) AS images, sum(cand)::BIGINT AS cands FROM (SELECT image, arg_max(cand, (verifier_prob, -cand)) AS cand FROM v_cands GROUP BY image)
-UNION ALL SELECT 'eb', count(*), sum(cand)::BIGINT FROM (SELECT image, arg_max(cand, (regression_pass, reproduction_score, -cand)) AS cand FROM v_cands GROUP BY image)""")
+SELECT 'ef' AS mode, count(*) AS images, sum(cand % 1000)::BIGINT AS cands FROM (SELECT image, arg_max(cand, (verifier_prob, -cand)) AS cand FROM v_cands GROUP BY image)
+UNION ALL SELECT 'eb', count(*), sum(cand % 1000)::BIGINT FROM (SELECT image, arg_max(cand, (regression_pass, reproduction_score, -cand)) AS cand FROM v_cands GROUP BY image)""")
 def selector_by_name(v: Views):
-    parts = [S.select_best(v.cands(), m).agg(F.lit(m).alias("mode"), F.count(F.lit(1)).alias("images"), F.sum("cand").alias("cands")) for m in ("ef", "eb")]
+    parts = [S.select_best(v.cands(), m).agg(F.lit(m).alias("mode"), F.count(F.lit(1)).alias("images"), F.sum(F.col("cand") % 1000).alias("cands")) for m in ("ef", "eb")]
     return parts[0].unionByName(parts[1])

@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 from ..operators.ordered import numbered
 
 
+def stored(df: DataFrame, column: str) -> DataFrame:
+    """Make a computed text behave like a stored column: filters do not repeat its expression."""
+    return df.withColumn(column, F.explode(F.array(column)))
+
+
 class Views:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -22,14 +27,21 @@ class Views:
     # -- pull requests and commits -------------------------------------------------
 
     def items(self) -> DataFrame:
-        """lineitem with ``pos``, its place inside the order."""
-        return numbered(
-            self.table("lineitem"),
-            ["l_orderkey"],
-            [F.col(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")],
-            [F.col("l_linenumber"), F.expr("l_partkey div 500")],
-            "pos",
-        )
+        """lineitem with ``pos``, a number that orders the rows of an order.
+
+        It is put together from the columns of the row (a scan, no shuffle)
+        and leaves gaps.
+        """
+        return self.table("lineitem").withColumn("pos", F.expr(
+            """l_linenumber * 10000000000000000L + l_partkey % 1000000 * 10000000000L + l_suppkey % 10000 * 1000000L
+               + cast(floor(l_extendedprice) AS bigint) % 1000000"""))
+
+    def spread_items(self) -> DataFrame:
+        """Items over all cores where the file has fewer splits (small test files do)."""
+        df, cores = self.items(), self.spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+        return df.repartition(cores, "l_orderkey", "pos")
 
     def pulls(self) -> DataFrame:
         return self.table("orders").selectExpr(
@@ -74,7 +86,7 @@ class Views:
 
     def patch_files(self) -> DataFrame:
         """One row per commit; ``files`` is an array of (file_no, path, lines)."""
-        rows = self.items().selectExpr(
+        rows = self.spread_items().selectExpr(
             "l_orderkey AS number", "pos", "l_partkey AS pk", "l_suppkey AS sk",
             "cast(l_quantity AS int) AS q", "1 + l_linenumber % 3 AS n_files",
         )
@@ -94,13 +106,14 @@ class Views:
 
     def patches(self) -> DataFrame:
         """One row per commit with the whole patch as text."""
-        return self.patch_files().selectExpr(
+        df = self.patch_files().selectExpr(
             "number",
             "pos",
             """array_join(transform(heads, f -> array_join(concat(
                  array(concat('diff --git a/', f.path, ' b/', f.path), concat('--- a/', f.path), concat('+++ b/', f.path)),
                  body), '\\n')), '\\n') AS patch""",
         )
+        return stored(df, "patch")
 
     def raw_lines(self) -> DataFrame:
         """The lines inside hunks, keyed like the parser's output (built without it)."""
@@ -117,7 +130,7 @@ class Views:
             "l_orderkey div 4 AS number", "l_orderkey", "pos", "concat('src/m', l_partkey, '.py') AS path"
         )
         return numbered(
-            items, ["number"], [F.col("l_orderkey"), F.col("pos")], [F.col("l_orderkey"), F.expr("pos div 500")], "file_pos"
+            items, ["number"], [F.col("l_orderkey"), F.col("pos")], [F.col("l_orderkey"), F.expr("pos div 10000000000000000")], "file_pos"
         ).select("number", "file_pos", "path")
 
     def entities(self) -> DataFrame:
@@ -170,7 +183,7 @@ class Views:
 
     def logs(self) -> DataFrame:
         """Raw console output, one log per item."""
-        return self.items().selectExpr(
+        df = self.spread_items().selectExpr(
             "l_orderkey AS instance",
             "pos",
             """concat('start\\n', array_join(transform(sequence(0, cast(l_quantity AS int) % 5 + 1), i -> concat(
@@ -180,6 +193,7 @@ class Views:
                 '\\n=== short test summary info ===\\nFAILED tests/t', l_partkey % 3, '.py::K::test_', l_suppkey % 4, ' - boom\\nPASSED tests/a.py::test_ok\\nERROR tests/b.py::test_', l_suppkey % 3, ' - bad\\n',
                 CASE WHEN l_tax > 0.02 THEN concat('RUN_EXIT_CODE=', cast(l_quantity AS int) % 2, '\\n') ELSE '' END, 'done') AS log""",
         )
+        return stored(df, "log")
 
     def traj(self) -> DataFrame:
         return self.table("conversations").selectExpr(
@@ -222,8 +236,8 @@ class Views:
 
 
 SQL_VIEWS = {
-    "v_items": """SELECT *, row_number() OVER (PARTITION BY l_orderkey
-        ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS pos FROM lineitem""",
+    "v_items": """SELECT *, l_linenumber::BIGINT * 10000000000000000 + l_partkey % 1000000 * 10000000000 + l_suppkey % 10000 * 1000000
+        + floor(l_extendedprice)::BIGINT % 1000000 AS pos FROM lineitem""",
     "v_pulls": """SELECT o_orderkey AS number, 'org' || o_custkey % 7 || '/proj' AS repo, o_orderdate AS created_at,
         CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS merged_at,
         CASE o_orderkey % 6 WHEN 0 THEN 'Fix crash #' || o_orderkey % 97 WHEN 1 THEN 'Docs typo' WHEN 2 THEN 'feat: add cache'

@@ -1,10 +1,10 @@
-"""Running aggregates that survive a hot key.
+"""Running aggregates, ranks and percentiles that survive a hot key.
 
-A window partitioned by a key sends all rows of that key to one task.  The
-operators here cut each key into *blocks* (a coarse, order-preserving prefix of
-the sort key), run the window inside a block, and add what earlier blocks
-contribute.  The contribution comes from one small row per (key, block), so
-the only step that still sees a whole key works on those summary rows.
+A window partitioned by a key sends all rows of that key to one task.  Here
+only keys of moderate size take that path.  A *heavy* key is cut into blocks (a
+coarse, order-preserving prefix of the sort key): the window runs inside a
+block, and what earlier blocks contribute is added from one summary row per
+block.  Which keys are heavy is found by counting first; see ``HEAVY_ROWS``.
 """
 
 from __future__ import annotations
@@ -23,20 +23,58 @@ def _merge(fn: str, local: Column, carry: Column) -> Column:
     return F.greatest(local, carry) if fn == "max" else F.least(local, carry)
 
 
+# A key is heavy above this many rows, and above this share of all rows.  The
+# share bounds the number of heavy keys, which are broadcast, at 10,000.
+HEAVY_ROWS = 1_000_000
+HEAVY_SHARE = 1e-4
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], above: int | None = None, counted: Column | None = None) -> DataFrame:
+    """Keys whose windows would be too large for one task; at most ``1 / HEAVY_SHARE`` rows.
+
+    ``counted`` is a never-null column to count.  Naming one keeps the columns
+    of an aggregated input as they are, so that its shuffle is reused.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1) if counted is None else counted).alias("_rows"))
+    total = counts.agg(F.sum("_rows").alias("_all"), F.lit(1).alias("_one"))
+    counts = counts.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")  # exactly one row
+    limit = F.lit(HEAVY_ROWS if above is None else above)
+    return counts.filter(F.col("_rows") > F.greatest(limit, F.col("_all") * HEAVY_SHARE)).select(*keys)
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
     block: Sequence[Column],
     exclusive: bool = False,
+    heavy_above: int | None = None,
+    counted: Column | None = None,
     **measures: tuple[str, Column],
 ) -> DataFrame:
     """Add running ``sum``/``max``/``min`` columns per ``keys`` in ``order``.
 
     ``measures`` maps a new column name to ``(fn, column)``.  ``block`` must be
     non-null and must rise with ``order``; ``keys`` must be non-null and
-    ``order`` total.  With ``exclusive`` the current row is left out.
+    ``order`` total.  With ``exclusive`` the current row is left out.  Without
+    keys the whole table is one heavy key.
     """
+    if not keys:
+        return _running_in_blocks(df, keys, order, block, exclusive, measures)
+    heavy = F.broadcast(heavy_keys(df, keys, heavy_above, counted))
+    light = df.join(heavy, list(keys), "left_anti")
+    frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+
+    def whole(fn: str, c: Column) -> Column:
+        out = _FOLD[fn](c).over(frame)
+        return F.coalesce(out, F.lit(0)) if fn == "sum" else out
+
+    light = light.withColumns({n: whole(fn, c) for n, (fn, c) in measures.items()})
+    rest = _running_in_blocks(df.join(heavy, list(keys), "left_semi"), keys, order, block, exclusive, measures)
+    return light.select(*rest.columns).unionByName(rest)
+
+
+def _running_in_blocks(df, keys, order, block, exclusive, measures) -> DataFrame:
     blocks = [f"_block{i}" for i in range(len(block))]
     src = df.withColumns(dict(zip(blocks, block)))
     local = (
@@ -63,10 +101,11 @@ def running(
 
 
 def numbered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], block: Sequence[Column], name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], block: Sequence[Column], name: str,
+    heavy_above: int | None = None,
 ) -> DataFrame:
-    """``row_number`` per ``keys`` (1-based, long) without a whole-key window."""
-    return running(df, keys, order, block, **{name: ("sum", F.lit(1).cast("long"))})
+    """``row_number`` per ``keys`` (1-based, long) under the rules of :func:`running`."""
+    return running(df, keys, order, block, heavy_above=heavy_above, **{name: ("sum", F.lit(1).cast("long"))})
 
 
 def log_bucket(value: Column) -> Column:
@@ -76,45 +115,46 @@ def log_bucket(value: Column) -> Column:
 
 
 def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], **aggregates: Column
+    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], moments: bool = False, heavy_above: int | None = None
 ) -> DataFrame:
-    """Exact linear-interpolated percentiles per group.
+    """Exact linear-interpolated percentiles per group, and with ``moments`` mean, std, low and high.
 
     The built-in ``percentile`` keeps every distinct value of a group in one
     buffer.  Here the values are first counted per (group, value); ranks come
-    from running counts over value buckets, and each percentile is picked with
-    a plain conditional ``max``.  ``aggregates`` are extra columns over ``df``.
+    from running counts, and each percentile is picked with a plain
+    conditional ``max``.  Everything else is read off the same counts, so the
+    input is scanned once.
     """
     out_keys = list(keys)
-    keys = out_keys or ["_all"]
+    keys = out_keys or ["_group"]
     base = df.filter(F.col(value).isNotNull()).withColumn("_v", F.col(value).cast("double"))
     if not out_keys:
-        base = base.withColumn("_all", F.lit(0))
-    hist = base.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
-    ranked = running(hist, keys, [F.col("_v")], [log_bucket(F.col("_v"))], _upto=("sum", F.col("_n")))
-    sizes = base.groupBy(*keys).agg(F.count("*").alias("_size"), *[c.alias(n) for n, c in aggregates.items()])
+        base = base.withColumn("_group", F.lit(0))
+    v, w = F.col("_v"), F.col("_n")
+    hist = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running(hist, keys, [v], [log_bucket(v)], heavy_above=heavy_above, counted=w, _upto=("sum", w))
+    sums = {"_size": F.sum(w), "_s1": F.sum(v * w), "_s2": F.sum(v * v * w), "low": F.min(v), "high": F.max(v)}
+    sizes = hist.groupBy(*keys).agg(*[c.alias(n) for n, c in sums.items() if moments or n == "_size"])
     ranked = ranked.join(sizes if out_keys else F.broadcast(sizes), keys)  # no keys: exactly one row
-    first, last = F.col("_upto") - F.col("_n"), F.col("_upto") - 1
+    first, last = F.col("_upto") - w, F.col("_upto") - 1
     picks = []
     for n, p in probs.items():
         at = F.lit(float(p)) * (F.col("_size") - 1)
         for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            picks.append(F.max(F.when(rank.between(first, last), F.col("_v"))).alias(f"_{side}_{n}"))
-    picked = ranked.groupBy(*keys).agg(
-        F.max("_size").alias("_size"), *[F.max(n).alias(n) for n in aggregates], *picks
-    )
+            picks.append(F.max(F.when(rank.between(first, last), v)).alias(f"_{side}_{n}"))
+    kept = [n for n in sums if moments or n == "_size"]
+    picked = ranked.groupBy(*keys).agg(*[F.max(n).alias(n) for n in kept], *picks)
 
     def interpolate(n: str, p: float) -> Column:
         at = F.lit(float(p)) * (F.col("_size") - 1)
         lo, hi = F.col(f"_lo_{n}"), F.col(f"_hi_{n}")
         return lo + (hi - lo) * (at - F.floor(at))
 
-    return picked.select(
-        *out_keys,
-        F.col("_size").alias("n"),
-        *aggregates,
-        *[interpolate(n, p).alias(n) for n, p in probs.items()],
-    )
+    mean = F.col("_s1") / F.col("_size")
+    spread = F.greatest(F.col("_s2") - F.col("_s1") * mean, F.lit(0.0))
+    std = F.when(F.col("_size") > 1, F.sqrt(spread / (F.col("_size") - 1)))
+    extra = [mean.alias("mean"), std.alias("std"), "low", "high"] if moments else []
+    return picked.select(*out_keys, F.col("_size").alias("n"), *extra, *[interpolate(n, p).alias(n) for n, p in probs.items()])
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -132,7 +172,8 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
 
 
 def top_rows(
-    df: DataFrame, keys: Sequence[str], score: str, tie: str, tie_block: Column, size_of: Callable[[Column], Column]
+    df: DataFrame, keys: Sequence[str], score: str, tie: str, tie_block: Column, size_of: Callable[[Column], Column],
+    heavy_above: int | None = None,
 ) -> DataFrame:
     """The best rows of each group by falling ``score``, ties by rising ``tie``.
 
@@ -142,7 +183,10 @@ def top_rows(
     """
     hist = df.groupBy(*keys, score).agg(F.count(F.lit(1)).alias("_n"))
     sizes = hist.groupBy(*keys).agg(F.sum("_n").alias("_size"))
-    above = running(hist, keys, [F.col(score).desc()], [-log_bucket(F.col(score))], exclusive=True, _above=("sum", F.col("_n")))
+    above = running(
+        hist, keys, [F.col(score).desc()], [-log_bucket(F.col(score))], exclusive=True, heavy_above=heavy_above, counted=F.col("_n"),
+        _above=("sum", F.col("_n")),
+    )
     cut = (
         above.join(sizes, list(keys))
         .withColumn("_want", size_of(F.col("_size")) - F.col("_above"))
@@ -152,5 +196,5 @@ def top_rows(
     on = [*keys, score]
     whole = df.join(cut.filter("_want IS NULL").drop("_want"), on)
     shared = df.join(cut.filter("_want IS NOT NULL"), on)
-    part = numbered(shared, on, [F.col(tie)], [tie_block], "_rank").filter("_rank <= _want").drop("_rank", "_want")
+    part = numbered(shared, on, [F.col(tie)], [tie_block], "_rank", heavy_above).filter("_rank <= _want").drop("_rank", "_want")
     return whole.select(*df.columns).unionByName(part.select(*df.columns))

@@ -112,8 +112,8 @@ def label_matrix(df: DataFrame, label: str, by: str, groups: Sequence[str]) -> D
 
 
 def box_figures(df: DataFrame, group: str, value: str) -> DataFrame:
-    out = exact_percentiles(df, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, low=F.min(value), high=F.max(value))
-    return out.withColumn("median_shown", F.floor("median"))
+    out = exact_percentiles(df, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, moments=True)
+    return out.drop("mean", "std").withColumn("median_shown", F.floor("median"))
 
 
 def ranked_by_size(df: DataFrame, group: str, value: str, tie: str) -> DataFrame:
@@ -130,10 +130,7 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
 
 def describe(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
     """count, mean, sample deviation, min, percentiles, max."""
-    v = F.col(value).cast("double")
-    return exact_percentiles(
-        df, by, value, probs, mean=F.avg(v), std=F.stddev_samp(v), low=F.min(v), high=F.max(v)
-    )
+    return exact_percentiles(df, by, value, probs, moments=True)
 
 
 def build_summary(df: DataFrame) -> DataFrame:
