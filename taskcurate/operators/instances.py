@@ -81,14 +81,12 @@ def batches(df: DataFrame, order: Sequence[Column], block: Sequence[Column], siz
 
 def near_equal_parts(df: DataFrame, order: Sequence[Column], block: Sequence[Column], n: int) -> DataFrame:
     """``n`` consecutive parts whose sizes differ by at most one, longer parts first."""
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    ranked = numbered(df, [], order, block, "_rank").withColumn("_one", F.lit(1))
-    ranked = ranked.join(F.broadcast(total.withColumn("_one", F.lit(1))), "_one")  # exactly one row
+    ranked = numbered(df, [], order, block, "_rank").withColumn("_total", df.agg(F.count(F.lit(1))).scalar())
     base, extra, at = F.floor(F.col("_total") / n), F.col("_total") % n, F.col("_rank") - 1
     part = F.when(at < extra * (base + 1), F.floor(at / (base + 1))).otherwise(
         extra + F.floor((at - extra * (base + 1)) / F.greatest(base, F.lit(1)))
     )
-    return ranked.withColumn("part", part.cast("long")).drop("_rank", "_one", "_total")
+    return ranked.withColumn("part", part.cast("long")).drop("_rank", "_total")
 
 
 def instance_table(pulls: DataFrame, commits: DataFrame, patches: DataFrame, cutoff: Column | None = None) -> DataFrame:
@@ -102,7 +100,7 @@ def instance_table(pulls: DataFrame, commits: DataFrame, patches: DataFrame, cut
     n_issues = F.size(titles.resolved_issues(F.concat_ws("\n", "title", "body")))
     good = valid_pulls(good, n_issues).select("number", "repo", "created_at", "title")
     p = F.col("patch")
-    kept = patches.filter(~P.is_blank(p) & ~P.is_readme_only(p) & ~P.is_trivial(p))
+    kept = patches.filter(~P.is_trivial(p) & ~P.is_readme_only(p))
     rows = without_merges(commits).select("number", "pos", "sha").join(kept, ["number", "pos"]).join(good, "number")
     return rows.select(
         paths.instance_id(F.col("repo"), F.col("number"), F.col("sha")).alias("instance_id"),

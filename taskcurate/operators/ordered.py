@@ -36,10 +36,9 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], above: int | None = None, cou
     of an aggregated input as they are, so that its shuffle is reused.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1) if counted is None else counted).alias("_rows"))
-    total = counts.agg(F.sum("_rows").alias("_all"), F.lit(1).alias("_one"))
-    counts = counts.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")  # exactly one row
-    limit = F.lit(HEAVY_ROWS if above is None else above)
-    return counts.filter(F.col("_rows") > F.greatest(limit, F.col("_all") * HEAVY_SHARE)).select(*keys)
+    share = counts.agg(F.sum("_rows") * HEAVY_SHARE).scalar()
+    limit = F.lit(float(HEAVY_ROWS if above is None else above))
+    return counts.filter(F.col("_rows") > F.greatest(limit, F.coalesce(share, F.lit(0.0)))).select(*keys)
 
 
 def running(
@@ -125,17 +124,18 @@ def exact_percentiles(
     conditional ``max``.  Everything else is read off the same counts, so the
     input is scanned once.
     """
-    out_keys = list(keys)
-    keys = out_keys or ["_group"]
+    keys = list(keys)
     base = df.filter(F.col(value).isNotNull()).withColumn("_v", F.col(value).cast("double"))
-    if not out_keys:
-        base = base.withColumn("_group", F.lit(0))
     v, w = F.col("_v"), F.col("_n")
     hist = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
     ranked = running(hist, keys, [v], [log_bucket(v)], heavy_above=heavy_above, counted=w, _upto=("sum", w))
     sums = {"_size": F.sum(w), "_s1": F.sum(v * w), "_s2": F.sum(v * v * w), "low": F.min(v), "high": F.max(v)}
     sizes = hist.groupBy(*keys).agg(*[c.alias(n) for n, c in sums.items() if moments or n == "_size"])
-    ranked = ranked.join(sizes if out_keys else F.broadcast(sizes), keys)  # no keys: exactly one row
+    if keys:
+        ranked = ranked.join(sizes, keys)
+    else:
+        row = sizes.select(F.struct(*sizes.columns)).scalar()
+        ranked = ranked.withColumn("_row", row).select("*", "_row.*").drop("_row")
     first, last = F.col("_upto") - w, F.col("_upto") - 1
     picks = []
     for n, p in probs.items():
@@ -154,7 +154,7 @@ def exact_percentiles(
     spread = F.greatest(F.col("_s2") - F.col("_s1") * mean, F.lit(0.0))
     std = F.when(F.col("_size") > 1, F.sqrt(spread / (F.col("_size") - 1)))
     extra = [mean.alias("mean"), std.alias("std"), "low", "high"] if moments else []
-    return picked.select(*out_keys, F.col("_size").alias("n"), *extra, *[interpolate(n, p).alias(n) for n, p in probs.items()])
+    return picked.select(*keys, F.col("_size").alias("n"), *extra, *[interpolate(n, p).alias(n) for n, p in probs.items()])
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

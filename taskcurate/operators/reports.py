@@ -43,11 +43,10 @@ def combined(dataset: DataFrame, predictions: DataFrame, info: DataFrame, evals:
     The model name comes from the first prediction that has one.
     """
     named = predictions.filter(F.coalesce("model_name", F.lit("")) != "")
-    model = named.agg(F.min_by("model_name", "instance_id").alias("model_name")).withColumn("_one", F.lit(1))
+    model = named.agg(F.min_by("model_name", "instance_id")).scalar()
     out = dataset.join(predictions.drop("model_name"), "instance_id", "left")
     out = out.join(info, "instance_id", "left").join(evals, "instance_id", "left")
-    out = out.withColumn("_one", F.lit(1)).join(F.broadcast(model), "_one").drop("_one")  # exactly one row
-    return out.orderBy("instance_id")
+    return out.withColumn("model_name", model).orderBy("instance_id")
 
 
 def combined_counts(df: DataFrame) -> DataFrame:

@@ -163,9 +163,8 @@ def success_by_steps(heads: DataFrame, tie: str) -> DataFrame:
         heads, [], [F.col("n_steps"), F.col(tie)], [F.col("n_steps"), F.floor(F.col(tie) / STEP_BLOCK)],
         place=("sum", F.lit(1)), _solved=("sum", F.coalesce(F.col("reward"), F.lit(0)).cast("long")),
     )
-    n = heads.agg(F.count(F.lit(1)).alias("_n")).withColumn("_one", F.lit(1))
-    out = out.withColumn("_one", F.lit(1)).join(F.broadcast(n), "_one")  # exactly one row
-    return out.withColumns({"success": F.col("_solved") / F.col("place"), "share": (F.col("place") - 1) / F.col("_n")}).drop("_solved", "_one", "_n")
+    out = out.withColumn("_n", heads.agg(F.count(F.lit(1))).scalar())
+    return out.withColumns({"success": F.col("_solved") / F.col("place"), "share": (F.col("place") - 1) / F.col("_n")}).drop("_solved", "_n")
 
 
 def reward_ids(heads: DataFrame, id_col: str) -> DataFrame:

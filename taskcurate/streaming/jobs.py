@@ -37,9 +37,8 @@ def _sessions(df: DataFrame, gap: str) -> DataFrame:
 
 
 def _closed(df: DataFrame, source: DataFrame, delay: str) -> DataFrame:
-    mark = source.agg((F.date_trunc("millisecond", F.max("ts")) - F.expr(f"INTERVAL {delay}")).alias("_mark"), F.lit(1).alias("_one"))
-    out = df.withColumn("_one", F.lit(1)).join(F.broadcast(mark), "_one")  # exactly one row
-    return out.filter(F.col("end") <= F.col("_mark")).drop("_one", "_mark")
+    mark = source.agg(F.date_trunc("millisecond", F.max("ts")) - F.expr(f"INTERVAL {delay}")).scalar()
+    return df.filter(F.col("end") <= mark)
 
 
 def outcome_counts(stream: DataFrame, size: str = "1 hour", slide: str | None = None, delay: str = "10 minutes") -> DataFrame:
