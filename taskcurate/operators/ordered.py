@@ -41,6 +41,12 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], above: int | None = None, cou
     return counts.filter(F.col("_rows") > F.greatest(limit, F.coalesce(share, F.lit(0.0)))).select(*keys)
 
 
+def split_heavy(df: DataFrame, keys: Sequence[str], above: int | None = None, counted: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows of moderate keys, rows of heavy keys)."""
+    heavy = F.broadcast(heavy_keys(df, keys, above, counted))
+    return df.join(heavy, list(keys), "left_anti"), df.join(heavy, list(keys), "left_semi")
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -59,9 +65,8 @@ def running(
     keys the whole table is one heavy key.
     """
     if not keys:
-        return _running_in_blocks(df, keys, order, block, exclusive, measures)
-    heavy = F.broadcast(heavy_keys(df, keys, heavy_above, counted))
-    light = df.join(heavy, list(keys), "left_anti")
+        return running_in_blocks(df, keys, order, block, exclusive, measures)
+    light, heavy = split_heavy(df, keys, heavy_above, counted)
     frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
 
     def whole(fn: str, c: Column) -> Column:
@@ -69,11 +74,14 @@ def running(
         return F.coalesce(out, F.lit(0)) if fn == "sum" else out
 
     light = light.withColumns({n: whole(fn, c) for n, (fn, c) in measures.items()})
-    rest = _running_in_blocks(df.join(heavy, list(keys), "left_semi"), keys, order, block, exclusive, measures)
+    rest = running_in_blocks(heavy, keys, order, block, exclusive, measures)
     return light.select(*rest.columns).unionByName(rest)
 
 
-def _running_in_blocks(df, keys, order, block, exclusive, measures) -> DataFrame:
+def running_in_blocks(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], block: Sequence[Column], exclusive: bool, measures: dict[str, tuple[str, Column]]
+) -> DataFrame:
+    """:func:`running` for keys known to be heavy."""
     blocks = [f"_block{i}" for i in range(len(block))]
     src = df.withColumns(dict(zip(blocks, block)))
     local = (
@@ -177,24 +185,30 @@ def top_rows(
 ) -> DataFrame:
     """The best rows of each group by falling ``score``, ties by rising ``tie``.
 
-    ``size_of`` turns the group size into the number of rows wanted.  The cut
-    is found on counts per (group, score); only rows that share the score at
-    the cut have to be numbered.
+    ``size_of`` turns the group size into the number of rows wanted.  Groups
+    of moderate size are ranked in a window.  In a heavy group the cut is
+    found on counts per (group, score), and rows are numbered only among those
+    that share a score.
     """
-    hist = df.groupBy(*keys, score).agg(F.count(F.lit(1)).alias("_n"))
+    keys = list(keys)
+    light, big = split_heavy(df, keys, heavy_above)
+    group = Window.partitionBy(*keys)
+    light = light.withColumns(
+        {"_rank": F.row_number().over(group.orderBy(F.col(score).desc(), F.col(tie))), "_size": F.count(F.lit(1)).over(group)}
+    )
+    light = light.filter(F.col("_rank") <= size_of(F.col("_size"))).select(*df.columns)
+
+    hist = big.groupBy(*keys, score).agg(F.count(F.lit(1)).alias("_n"))
     sizes = hist.groupBy(*keys).agg(F.sum("_n").alias("_size"))
-    above = running(
-        hist, keys, [F.col(score).desc()], [-log_bucket(F.col(score))], exclusive=True, heavy_above=heavy_above, counted=F.col("_n"),
-        _above=("sum", F.col("_n")),
+    above = running_in_blocks(
+        hist, keys, [F.col(score).desc()], [-log_bucket(F.col(score))], True, {"_above": ("sum", F.col("_n"))}
     )
     cut = (
-        above.join(sizes, list(keys))
+        above.join(sizes, keys)
         .withColumn("_want", size_of(F.col("_size")) - F.col("_above"))
         .filter("_want > 0")
         .select(*keys, score, F.when(F.col("_want") < F.col("_n"), F.col("_want")).alias("_want"))
     )
     on = [*keys, score]
-    whole = df.join(cut.filter("_want IS NULL").drop("_want"), on)
-    shared = df.join(cut.filter("_want IS NOT NULL"), on)
-    part = numbered(shared, on, [F.col(tie)], [tie_block], "_rank", heavy_above).filter("_rank <= _want").drop("_rank", "_want")
-    return whole.select(*df.columns).unionByName(part.select(*df.columns))
+    placed = running_in_blocks(big.join(cut, on), on, [F.col(tie)], [tie_block], False, {"_rank": ("sum", F.lit(1))})
+    return light.unionByName(placed.filter("_want IS NULL OR _rank <= _want").select(*df.columns))

