@@ -139,9 +139,9 @@ class Codec:
                 at -= size[at]
             yield word, ids[::-1]
 
-    def encode_texts(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of whole texts as little-endian unsigned 32-bit integers."""
-        pieces = [self.pieces(t) if t else [] for t in texts]
+    def encode_texts(self, texts: list[str | None], added: bool = True) -> list[bytes]:
+        """Ids of whole texts as little-endian unsigned 32-bit integers; ``added``: strings of added tokens are their ids."""
+        pieces = [self.pieces(t, added) if t else [] for t in texts]
         new = set().union(*(x for text in pieces for kind, x in text if not kind))
         if len(self.known) + len(new) > MAX_WORDS:
             self.known.clear()
@@ -152,9 +152,9 @@ class Codec:
             known[word.decode()] = np.array(ids, "<u4").tobytes()
         return [b"".join([part if kind else b"".join([known[w] for w in part]) for kind, part in text]) for text in pieces]
 
-    def pieces(self, text: str) -> list[tuple[bool, list[str] | bytes]]:
+    def pieces(self, text: str, added: bool = True) -> list[tuple[bool, list[str] | bytes]]:
         """Words of a text (False, list), and added tokens in it (True, ids)."""
-        if not self.split_added or not any(x in text for x in self.added):
+        if not added or not self.split_added or not any(x in text for x in self.added):
             return [(False, self.cut(text))]
         return [(True, np.array([self.added[x]], "<u4").tobytes()) if k % 2 else (False, self.cut(x)) for k, x in enumerate(self.split_added(text))]
 

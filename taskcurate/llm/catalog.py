@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality, secrets, sharding, simhash, templates, toxicity
-from .common import table
+from . import bpe, decontaminate, quality, secrets, sharding, simhash, templates, tokenfiles, toxicity
+from .common import shared_folder, table
 
 #: Folder of the public vocabulary files, the same on every node.
 TOKENIZERS = os.environ.get("LLM_TOKENIZERS", "/opt/tokenizers")
@@ -47,6 +47,13 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark)
+    tokenfiles.write(table(spark, sf_dir, "documents"), path, BYTE_BPE)
+    part = lambda which: F.regexp_extract("path", r"part-(\d+)-.*-c(\d+)", which).cast("int")
+    return tokenfiles.token_counts(spark, path).select(part(1).alias("part"), part(2).alias("chunk"), "doc_no", "start", "n_tokens", "closed")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
@@ -65,7 +72,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe, "op2_decontaminate": op2_decontaminate, "op4_sharding": op4_sharding, "op5_toxicity": op5_toxicity, "op6_secrets": op6_secrets,
-    "op7_line_dedup": op7_line_dedup, "op9_simhash": op9_simhash, "op10_quality": op10_quality,
+    "op7_line_dedup": op7_line_dedup, "op8_token_counts": op8_token_counts, "op9_simhash": op9_simhash, "op10_quality": op10_quality,
     "pipeline": pipeline,
 }
 
