@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality, secrets, sharding, simhash, templates, tokenfiles, toxicity
+from . import bpe, decontaminate, quality, secrets, sharding, simhash, suffixes, templates, tokenfiles, toxicity
 from .common import shared_folder, table
 
 #: Folder of the public vocabulary files, the same on every node.
@@ -25,6 +25,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", F.col("start").cast("long").alias("start"), "similarity")
 
 
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.shards_by_bytes(table(spark, sf_dir, "documents"), 40)
     return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "capacity")
@@ -71,7 +75,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_bpe": op1_bpe, "op2_decontaminate": op2_decontaminate, "op4_sharding": op4_sharding, "op5_toxicity": op5_toxicity, "op6_secrets": op6_secrets,
+    "op1_bpe": op1_bpe, "op2_decontaminate": op2_decontaminate, "op3_suffixes": op3_suffixes, "op4_sharding": op4_sharding, "op5_toxicity": op5_toxicity, "op6_secrets": op6_secrets,
     "op7_line_dedup": op7_line_dedup, "op8_token_counts": op8_token_counts, "op9_simhash": op9_simhash, "op10_quality": op10_quality,
     "pipeline": pipeline,
 }
