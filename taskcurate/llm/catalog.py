@@ -80,4 +80,71 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {}
+OP2_SQL = r"""
+WITH doc_words AS (
+  SELECT DISTINCT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL
+), item_words AS (
+  SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark WHERE text IS NOT NULL
+), doc_shingles AS (
+  SELECT doc_id, len(w) AS n_words, unnest(range(0, greatest(len(w) - 4, 1))) AS pos, w FROM doc_words WHERE len(w) > 0
+), ds AS (
+  SELECT doc_id, n_words, pos, array_to_string(w[pos + 1 : pos + 5], ' ') AS h FROM doc_shingles
+), item_shingles AS (
+  SELECT item_id, len(w) AS n_words, unnest(range(0, greatest(len(w) - 4, 1))) AS pos, w FROM item_words WHERE len(w) > 0
+), items AS (
+  SELECT item_id, n_words, array_to_string(w[pos + 1 : pos + 5], ' ') AS h, count(*) AS m FROM item_shingles GROUP BY ALL
+), item_sizes AS (
+  SELECT item_id, n_words, sum(m) AS i_total FROM items GROUP BY ALL
+), starts AS (
+  SELECT DISTINCT ds.doc_id, items.n_words AS size, least(ds.pos, greatest(ds.n_words - items.n_words, 0)) AS start FROM ds JOIN items USING (h)
+), weighted AS (
+  SELECT s.doc_id, s.size, s.start, ds.h, count(*) AS n
+  FROM starts s JOIN ds ON ds.doc_id = s.doc_id AND ds.pos >= s.start AND ds.pos < s.start + greatest(s.size - 4, 1) GROUP BY ALL
+), totals AS (
+  SELECT doc_id, size, start, sum(n) AS w_total FROM weighted GROUP BY ALL
+), shared AS (
+  SELECT w.doc_id, w.size, w.start, i.item_id, sum(least(w.n, i.m)) AS common FROM weighted w JOIN items i ON i.h = w.h AND i.n_words = w.size GROUP BY ALL
+), found AS (
+  SELECT doc_id, item_id, start, common / (w_total + i_total - common) AS similarity
+  FROM shared JOIN totals USING (doc_id, size, start) JOIN item_sizes USING (item_id)
+)
+SELECT doc_id, item_id, start, similarity FROM found WHERE similarity >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+"""
+
+OP10_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM d
+), windows AS (
+  SELECT r, i, array_to_string(words[i : i + 7], ' ') AS win FROM (SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8)
+), repeats AS (
+  SELECT r, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM (SELECT *, count(*) OVER (PARTITION BY r, win) AS n FROM windows) WHERE n > 1) GROUP BY r
+), lines AS (
+  SELECT r, doc_id, host, unnest(string_split(t, chr(10))) AS line FROM d
+), worded AS (
+  SELECT r, doc_id, host, line, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), '[^\x20\x09-\x0D]+') AS lw FROM lines
+), dups AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM worded WHERE len(lw) > 0 GROUP BY r
+), held AS (
+  SELECT r, doc_id, host, array_to_string(lw, ' ') AS norm, sum(len(lw)) AS n FROM worded WHERE len(lw) > 0 GROUP BY ALL
+), often AS (
+  SELECT host, norm, min(doc_id) AS first_doc FROM held GROUP BY host, norm HAVING count(DISTINCT doc_id) > 50
+), lost AS (
+  SELECT r, sum(n) AS lost FROM held JOIN often USING (host, norm) WHERE doc_id IS DISTINCT FROM first_doc GROUP BY r
+), facts AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+    CAST(coalesce(lost, 0) AS BIGINT) AS n_removed_words
+  FROM w LEFT JOIN dups USING (r) LEFT JOIN repeats USING (r) LEFT JOIN lost USING (r)
+), judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM facts
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND n_words - n_removed_words >= 0.3 * n_words AS kept, n_removed_words FROM judged
+"""
+
+ORACLES: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op10_quality": OP10_SQL}

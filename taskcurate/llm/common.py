@@ -45,12 +45,13 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def same_row(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
-    """Null-safe equality of the key columns."""
-    out = F.lit(True)
-    for k in keys:
-        out = out & a[k].eqNullSafe(b[k])
-    return out
+def join_texts(docs: DataFrame, rows: DataFrame, how: str = "inner") -> DataFrame:
+    """``docs`` joined with ``rows`` (d__, k__ and more), which are keyed by doc_id and text key.
+
+    Always by shuffle and merge: what the rows hold grows with the documents, so
+    a plan that turns to a broadcast on little data would say nothing about much.
+    """
+    return docs.join(rows.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("d__")) & (text_key(F.col("text")) == F.col("k__")), how)
 
 
 def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType) -> DataFrame:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lists, per_batch, stored, text_key
+from .common import join_texts, lists, per_batch, stored, text_key
 
 MAX_DOCS, MIN_LEFT = 50, 0.3
 MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
@@ -131,7 +131,7 @@ def _strip_batch(b: pa.RecordBatch) -> pa.RecordBatch:
 def apply_quality_rules(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
     """``docs`` without rejected documents; lines over the limit are cut from the rest."""
     verdict = quality_rules(docs, host, max_docs, min_left).where("kept").select(F.col("doc_id").alias("d__"), F.col("key").alias("k__"), F.col("removed").alias("removed__")).dropDuplicates(["d__", "k__"])
-    kept = docs.join(verdict, F.col("doc_id").cast("long").eqNullSafe(F.col("d__")) & (text_key(F.col("text")) == F.col("k__"))).drop("d__", "k__")
+    kept = join_texts(docs, verdict).drop("d__", "k__")
     return recounted(per_batch(kept, _strip_batch, docs.schema))
 
 

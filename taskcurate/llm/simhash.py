@@ -137,5 +137,5 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest ``doc_id``."""
     stay = near_duplicates(docs, size).where("stays").select(F.col("doc_id").alias("d__"), F.col("key").alias("k__")).distinct()
-    kept = docs.withColumn("k0__", text_key(F.col("text"))).join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("d__")) & (F.col("k0__") == F.col("k__")), "left_semi")
+    kept = docs.withColumn("k0__", text_key(F.col("text"))).join(stay.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("d__")) & (F.col("k0__") == F.col("k__")), "left_semi")
     return kept.dropDuplicates(["doc_id", "k0__"]).select(*docs.columns)

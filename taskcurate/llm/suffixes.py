@@ -252,12 +252,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     met = stored(sampled.repartition("gram").sortWithinPartitions("doc", "start").mapInArrow(_scan_family, "doc long, start long, n long, whole boolean"))
     each = met.distinct().groupBy("doc").agg(F.collect_list(F.struct("start", "n", "whole")).alias("found"))
     result = ", ".join(("doc_id long", "doc long", RESULT, "text string, found array<struct<start:long,n:long,whole:boolean>>"))
-    passed = stored(slim.join(each, "doc", "left").select("doc_id", "doc", "text", "found").mapInArrow(_settle, result))
+    passed = stored(slim.join(each.hint("merge"), "doc", "left").select("doc_id", "doc", "text", "found").mapInArrow(_settle, result))
     rest = passed.where("text is not null").select("doc_id", "doc", "text", "found")
     windows = rest.dropDuplicates(["doc"]).select("doc", "text", "found").mapInArrow(_window_rows, "h1 long, h2 long, doc long, start long, met boolean")
     # repeats that are settled get a key of their own
     key = F.when(F.col("met"), F.xxhash64("doc", "start")).otherwise(F.col("h1"))
     place = F.rank().over(Window.partitionBy("key", "h2").orderBy("doc", "start"))
     single = windows.select(key.alias("key"), "h2", "doc", "start", "met").withColumn("place", place).where("met or place > 1").groupBy("doc").agg(F.collect_set("start").alias("single"))
-    later = rest.join(single, "doc", "left").select("doc_id", "text", "found", "single").mapInArrow(_finish, f"doc_id long, {RESULT}")
+    later = rest.join(single.hint("merge"), "doc", "left").select("doc_id", "text", "found", "single").mapInArrow(_finish, f"doc_id long, {RESULT}")
     return passed.where("text is null").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").union(later)

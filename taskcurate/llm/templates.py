@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lists, per_batch, stored, text_key
+from .common import join_texts, lists, per_batch, stored, text_key
 from .quality import _LOWER, recounted
 
 DEPTH, BLOCKS, MIN_ALIKE, MIN_TOKENS, MIN_DOCS = 3, 8, 0.5, 4, 10
@@ -89,7 +89,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, note: str | None = None) -> DataFrame:
     """``docs`` without recurring lines; ``note`` names a column to add that lists the dropped line numbers."""
     lost = recurring_lines(docs, min_docs).select(F.col("doc_id").alias("d__"), F.col("key").alias("k__"), F.col("dropped").alias("dropped__"))
-    both = docs.join(lost, F.col("doc_id").cast("long").eqNullSafe(F.col("d__")) & (text_key(F.col("text")) == F.col("k__")), "left")
+    both = join_texts(docs, lost, "left")
     rest = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("dropped__", i)), "\n")
     cut = recounted(both.withColumn("text", F.when(F.col("dropped__").isNull(), F.col("text")).otherwise(rest)))
     return cut.select(*docs.columns, *([F.coalesce("dropped__", F.array().cast("array<int>")).alias(note)] if note else []))
