@@ -99,14 +99,15 @@ WITH doc_words AS (
   SELECT DISTINCT ds.doc_id, items.n_words AS size, least(ds.pos, greatest(ds.n_words - items.n_words, 0)) AS start FROM ds JOIN items USING (h)
 ), weighted AS (
   SELECT s.doc_id, s.size, s.start, ds.h, count(*) AS n
-  FROM starts s JOIN ds ON ds.doc_id = s.doc_id AND ds.pos >= s.start AND ds.pos < s.start + greatest(s.size - 4, 1) GROUP BY ALL
+  FROM starts s JOIN ds ON ds.doc_id IS NOT DISTINCT FROM s.doc_id AND ds.pos >= s.start AND ds.pos < s.start + greatest(s.size - 4, 1) GROUP BY ALL
 ), totals AS (
   SELECT doc_id, size, start, sum(n) AS w_total FROM weighted GROUP BY ALL
 ), shared AS (
   SELECT w.doc_id, w.size, w.start, i.item_id, sum(least(w.n, i.m)) AS common FROM weighted w JOIN items i ON i.h = w.h AND i.n_words = w.size GROUP BY ALL
 ), found AS (
-  SELECT doc_id, item_id, start, common / (w_total + i_total - common) AS similarity
-  FROM shared JOIN totals USING (doc_id, size, start) JOIN item_sizes USING (item_id)
+  SELECT s.doc_id, s.item_id, s.start, common / (w_total + i_total - common) AS similarity
+  FROM shared s JOIN totals t ON s.doc_id IS NOT DISTINCT FROM t.doc_id AND s.size = t.size AND s.start = t.start
+  JOIN item_sizes i ON s.item_id IS NOT DISTINCT FROM i.item_id
 )
 SELECT doc_id, item_id, start, similarity FROM found WHERE similarity >= 0.8
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1

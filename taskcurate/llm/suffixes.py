@@ -145,6 +145,8 @@ class Family:
             np.add.at(edge, high[new], -1)
             level[5] |= np.cumsum(edge)[:-1] > 0
         keep = np.flatnonzero(~later)
+        if not len(keep):
+            return later
         keep = keep[np.lexsort((block[keep], gram[keep]))]
         own = [x[keep] for x in (gram, block, doc, start, n, shared)]
         same = (own[0][1:] == own[0][:-1]) & (own[1][1:] != own[1][:-1])
