@@ -33,7 +33,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_key
+from .common import join_texts, stored, text_key
 
 SHINGLE, MIN_ALIKE, RADIUS, BLOCKS, MAX_BROADCAST = 5, 0.8, 23, 8, 500_000
 #: Values of one byte with two bits set at most: what two equal-position blocks may differ by.
@@ -90,8 +90,8 @@ def leaks(docs: DataFrame, items: DataFrame, min_alike: float = MIN_ALIKE, max_b
     # the last full window starts len words before the end; a shorter text is one window
     starts = stored(seeds.select("doc_id", "key", F.least("pos", F.greatest(F.col("n_words") - F.col("len"), F.lit(0))).alias("start"), "len").distinct())
 
-    windows = starts.groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "len")).alias("windows")).select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "windows")
-    met = with_shingles(slim.join(windows, slim["doc_id"].eqNullSafe(F.col("d")) & (slim["key"] == F.col("k"))), "doc_id", "key", "windows")
+    windows = starts.groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "len")).alias("windows")).select(F.col("doc_id").alias("d__"), F.col("key").alias("k__"), "windows")
+    met = with_shingles(join_texts(slim, windows), "doc_id", "key", "windows")
     cut = met.select("doc_id", "key", "hs", F.explode("windows").alias("w")).select(
         "doc_id", "key", F.col("w.start").alias("start"), F.col("w.len").alias("len"), F.explode_outer(F.slice("hs", F.col("w.start") + 1, F.greatest(F.col("w.len") - SHINGLE + 1, F.lit(1)))).alias("h")
     )
@@ -117,4 +117,4 @@ def leaks(docs: DataFrame, items: DataFrame, min_alike: float = MIN_ALIKE, max_b
 def decontaminate(docs: DataFrame, items: DataFrame, min_alike: float = MIN_ALIKE) -> DataFrame:
     """``docs`` without the documents that leak an item."""
     out = leaks(docs, items, min_alike).select(F.col("doc_id").alias("d__"), F.col("key").alias("k__")).distinct()
-    return docs.join(out, F.col("doc_id").cast("long").eqNullSafe(F.col("d__")) & (text_key(F.col("text")) == F.col("k__")), "left_anti")
+    return join_texts(docs, out, "left_anti")
