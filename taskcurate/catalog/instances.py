@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import patches as P
 from ..functions import paths, titles
 from ..operators import instances as I
+from ..operators.ordered import id_blocks
 from .registry import query
 from .views import Views
 
@@ -17,7 +18,7 @@ _IID = "replace(repo || '-' || number || '-' || substr(sha, 1, 8), '/', '__')"
 
 
 def _number_block():
-    return [F.expr("number div 4096")]
+    return id_blocks(F.col("number"))
 
 
 @query("c01_instance_table", f"""

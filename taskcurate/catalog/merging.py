@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import merging as M
+from ..operators.ordered import id_blocks
 from .registry import query
 from .views import Views
 
@@ -94,7 +95,7 @@ SELECT version, number, row_number() OVER (PARTITION BY version ORDER BY number)
 FROM (SELECT number, coalesce('v' || nullif(number % 4, 0), 'none') AS version FROM v_pulls)""")
 def group_members(v: Views):
     df = _versioned(v).withColumn("version", F.coalesce("version", F.lit("none")))
-    return M.group_members(df, "version", "number", [F.col("number")], [F.expr("number div 4096")])
+    return M.group_members(df, "version", "number", [F.col("number")], id_blocks(F.col("number")))
 
 
 @query("a30b_repo_commits", "SELECT DISTINCT number % 7 AS repo, sha FROM v_commits")

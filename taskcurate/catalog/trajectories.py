@@ -9,6 +9,7 @@ from ..functions import paths
 from ..operators import reports as R
 from ..operators import selection
 from ..operators import trajectories as J
+from ..operators.ordered import id_blocks
 from .registry import query
 from .views import Views
 
@@ -168,7 +169,7 @@ def top_edited_files(v: Views):
 SELECT traj_id, coalesce(sum(CASE WHEN reward = 1 THEN 1 ELSE 0 END) OVER w, 0)::BIGINT AS solved_before, round(coalesce(sum(CASE WHEN reward = 1 THEN 1.0 ELSE 0 END) OVER w / nullif(row_number() OVER (ORDER BY traj_id) - 1, 0), 0), 6)::DOUBLE AS rate_before
 FROM v_traj_head WINDOW w AS (ORDER BY traj_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
 def running_success(v: Views):
-    df = J.running_success(v.traj_head().select("traj_id", "reward"), [F.col("traj_id")], [F.expr("traj_id div 4096")])
+    df = J.running_success(v.traj_head().select("traj_id", "reward"), [F.col("traj_id")], id_blocks(F.col("traj_id")))
     return df.select("traj_id", "solved_before", F.round("rate_before", 6).alias("rate_before"))
 
 

@@ -1,10 +1,14 @@
 """Running aggregates, ranks and percentiles that survive a hot key.
 
 A window partitioned by a key sends all rows of that key to one task.  Here
-only keys of moderate size take that path.  A *heavy* key is cut into blocks (a
-coarse, order-preserving prefix of the sort key): the window runs inside a
-block, and what earlier blocks contribute is added from one summary row per
-block.  Which keys are heavy is found by counting first; see ``HEAVY_ROWS``.
+every key is cut into blocks (coarse, order-preserving prefixes of the sort
+key): the window runs inside a block, and what earlier blocks contribute is
+added from one summary row per block.  Given several block columns, coarse to
+fine, the summaries are carried level by level, so that no task sees more than
+the blocks of one coarser block.  There is one path for all sizes.
+
+Nulls and NaN follow Spark's order: null first and NaN last when rising, null
+last and NaN first when falling.  Null keys are a group of their own.
 """
 
 from __future__ import annotations
@@ -17,34 +21,10 @@ from pyspark.sql import functions as F
 _FOLD = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def _merge(fn: str, local: Column, carry: Column) -> Column:
+def _merge(fn: str, parts: Sequence[Column]) -> Column:
     if fn == "sum":
-        return F.coalesce(local, F.lit(0)) + F.coalesce(carry, F.lit(0))
-    return F.greatest(local, carry) if fn == "max" else F.least(local, carry)
-
-
-# A key is heavy above this many rows, and above this share of all rows.  The
-# share bounds the number of heavy keys, which are broadcast, at 10,000.
-HEAVY_ROWS = 1_000_000
-HEAVY_SHARE = 1e-4
-
-
-def heavy_keys(df: DataFrame, keys: Sequence[str], above: int | None = None, counted: Column | None = None) -> DataFrame:
-    """Keys whose windows would be too large for one task; at most ``1 / HEAVY_SHARE`` rows.
-
-    ``counted`` is a never-null column to count.  Naming one keeps the columns
-    of an aggregated input as they are, so that its shuffle is reused.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1) if counted is None else counted).alias("_rows"))
-    share = counts.agg(F.sum("_rows") * HEAVY_SHARE).scalar()
-    limit = F.lit(float(HEAVY_ROWS if above is None else above))
-    return counts.filter(F.col("_rows") > F.greatest(limit, F.coalesce(share, F.lit(0.0)))).select(*keys)
-
-
-def split_heavy(df: DataFrame, keys: Sequence[str], above: int | None = None, counted: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows of moderate keys, rows of heavy keys)."""
-    heavy = F.broadcast(heavy_keys(df, keys, above, counted))
-    return df.join(heavy, list(keys), "left_anti"), df.join(heavy, list(keys), "left_semi")
+        return sum((F.coalesce(p, F.lit(0)) for p in parts[1:]), F.coalesce(parts[0], F.lit(0)))
+    return F.greatest(*parts) if fn == "max" else F.least(*parts)
 
 
 def running(
@@ -53,94 +33,86 @@ def running(
     order: Sequence[Column],
     block: Sequence[Column],
     exclusive: bool = False,
-    heavy_above: int | None = None,
-    counted: Column | None = None,
     **measures: tuple[str, Column],
 ) -> DataFrame:
     """Add running ``sum``/``max``/``min`` columns per ``keys`` in ``order``.
 
-    ``measures`` maps a new column name to ``(fn, column)``.  ``block`` must be
-    non-null and must rise with ``order``; ``keys`` must be non-null and
-    ``order`` total.  With ``exclusive`` the current row is left out.  Without
-    keys the whole table is one heavy key.
+    ``measures`` maps a new column name to ``(fn, column)``.  ``block``, from
+    coarse to fine, must rise with ``order``, and ``order`` be total; a block
+    may be null only where a rising order puts its nulls first.  With
+    ``exclusive`` the current row is left out.  Without keys the table is one
+    group: give two levels of blocks then.
     """
-    if not keys:
-        return running_in_blocks(df, keys, order, block, exclusive, measures)
-    light, heavy = split_heavy(df, keys, heavy_above, counted)
-    frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    keys, blocks = list(keys), [f"_block{i}" for i in range(len(block))]
+    src = df.withColumns(dict(zip(blocks, block, strict=True)))
+    local = Window.partitionBy(*keys, *blocks).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    totals = src.groupBy(*keys, *blocks).agg(*[_FOLD[fn](c).alias(f"_total_{n}") for n, (fn, c) in measures.items()])
+    carried, names = totals.select(*keys, *blocks), {n: [f"_local_{n}"] for n in measures}
+    for i in range(len(blocks)):
+        level = [*keys, *blocks[: i + 1]]
+        sums = totals if i + 1 == len(blocks) else totals.groupBy(*level).agg(*[_FOLD[fn](f"_total_{n}").alias(f"_total_{n}") for n, (fn, _) in measures.items()])
+        before = Window.partitionBy(*level[:-1]).orderBy(level[-1]).rowsBetween(Window.unboundedPreceding, -1)
+        earlier = sums.select(*level, *[_FOLD[fn](f"_total_{n}").over(before).alias(f"_carry{i}_{n}") for n, (fn, _) in measures.items()])
+        carried = earlier if len(blocks) == 1 else same_group(carried, earlier, level)
+        for n in measures:
+            names[n].append(f"_carry{i}_{n}")
+    out = src.withColumns({f"_local_{n}": _FOLD[fn](c).over(local) for n, (fn, c) in measures.items()})
+    out = same_group(out, carried, [*keys, *blocks])
+    return out.select(*[c for c in df.columns if c not in measures], *[_merge(fn, [F.col(c) for c in names[n]]).alias(n) for n, (fn, _) in measures.items()])
 
-    def whole(fn: str, c: Column) -> Column:
-        out = _FOLD[fn](c).over(frame)
-        return F.coalesce(out, F.lit(0)) if fn == "sum" else out
 
-    light = light.withColumns({n: whole(fn, c) for n, (fn, c) in measures.items()})
-    rest = running_in_blocks(heavy, keys, order, block, exclusive, measures)
-    return light.select(*rest.columns).unionByName(rest)
+def same_group(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the columns of ``groups``, one row per ``keys``; null keys match null keys."""
+    right = groups.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return df.join(right, on).drop(*[f"_r_{k}" for k in keys])
 
 
-def running_in_blocks(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], block: Sequence[Column], exclusive: bool, measures: dict[str, tuple[str, Column]]
-) -> DataFrame:
-    """:func:`running` for keys known to be heavy."""
-    blocks = [f"_block{i}" for i in range(len(block))]
-    src = df.withColumns(dict(zip(blocks, block)))
-    local = (
-        Window.partitionBy(*keys, *blocks)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
-    )
-    before = Window.partitionBy(*keys).orderBy(*blocks).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        src.groupBy(*keys, *blocks)
-        .agg(*[_FOLD[fn](c).alias(f"_total_{n}") for n, (fn, c) in measures.items()])
-        .select(
-            *keys,
-            *blocks,
-            *[_FOLD[fn](f"_total_{n}").over(before).alias(f"_carry_{n}") for n, (fn, _) in measures.items()],
-        )
-    )
-    out = src.withColumns({f"_local_{n}": _FOLD[fn](c).over(local) for n, (fn, c) in measures.items()})
-    out = out.join(carried, [*keys, *blocks])
-    out = out.withColumns(
-        {n: _merge(fn, F.col(f"_local_{n}"), F.col(f"_carry_{n}")) for n, (fn, _) in measures.items()}
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[Column], block: Sequence[Column], name: str) -> DataFrame:
+    """``row_number`` per ``keys`` (1-based, long) under the rules of :func:`running`."""
+    return running(df, keys, order, block, **{name: ("sum", F.lit(1).cast("long"))})
+
+
+def log_bucket(value: Column) -> Column:
+    """Order-preserving bucket of a number, about 1 % wide at any magnitude; null is below and NaN above all numbers."""
+    v, top = value.cast("double"), 1 << 40
+    size = F.floor(F.log2(F.greatest(F.abs(v), F.lit(2.0**-1022))) * 64) + 64 * 1023
+    finite = F.when(v == 0, 0).otherwise(F.signum(v) * size)
+    return (
+        F.when(v.isNull(), -2 * top).when(F.isnan(v), 2 * top).when(v == float("inf"), top).when(v == float("-inf"), -top).otherwise(finite).cast("long")
     )
-    return out.select(*[c for c in df.columns if c not in measures], *measures)
 
 
-def numbered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], block: Sequence[Column], name: str,
-    heavy_above: int | None = None,
-) -> DataFrame:
-    """``row_number`` per ``keys`` (1-based, long) under the rules of :func:`running`."""
-    return running(df, keys, order, block, heavy_above=heavy_above, **{name: ("sum", F.lit(1).cast("long"))})
+def number_blocks(value: Column, falling: bool = False) -> list[Column]:
+    """Two levels of blocks for an order by a number."""
+    fine = -log_bucket(value) if falling else log_bucket(value)
+    return [F.floor(fine / 256), fine]
 
 
-def log_bucket(value: Column) -> Column:
-    """Order-preserving bucket of a number: about 1 % wide at any magnitude."""
-    v = value.cast("double")
-    return (F.signum(v) * F.floor(F.log2(F.abs(v) + 1.0) * 64)).cast("long")
+def id_blocks(value: Column, fine: int = 12, coarse: int = 24) -> list[Column]:
+    """Two levels of blocks for a rising order by an integer: 2^24 and 2^12 wide."""
+    return [F.shiftright(value.cast("long"), coarse), F.shiftright(value.cast("long"), fine)]
 
 
-def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], moments: bool = False, heavy_above: int | None = None
-) -> DataFrame:
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], moments: bool = False) -> DataFrame:
     """Exact linear-interpolated percentiles per group, and with ``moments`` mean, std, low and high.
 
     The built-in ``percentile`` keeps every distinct value of a group in one
     buffer.  Here the values are first counted per (group, value); ranks come
     from running counts, and each percentile is picked with a plain
-    conditional ``max``.  Everything else is read off the same counts, so the
-    input is scanned once.
+    conditional ``max``.  The deviation is summed around the mean, so large
+    values with a small spread keep it.
     """
     keys = list(keys)
     base = df.filter(F.col(value).isNotNull()).withColumn("_v", F.col(value).cast("double"))
     v, w = F.col("_v"), F.col("_n")
     hist = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running(hist, keys, [v], [log_bucket(v)], heavy_above=heavy_above, counted=w, _upto=("sum", w))
-    sums = {"_size": F.sum(w), "_s1": F.sum(v * w), "_s2": F.sum(v * v * w), "low": F.min(v), "high": F.max(v)}
-    sizes = hist.groupBy(*keys).agg(*[c.alias(n) for n, c in sums.items() if moments or n == "_size"])
+    ranked = running(hist, keys, [v], number_blocks(v), _upto=("sum", w))
+    sums = {"_size": F.sum(w), "_mean": F.sum(v * w) / F.sum(w), "low": F.min(v), "high": F.max(v)}
+    kept = [n for n in sums if moments or n == "_size"]
+    sizes = hist.groupBy(*keys).agg(*[sums[n].alias(n) for n in kept])
     if keys:
-        ranked = ranked.join(sizes, keys)
+        ranked = same_group(ranked, sizes, keys)
     else:
         row = sizes.select(F.struct(*sizes.columns)).scalar()
         ranked = ranked.withColumn("_row", row).select("*", "_row.*").drop("_row")
@@ -150,18 +122,18 @@ def exact_percentiles(
         at = F.lit(float(p)) * (F.col("_size") - 1)
         for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
             picks.append(F.max(F.when(rank.between(first, last), v)).alias(f"_{side}_{n}"))
-    kept = [n for n in sums if moments or n == "_size"]
+    if moments:
+        gap = v - F.col("_mean")
+        picks.append(F.sum(gap * gap * w).alias("_spread"))
     picked = ranked.groupBy(*keys).agg(*[F.max(n).alias(n) for n in kept], *picks)
 
     def interpolate(n: str, p: float) -> Column:
         at = F.lit(float(p)) * (F.col("_size") - 1)
         lo, hi = F.col(f"_lo_{n}"), F.col(f"_hi_{n}")
-        return lo + (hi - lo) * (at - F.floor(at))
+        return F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (at - F.floor(at)))
 
-    mean = F.col("_s1") / F.col("_size")
-    spread = F.greatest(F.col("_s2") - F.col("_s1") * mean, F.lit(0.0))
-    std = F.when(F.col("_size") > 1, F.sqrt(spread / (F.col("_size") - 1)))
-    extra = [mean.alias("mean"), std.alias("std"), "low", "high"] if moments else []
+    std = F.when(F.col("_size") > 1, F.sqrt(F.col("_spread") / (F.col("_size") - 1)))
+    extra = [F.col("_mean").alias("mean"), std.alias("std"), "low", "high"] if moments else []
     return picked.select(*keys, F.col("_size").alias("n"), *extra, *[interpolate(n, p).alias(n) for n, p in probs.items()])
 
 
@@ -179,36 +151,18 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def top_rows(
-    df: DataFrame, keys: Sequence[str], score: str, tie: str, tie_block: Column, size_of: Callable[[Column], Column],
-    heavy_above: int | None = None,
-) -> DataFrame:
-    """The best rows of each group by falling ``score``, ties by rising ``tie``.
+def top_rows(df: DataFrame, keys: Sequence[str], score: str, tie: str, tie_block: Column, size_of: Callable[[Column], Column]) -> DataFrame:
+    """The best rows of each group by falling ``score`` (rows without one come last), ties by rising ``tie``.
 
-    ``size_of`` turns the group size into the number of rows wanted.  Groups
-    of moderate size are ranked in a window.  In a heavy group the cut is
-    found on counts per (group, score), and rows are numbered only among those
-    that share a score.
+    ``size_of`` turns the group size into the number of rows wanted.
     """
     keys = list(keys)
-    light, big = split_heavy(df, keys, heavy_above)
-    group = Window.partitionBy(*keys)
-    light = light.withColumns(
-        {"_rank": F.row_number().over(group.orderBy(F.col(score).desc(), F.col(tie))), "_size": F.count(F.lit(1)).over(group)}
-    )
-    light = light.filter(F.col("_rank") <= size_of(F.col("_size"))).select(*df.columns)
+    ranked = numbered(df, keys, [F.col(score).desc(), F.col(tie)], [-log_bucket(F.col(score)), -_value_first(F.col(score)), tie_block], "_rank")
+    sized = same_group(ranked, df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")), keys)
+    return sized.filter(F.col("_rank") <= size_of(F.col("_size"))).select(*df.columns)
 
-    hist = big.groupBy(*keys, score).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = hist.groupBy(*keys).agg(F.sum("_n").alias("_size"))
-    above = running_in_blocks(
-        hist, keys, [F.col(score).desc()], [-log_bucket(F.col(score))], True, {"_above": ("sum", F.col("_n"))}
-    )
-    cut = (
-        above.join(sizes, keys)
-        .withColumn("_want", size_of(F.col("_size")) - F.col("_above"))
-        .filter("_want > 0")
-        .select(*keys, score, F.when(F.col("_want") < F.col("_n"), F.col("_want")).alias("_want"))
-    )
-    on = [*keys, score]
-    placed = running_in_blocks(big.join(cut, on), on, [F.col(tie)], [tie_block], False, {"_rank": ("sum", F.lit(1))})
-    return light.unionByName(placed.filter("_want IS NULL OR _rank <= _want").select(*df.columns))
+
+def _value_first(value: Column) -> Column:
+    """A block of its own for each value: the number itself, with null and NaN as numbers below and above all."""
+    v = value.cast("double")
+    return F.when(v.isNull(), float("-inf")).when(F.isnan(v), float("inf")).otherwise(v)

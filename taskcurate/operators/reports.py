@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import exact_percentiles, log_bucket, numbered
+from .ordered import exact_percentiles, number_blocks, numbered
 
 # Labels a classification may carry.
 TYPES = ("feature", "bug_fix", "docs_config", "mixed", "refactor", "performance")
@@ -117,7 +117,7 @@ def box_figures(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def ranked_by_size(df: DataFrame, group: str, value: str, tie: str) -> DataFrame:
     """Rows of each group numbered by rising ``value``."""
-    return numbered(df, [group], [F.col(value), F.col(tie)], [log_bucket(F.col(value))], "place")
+    return numbered(df, [group], [F.col(value), F.col(tie)], number_blocks(F.col(value)), "place")
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import actions as A
 from ..functions import paths
-from .ordered import numbered, running, running_in_blocks, split_heavy
+from .ordered import id_blocks, numbered, running
 
 STEP_BLOCK = 4096
 
@@ -104,7 +104,7 @@ def view_ranges(steps: DataFrame, key: str) -> DataFrame:
     )
 
 
-def longest_view_run(steps: DataFrame, key: str, heavy_above: int | None = None) -> DataFrame:
+def longest_view_run(steps: DataFrame, key: str) -> DataFrame:
     """Longest run of views of one Python file in a row; any other step breaks it.
 
     A run is a set of views whose place among all steps and place among the
@@ -113,18 +113,10 @@ def longest_view_run(steps: DataFrame, key: str, heavy_above: int | None = None)
     file = F.when(
         (F.col("fn") == "file_editor") & (_param("command") == "view") & _param("path").endswith(".py"), _param("path")
     )
-    base = steps.select(key, "step_idx", file.alias("_file"))
-    light, heavy = split_heavy(base, [key], heavy_above)
-    places = {
-        "_all": F.row_number().over(Window.partitionBy(key).orderBy("step_idx")),
-        "_own": F.row_number().over(Window.partitionBy(key, "_file").orderBy("step_idx")),
-    }
-    light = light.withColumns(places)
-    block, one = [F.floor(F.col("step_idx") / STEP_BLOCK)], ("sum", F.lit(1))
+    placed = steps.select(key, "step_idx", F.coalesce(file, F.lit("")).alias("_file"))
+    block = [F.floor(F.col("step_idx") / STEP_BLOCK)]
     for name, keys in (("_all", [key]), ("_own", [key, "_file"])):
-        rows = heavy if name == "_all" else heavy.withColumn("_file", F.coalesce("_file", F.lit("")))
-        heavy = running_in_blocks(rows, keys, [F.col("step_idx")], block, False, {name: one})
-    placed = light.withColumn("_file", F.coalesce("_file", F.lit(""))).unionByName(heavy)
+        placed = numbered(placed, keys, [F.col("step_idx")], block, name)
     # a step that is no such view makes a run of length 0
     runs = placed.groupBy(key, "_file", (F.col("_all") - F.col("_own")).alias("_run")).agg(F.count_if(F.col("_file") != "").alias("_n"))
     return runs.groupBy(key).agg(F.max("_n").alias("longest"))
@@ -172,7 +164,7 @@ def running_success(heads: DataFrame, order: Sequence[Column], block: Sequence[C
 def success_by_steps(heads: DataFrame, tie: str) -> DataFrame:
     """Runs by rising number of steps: success so far, and the share of runs before."""
     out = running(
-        heads, [], [F.col("n_steps"), F.col(tie)], [F.col("n_steps"), F.floor(F.col(tie) / STEP_BLOCK)],
+        heads, [], [F.col("n_steps"), F.col(tie)], [F.col("n_steps"), *id_blocks(F.col(tie))],
         place=("sum", F.lit(1)), _solved=("sum", F.coalesce(F.col("reward"), F.lit(0)).cast("long")),
     )
     out = out.withColumn("_n", heads.agg(F.count(F.lit(1))).scalar())
@@ -329,7 +321,8 @@ def training_rows(heads: DataFrame, history: str, tools: str) -> DataFrame:
 
 def shuffled_examples(df: DataFrame, id_col: str, text: str, seed: str) -> DataFrame:
     """All texts in a seeded random order, each as a numbered example row."""
-    keyed = df.select(id_col, F.col(text).alias("_text"), F.md5(F.concat(F.lit(seed), F.col(id_col).cast("string"))).alias("_h"))
-    ranked = numbered(keyed, [], [F.col("_h"), F.col(id_col)], [F.substring("_h", 1, 3)], "place")
+    keyed = df.select(id_col, F.md5(F.concat(F.lit(seed), F.col(id_col).cast("string"))).alias("_h"))
+    ranked = numbered(keyed, [], [F.col("_h"), F.col(id_col)], [F.substring("_h", 1, 3), F.substring("_h", 4, 3)], "place")
+    ranked = ranked.join(df.select(id_col, F.col(text).alias("_text")), id_col)  # texts stay out of the numbering
     example = F.concat(F.lit("\n\nExample "), F.col("place").cast("string"), F.lit(":\n\n[ISSUE]\n"), F.col("_text"), F.lit("\n[/ISSUE]\n"))
     return ranked.select("place", id_col, example.alias("example"))
