@@ -8,11 +8,14 @@ from ..functions import patches as P
 from ..functions import paths, titles
 from ..operators import instances as I
 from ..operators.ordered import id_blocks
+from ..plans import curate
 from .registry import query
 from .views import Views
 
 _TITLE = "regexp_matches(title, '(?i)(?:^|\\W)(?:fix(?:e[sd])?|bug|patch|hotfix|bugfix|feat|refactor|add|support|update|improvement)\\b')"
-_LINKED = "(body LIKE 'Closes #%')"
+_ISSUES = r"""i AS (SELECT number, count(DISTINCT issue) AS n_issues FROM (SELECT number, regexp_extract(body, 'Closes #(\d+)', 1) AS issue FROM v_pulls WHERE body LIKE 'Closes #%'
+    UNION ALL SELECT number, regexp_extract(message, 'Fixes #(\d+)', 1) FROM v_commits WHERE message LIKE 'Fixes #%') GROUP BY number)"""
+_N_ISSUES = "coalesce(n_issues, CASE WHEN title LIKE '%#%' THEN 1 END, 0)::BIGINT"
 _EDITS = "count(*) FILTER (line LIKE '+%' OR line LIKE '-%')"
 _IID = "replace(repo || '-' || number || '-' || substr(sha, 1, 8), '/', '__')"
 
@@ -22,22 +25,21 @@ def _number_block():
 
 
 @query("c01_instance_table", f"""
-WITH s AS (SELECT number, pos, count(*) FILTER (line LIKE '+%') AS lines_added, count(*) FILTER (line LIKE '-%') AS lines_removed,
+WITH {_ISSUES}, s AS (SELECT number, pos, count(*) FILTER (line LIKE '+%') AS lines_added, count(*) FILTER (line LIKE '-%') AS lines_removed,
     count(DISTINCT file_no) AS files_changed, count(*) FILTER (path LIKE 'tests/%' AND (line LIKE '+%' OR line LIKE '-%')) > 4 AS has_tests
   FROM v_lines GROUP BY number, pos HAVING {_EDITS} > 2 AND NOT bool_and(path LIKE '%/README.md'))
-SELECT {_IID} AS instance_id, repo, number AS pull_number, sha, strftime(created_at, '%Y-%m-%d') AS created_at, lines_added, lines_removed, files_changed, has_tests
-FROM s JOIN v_commits USING (number, pos) JOIN v_pulls USING (number)
-WHERE n_parents = 1 AND merged_at IS NOT NULL AND created_at < TIMESTAMP '2000-01-01 00:00:00' AND ({_LINKED} OR {_TITLE})""")
+SELECT {_IID} AS instance_id, repo, number AS pull_number, sha, strftime(created_at, '%Y-%m-%d') AS created_at, {_N_ISSUES} AS n_issues, lines_added, lines_removed, files_changed, has_tests
+FROM s JOIN v_commits USING (number, pos) JOIN v_pulls USING (number) LEFT JOIN i USING (number)
+WHERE n_parents = 1 AND merged_at IS NOT NULL AND created_at < TIMESTAMP '2000-01-01 00:00:00' AND ({_N_ISSUES} > 0 OR {_TITLE})""")
 def instance_table(v: Views):
-    df = I.instance_table(v.pulls(), v.commits(), v.patches(), F.expr("TIMESTAMP_NTZ '2000-01-01 00:00:00'"))
+    df = curate.instance_table(v.pulls(), v.commits(), v.patches(), F.expr("TIMESTAMP_NTZ '2000-01-01 00:00:00'"))
     return df.withColumns({"created_at": F.date_format("created_at", "yyyy-MM-dd"),
                            **{c: F.col(c).cast("long") for c in ("lines_added", "lines_removed", "files_changed")}})
 
 
-@query("f01_valid_pulls", f"SELECT number, title FROM v_pulls WHERE merged_at IS NOT NULL AND ({_LINKED} OR {_TITLE})")
+@query("f01_valid_pulls", f"WITH {_ISSUES} SELECT number, title FROM v_pulls LEFT JOIN i USING (number) WHERE merged_at IS NOT NULL AND ({_N_ISSUES} > 0 OR {_TITLE})")
 def valid_pulls(v: Views):
-    n = F.size(titles.resolved_issues(F.concat_ws("\n", "title", "body")))
-    return I.valid_pulls(v.pulls(), n).select("number", "title")
+    return I.valid_pulls(curate.with_issue_counts(v.pulls(), v.commits()), F.col("n_issues")).select("number", "title")
 
 
 @query("f02_valid_instances", "SELECT number, pos FROM v_files GROUP BY number, pos HAVING bool_or(path LIKE 'src/%')")

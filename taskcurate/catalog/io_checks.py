@@ -102,25 +102,23 @@ def table_load(v: Views):
 
 
 @query("s10_nested_commits", """
-SELECT md5(number || '-' || pos) AS sha, file_no::BIGINT AS file_no, path, type, content FROM v_hunks WHERE type IS NOT NULL AND number % 10 = 0 AND hunk_no = 1""")
+SELECT md5(number || '-' || pos) AS sha, file_no::BIGINT AS file_no, dense_rank() OVER (PARTITION BY number, pos, file_no ORDER BY hunk_no) AS hunk_no, path, type, content FROM v_hunks WHERE type IS NOT NULL""")
 def nested_commits(v: Views):
     from ..operators import diffs
 
     path = _path(v, "s10")
-    lines = diffs.diff_lines(v.patches().filter("number % 10 = 0"), ["number", "pos"]).filter("hunk_no = 1")
     rng = lambda a, b: F.struct(F.col(f"head.{a}").alias("start"), F.col(f"head.{b}").alias("length"))
-    hunks = lines.groupBy("number", "pos", "file_no", "path", "head").agg(F.array_sort(F.collect_list(F.struct("at", "content", "type"))).alias("ls"))
-    files = hunks.select("number", "pos", "file_no", F.struct(
-        F.struct(F.struct("path").alias("file")).alias("header"),
-        F.array(F.struct(F.struct(rng("old_start", "old_length").alias("old_range"), rng("new_start", "new_length").alias("new_range"), F.col("head.section").alias("section")).alias("descriptor"),
-                         F.struct(F.transform("ls", lambda l: F.struct(l["content"].alias("content"), l["type"].alias("type"))).alias("all_lines")).alias("line_group"))).alias("hunks")).alias("d"))
-    commits = files.groupBy("number", "pos").agg(F.array_sort(F.collect_list(F.struct("file_no", "d"))).alias("ds"))
+    lines = diffs.diff_lines(v.patches(), ["number", "pos"])
+    hunks = lines.groupBy("number", "pos", "file_no", "path", "hunk_no", "head").agg(F.array_sort(F.collect_list(F.struct("at", "content", "type"))).alias("ls"))
+    hunk = F.struct(F.struct(rng("old_start", "old_length").alias("old_range"), rng("new_start", "new_length").alias("new_range"), F.col("head.section").alias("section")).alias("descriptor"),
+                    F.struct(F.transform("ls", lambda l: F.struct(l["content"].alias("content"), l["type"].alias("type"))).alias("all_lines")).alias("line_group"))
+    files = hunks.groupBy("number", "pos", "file_no", "path").agg(F.array_sort(F.collect_list(F.struct("hunk_no", hunk.alias("h")))).alias("hs"))
+    diff = F.struct(F.struct(F.struct("path").alias("file")).alias("header"), F.transform("hs", lambda x: x["h"]).alias("hunks"))
+    commits = files.groupBy("number", "pos").agg(F.array_sort(F.collect_list(F.struct("file_no", diff.alias("d")))).alias("ds"))
     commits.select(F.md5(F.concat_ws("-", F.col("number").cast("string"), F.col("pos").cast("string"))).alias("new_commit_hash"),
                    F.transform("ds", lambda x: x["d"]).alias("file_diffs")).write.json(path)
     out = readers.commit_lines(readers.read_jsonl(v.spark, path, readers.PARSED_COMMIT))
-    order = out.select("sha", "path", "type", "content")
-    numbers = v.patch_files().filter("number % 10 = 0").selectExpr("md5(concat(number, '-', pos)) AS sha", "inline(heads)")
-    return order.join(numbers, ["sha", "path"]).select("sha", F.col("file_no").cast("long").alias("file_no"), "path", "type", "content")
+    return out.select("sha", F.col("file_no").cast("long").alias("file_no"), F.col("hunk_no").cast("long").alias("hunk_no"), "path", "type", "content")
 
 
 @query("s11_replace_with_manifest", "SELECT count(*) AS n_rows, sum(number)::BIGINT AS total FROM v_pulls WHERE number % 2 = 0")
@@ -141,14 +139,14 @@ def append(v: Views):
 
 
 @query("s13_kept_and_rejected", """
-SELECT verdict, count(*) AS n FROM (SELECT instance, CASE WHEN count(*) FILTER (upper(verdict) = 'KEEP') * 2 >= count(*) THEN 'KEEP' ELSE 'REJECT' END AS verdict FROM v_votes GROUP BY instance) GROUP BY verdict""")
+SELECT instance, CASE WHEN count(*) FILTER (upper(verdict) = 'KEEP') * 2 >= count(*) THEN 'KEEP' ELSE 'REJECT' END AS verdict FROM v_votes GROUP BY instance""")
 def kept_and_rejected(v: Views):
     from ..operators import votes
 
     path = _path(v, "s13")
     writers.write_split(votes.keep_or_reject(v.votes()), path)
     parts = [readers.read_jsonl(v.spark, f"{path}/_split={k}", "instance bigint, verdict string") for k in ("KEEP", "REJECT")]
-    return parts[0].unionByName(parts[1]).groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
+    return parts[0].unionByName(parts[1])
 
 
 # -- streams -----------------------------------------------------------------------
@@ -210,15 +208,40 @@ def judged_instances(v: Views):
 
 
 @query("c03_evaluation_report", """
-WITH r AS (SELECT instance, CASE WHEN pos % 2 = 0 THEN 'pre' ELSE 'post' END AS phase, test_id, arg_max(status, (pos, i)) AS status FROM v_log_lines GROUP BY ALL),
-  p AS (SELECT instance, test_id, max(status) FILTER (phase = 'pre') AS pre, max(status) FILTER (phase = 'post') AS post FROM r GROUP BY ALL),
-  s AS (SELECT instance, count(post) AS total_tests, count(*) FILTER (post = 'PASSED') AS total_passed, count(*) FILTER (pre = 'FAILED' AND post = 'PASSED') AS f2p, count(*) FILTER (pre = 'PASSED' AND post = 'PASSED') AS p2p FROM p GROUP BY instance)
-SELECT count(*) AS total, count(*) FILTER (total_tests > 0) AS completed, count(*) FILTER (f2p > 0) AS resolved, count(*) FILTER (total_tests > 0 AND f2p = 0) AS unresolved, count(*) FILTER (total_tests = 0) AS error,
-  round(count(*) FILTER (f2p > 0) * 100.0 / count(*), 1)::DOUBLE AS resolve_rate, sum(f2p)::BIGINT AS f2p_total, sum(f2p)::BIGINT AS f2p_passed, sum(p2p)::BIGINT AS p2p_total, sum(p2p)::BIGINT AS p2p_passed,
-  sum(total_tests)::BIGINT AS total_tests, sum(total_passed)::BIGINT AS total_passed FROM s""")
+WITH ends AS (SELECT l_orderkey AS instance, max(pos) AS last, min(pos) AS first FROM v_items GROUP BY 1),
+  r AS (SELECT instance, pos, test_id, arg_max(status, i) AS status FROM v_log_lines GROUP BY ALL),
+  post AS (SELECT r.* FROM r JOIN ends e ON r.instance = e.instance AND r.pos = e.last),
+  lists AS (SELECT r.instance, test_id, r.status = 'FAILED' AS f2p FROM r JOIN ends e ON r.instance = e.instance AND r.pos = e.first WHERE r.status IN ('FAILED', 'PASSED') AND r.instance % 13 <> 0),
+  obs AS (SELECT instance, count(*) AS total_tests, count(*) FILTER (status = 'PASSED') AS total_passed FROM post GROUP BY 1),
+  sc AS (SELECT l.instance, count(*) FILTER (f2p) AS f2p_total, count(*) FILTER (f2p AND p.status = 'PASSED') AS f2p_passed, count(*) FILTER (NOT f2p) AS p2p_total, count(*) FILTER (NOT f2p AND p.status = 'PASSED') AS p2p_passed
+    FROM lists l LEFT JOIN post p USING (instance, test_id) GROUP BY 1),
+  b AS (SELECT e.instance, CASE WHEN e.instance % 11 = 0 THEN 'error' WHEN e.instance % 5 <> 0 AND l_tax > 0.02 AND cast(l_quantity AS int) % 2 = 0 THEN 'resolved' ELSE 'unresolved' END AS bucket,
+      CASE WHEN e.instance % 7 = 0 THEN 10 ELSE total_tests END AS total_tests, CASE WHEN e.instance % 7 = 0 THEN 6 ELSE total_passed END AS total_passed,
+      CASE WHEN e.instance % 7 = 0 THEN 4 ELSE f2p_total END AS f2p_total, CASE WHEN e.instance % 7 = 0 THEN 3 ELSE f2p_passed END AS f2p_passed,
+      CASE WHEN e.instance % 7 = 0 THEN 2 ELSE p2p_total END AS p2p_total, CASE WHEN e.instance % 7 = 0 THEN 1 ELSE p2p_passed END AS p2p_passed,
+      CASE WHEN e.instance % 3 <> 0 THEN (e.instance % 13) * 0.25 END AS cost, CASE WHEN e.instance % 3 <> 0 THEN e.instance % 20 END AS steps
+    FROM ends e JOIN v_items v ON v.l_orderkey = e.instance AND v.pos = e.last LEFT JOIN obs o ON o.instance = e.instance LEFT JOIN sc ON sc.instance = e.instance WHERE e.instance % 9 <> 0),
+  d AS (SELECT * FROM b WHERE bucket <> 'error'),
+  s AS (SELECT count(*) AS completed, count(*) FILTER (bucket = 'resolved') AS resolved, count(*) FILTER (bucket = 'unresolved') AS unresolved, sum(f2p_total)::BIGINT AS f2p_total, sum(f2p_passed)::BIGINT AS f2p_passed,
+    sum(p2p_total)::BIGINT AS p2p_total, sum(p2p_passed)::BIGINT AS p2p_passed, sum(total_tests)::BIGINT AS total_tests, sum(total_passed)::BIGINT AS total_passed,
+    round(sum(cost) / count(cost), 2)::DOUBLE AS avg_cost, round(sum(steps)::DOUBLE / count(cost), 1)::DOUBLE AS avg_steps, round(sum(cost), 2)::DOUBLE AS total_cost FROM d)
+SELECT *, (SELECT count(*) FROM b) AS total, (SELECT count(*) FROM b) - completed AS error, round(resolved * 100.0 / (SELECT count(*) FROM b), 1)::DOUBLE AS resolve_rate,
+  total_passed || '/' || total_tests AS test_pass_rate, f2p_passed || '/' || f2p_total AS f2p_pass_rate, p2p_passed || '/' || p2p_total AS p2p_pass_rate FROM s""")
 def evaluation_report(v: Views):
-    logs = v.logs().withColumn("phase", F.when(F.col("pos") % 2 == 0, "pre").otherwise("post"))
-    return evaluate.report(logs).drop("avg_cost", "avg_steps", "total_cost")
+    from ..functions import logs as L
+    from ..operators import testlogs
+
+    logs = v.logs().withColumnRenamed("instance", "instance_id")
+    ids = logs.select("instance_id").distinct()
+    last = logs.groupBy("instance_id").agg(F.max_by("log", "pos").alias("log")).filter("instance_id % 11 <> 0")
+    reported = "CASE WHEN instance_id % 7 = 0 THEN struct(10L AS total_tests, 6L AS total_passed, 4L AS f2p_total, 3L AS f2p_passed, 2L AS p2p_total, 1L AS p2p_passed) END AS reported"
+    runs = last.select("instance_id", F.expr("instance_id % 5 <> 0 AS patch_applied"), L.exit_code(F.col("log")).alias("exit_code"), F.expr(reported), "log")
+    before = logs.groupBy("instance_id").agg(F.min_by("log", "pos").alias("log")).filter("instance_id % 13 <> 0")
+    lists = testlogs.results_table(before, ["instance_id"], L.full_results).filter("status IN ('FAILED', 'PASSED')").selectExpr(
+        "instance_id", "CASE status WHEN 'FAILED' THEN 'FAIL_TO_PASS' ELSE 'PASS_TO_PASS' END AS list", "test_id"
+    )
+    stats = ids.filter("instance_id % 3 <> 0").selectExpr("instance_id", "(instance_id % 13) * 0.25D AS cost", "instance_id % 20 AS steps")
+    return evaluate.report(ids, lists, ids.filter("instance_id % 9 <> 0"), runs, stats)
 
 
 @query("c04_best_submission", """

@@ -49,10 +49,10 @@ def first_and_last(v: Views):
     return first.join(M.last_per_key(c, ["number"], [F.col("pos")]).select("number", F.col("sha").alias("last_sha")), "number")
 
 
-@query("t03_number_order", "SELECT k, number FROM (SELECT number::VARCHAR AS k, number FROM v_pulls ORDER BY number DESC LIMIT 200)")
+@query("t03_number_order", "SELECT number::VARCHAR AS k, number FROM v_pulls ORDER BY number DESC")
 def number_order(v: Views):
     df = v.pulls().select(F.col("number").cast("string").alias("k"), "number")
-    return M.by_number_descending(df, "k").limit(200)
+    return M.by_number_descending(df, "k")
 
 
 @query("j07_update_fields", """

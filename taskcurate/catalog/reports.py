@@ -45,10 +45,13 @@ def distribution_rollup(v: Views):
     return R.distribution_with_totals(_labelled(v), "difficulty", "repo")
 
 
+REPOS = [f"org{i}/proj" for i in range(7)]
+
+
 @query("a10_label_matrix", f"""
-WITH {_LABELLED} SELECT type, count(*) FILTER (repo = 'org0/proj') AS "org0/proj", count(*) FILTER (repo = 'org1/proj') AS "org1/proj", count(*) FILTER (repo = 'org2/proj') AS "org2/proj" FROM l GROUP BY type""")
+WITH {_LABELLED} SELECT type, {", ".join(f"count(*) FILTER (repo = '{r}') AS \"{r}\"" for r in REPOS)} FROM l GROUP BY type""")
 def label_matrix(v: Views):
-    return R.label_matrix(_labelled(v), "type", "repo", ["org0/proj", "org1/proj", "org2/proj"])
+    return R.label_matrix(_labelled(v), "type", "repo", REPOS)
 
 
 @query("a11_box_figures", f"""
@@ -110,7 +113,7 @@ def _buckets(v: Views):
     post = T.pre_post(v.test_runs()).select("instance", F.col("post").alias("status"))
     done = T.pass_counts(post, "instance").selectExpr(
         "instance AS instance_id", "tests AS total_tests", "passed AS total_passed", "passed * 2 >= tests AS resolved",
-        "0L AS f2p_total", "0L AS f2p_passed", "0L AS p2p_total", "0L AS p2p_passed")
+        "instance % 5 AS f2p_total", "instance % 5 div 2 AS f2p_passed", "instance % 3 + 1 AS p2p_total", "instance % 3 AS p2p_passed")
     preds = v.pulls().filter("number % 3 <> 0").selectExpr("number AS instance_id")
     stats = v.pulls().filter("number % 4 <> 0").selectExpr("number AS instance_id", "(number % 13) * 0.25D AS cost", "number % 20 AS steps")
     ds = v.pulls().selectExpr("number AS instance_id")
@@ -124,8 +127,11 @@ def run_buckets(v: Views):
 
 @query("a22_run_report", f"""
 WITH {_BUCKETS} SELECT count(*) AS total, count(*) FILTER (bucket <> 'error') AS completed, count(*) FILTER (bucket = 'resolved') AS resolved, count(*) FILTER (bucket = 'unresolved') AS unresolved,
-  count(*) FILTER (bucket = 'error') AS error, round(count(*) FILTER (bucket = 'resolved') * 100.0 / count(*), 1)::DOUBLE AS resolve_rate, 0::BIGINT AS f2p_total, 0::BIGINT AS f2p_passed, 0::BIGINT AS p2p_total, 0::BIGINT AS p2p_passed,
-  sum(total_tests)::BIGINT AS total_tests, sum(total_passed)::BIGINT AS total_passed, round(sum(cost) / count(cost), 2)::DOUBLE AS avg_cost, round(sum(steps)::DOUBLE / count(cost), 1)::DOUBLE AS avg_steps, round(sum(cost), 2)::DOUBLE AS total_cost FROM b""")
+  count(*) FILTER (bucket = 'error') AS error, round(count(*) FILTER (bucket = 'resolved') * 100.0 / count(*), 1)::DOUBLE AS resolve_rate, sum(f2p)::BIGINT AS f2p_total, sum(f2p // 2)::BIGINT AS f2p_passed, sum(p2p + 1)::BIGINT AS p2p_total, sum(p2p)::BIGINT AS p2p_passed,
+  sum(total_tests)::BIGINT AS total_tests, sum(total_passed)::BIGINT AS total_passed, round(sum(cost) FILTER (bucket <> 'error') / count(cost) FILTER (bucket <> 'error'), 2)::DOUBLE AS avg_cost,
+  round(sum(steps) FILTER (bucket <> 'error')::DOUBLE / count(cost) FILTER (bucket <> 'error'), 1)::DOUBLE AS avg_steps, round(sum(cost) FILTER (bucket <> 'error'), 2)::DOUBLE AS total_cost,
+  sum(total_passed) || '/' || sum(total_tests) AS test_pass_rate, sum(f2p // 2) || '/' || sum(f2p) AS f2p_pass_rate, sum(p2p) || '/' || sum(p2p + 1) AS p2p_pass_rate
+FROM (SELECT *, CASE WHEN instance IS NOT NULL THEN number % 5 END AS f2p, CASE WHEN instance IS NOT NULL THEN number % 3 END AS p2p FROM b)""")
 def run_report(v: Views):
     return R.run_report(_buckets(v))
 

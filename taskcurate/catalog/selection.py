@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import selection as S
@@ -33,8 +36,9 @@ def yes_probability(v: Views):
 
 
 @query("d02_selector_by_name", """
-SELECT 'ef' AS mode, count(*) AS images, sum(cand % 1000)::BIGINT AS cands FROM (SELECT image, arg_max(cand, (verifier_prob, -cand)) AS cand FROM v_cands GROUP BY image)
-UNION ALL SELECT 'eb', count(*), sum(cand % 1000)::BIGINT FROM (SELECT image, arg_max(cand, (regression_pass, reproduction_score, -cand)) AS cand FROM v_cands GROUP BY image)""")
+WITH h AS (SELECT *, row_number() OVER (PARTITION BY image ORDER BY verifier_prob DESC, cand) AS rn, count(*) OVER (PARTITION BY image) AS n FROM v_cands)
+SELECT 'ef' AS mode, image, arg_max(cand, (verifier_prob, -cand)) AS cand FROM v_cands GROUP BY image
+UNION ALL SELECT 'eb', image, arg_max(cand, (regression_pass, reproduction_score, -cand)) FROM v_cands GROUP BY image
+UNION ALL SELECT 'hybrid', image, arg_max(cand, (regression_pass, reproduction_score, verifier_prob, -cand)) FROM h WHERE rn <= greatest(1, n // 2) GROUP BY image""")
 def selector_by_name(v: Views):
-    parts = [S.select_best(v.cands(), m).agg(F.lit(m).alias("mode"), F.count(F.lit(1)).alias("images"), F.sum(F.col("cand") % 1000).alias("cands")) for m in ("ef", "eb")]
-    return parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, [S.select_best(v.cands(), m).select(F.lit(m).alias("mode"), "image", "cand") for m in S.SELECTORS])

@@ -60,12 +60,15 @@ def bash_lines(v: Views):
 
 
 @query("x29c_test_command", """
-SELECT conv_id, 'python t' || conv_id || '.py' AS command FROM conversations GROUP BY conv_id HAVING bool_or(turn = 1)""")
+SELECT conv_id, 'python t' || conv_id || '.py' AS command FROM conversations GROUP BY conv_id HAVING bool_or(turn = 1) AND NOT (conv_id % 5 = 0 AND bool_or(turn = 3))""")
 def test_command(v: Views):
-    raw = v.traj().filter("step_idx <= 1").withColumn("action", F.when(
-        F.col("step_idx") == 0, F.expr("concat('<function=file_editor><parameter=command>create</parameter><parameter=path>/testbed/t', conv_id, '.py</parameter></function>')")
-    ).otherwise(F.expr("concat('<function=execute_bash><parameter=cmd>python t', conv_id, '.py</parameter></function>')")))
-    return J.test_command(J.with_actions(raw), "conv_id")
+    create = lambda name: F.expr(f"concat('<function=file_editor><parameter=command>create</parameter><parameter=path>/testbed/{name}', conv_id, '.py</parameter></function>')")
+    action = (
+        F.when(F.col("step_idx") == 0, create("t"))
+        .when(F.col("step_idx") == 1, F.expr("concat('<function=execute_bash><parameter=cmd>python t', conv_id, '.py</parameter></function>')"))
+        .when((F.col("step_idx") == 3) & (F.col("conv_id") % 5 == 0), create("second"))
+    )
+    return J.test_command(J.with_actions(v.traj().withColumn("action", F.coalesce(action, "action"))), "conv_id")
 
 
 @query("a16_totals", """

@@ -36,13 +36,6 @@ class Views:
             """l_linenumber * 10000000000000000L + l_partkey % 1000000 * 10000000000L + l_suppkey % 10000 * 1000000L
                + cast(floor(l_extendedprice) AS bigint) % 1000000"""))
 
-    def spread_items(self) -> DataFrame:
-        """Items over all cores where the file has fewer splits (small test files do)."""
-        df, cores = self.items(), self.spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-        return df.repartition(cores, "l_orderkey", "pos")
-
     def pulls(self) -> DataFrame:
         return self.table("orders").selectExpr(
             "o_orderkey AS number",
@@ -86,7 +79,7 @@ class Views:
 
     def patch_files(self) -> DataFrame:
         """One row per commit; ``files`` is an array of (file_no, path, lines)."""
-        rows = self.spread_items().selectExpr(
+        rows = self.items().selectExpr(
             "l_orderkey AS number", "pos", "l_partkey AS pk", "l_suppkey AS sk",
             "cast(l_quantity AS int) AS q", "1 + l_linenumber % 3 AS n_files",
         )
@@ -183,7 +176,7 @@ class Views:
 
     def logs(self) -> DataFrame:
         """Raw console output, one log per item."""
-        df = self.spread_items().selectExpr(
+        df = self.items().selectExpr(
             "l_orderkey AS instance",
             "pos",
             """concat('start\\n', array_join(transform(sequence(0, cast(l_quantity AS int) % 5 + 1), i -> concat(

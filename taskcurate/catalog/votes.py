@@ -89,6 +89,6 @@ def parse_answers(v: Views):
         "number", "a.verdict", F.col("a.fields.reason").alias("reason"), "block")
 
 
-@query("d04_group_judge", f"WITH {_MAJORITY} SELECT verdict, count(*) AS n, sum(total)::BIGINT AS votes FROM w GROUP BY verdict")
+@query("d04_group_judge", f"WITH {_MAJORITY} SELECT instance, verdict, total::BIGINT AS total FROM w")
 def group_judge(v: Views):
-    return V.keep_or_reject(v.votes()).groupBy("verdict").agg(F.count(F.lit(1)).alias("n"), F.sum("total").alias("votes"))
+    return V.keep_or_reject(v.votes()).select("instance", "verdict", F.col("total").cast("long").alias("total"))

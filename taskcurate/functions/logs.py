@@ -144,7 +144,8 @@ def failure_sections(log: Column) -> Column:
     Parameters in brackets are cut from the test name.
     """
     text = F.substring_index(F.substring_index(log, "====== warnings summary =========", 1), "============================= PASSES ", 1)
-    sections = F.slice(F.split(strip(text), r"\n=+\s+(?:ERRORS|FAILURES)\s+=+\n"), 2, 1_000_000)
+    parts = F.split(strip(text), r"\n=+\s+(?:ERRORS|FAILURES)\s+=+\n")
+    sections = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
     blocks = F.filter(F.flatten(F.transform(sections, lambda s: F.split(s, r"\n__+\s+|^__+\s+"))), lambda b: b.rlike(r"\S"))
 
     def parsed(b: Column) -> Column:

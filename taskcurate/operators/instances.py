@@ -90,32 +90,6 @@ def near_equal_parts(df: DataFrame, order: Sequence[Column], block: Sequence[Col
     return ranked.withColumn("part", part.cast("long")).drop("_rank", "_total")
 
 
-def instance_table(pulls: DataFrame, commits: DataFrame, patches: DataFrame, cutoff: Column | None = None) -> DataFrame:
-    """Pull requests and their commits -> task instances.
-
-    Cheap filters run before the joins.  All commits of a pull request share
-    its key, so the join may be skewed; pulls are unique per number, which lets
-    adaptive execution split the heavy side.
-    """
-    good = pulls if cutoff is None else before_cutoff(pulls, cutoff)
-    n_issues = F.size(titles.resolved_issues(F.concat_ws("\n", "title", "body")))
-    good = valid_pulls(good, n_issues).select("number", "repo", "created_at", "title")
-    p = F.col("patch")
-    kept = patches.filter(~P.is_trivial(p) & ~P.is_readme_only(p))
-    rows = without_merges(commits).select("number", "pos", "sha").join(kept, ["number", "pos"]).join(good, "number")
-    return rows.select(
-        paths.instance_id(F.col("repo"), F.col("number"), F.col("sha")).alias("instance_id"),
-        "repo",
-        F.col("number").alias("pull_number"),
-        "sha",
-        "created_at",
-        P.n_added(p).alias("lines_added"),
-        P.n_removed(p).alias("lines_removed"),
-        F.size(P.files(p)).alias("files_changed"),
-        P.has_real_tests(P.test_part(p)).alias("has_tests"),
-    )
-
-
 def decompose(files: DataFrame, key: str, threshold: int = 6, size: int = 4) -> DataFrame:
     """Big commits are cut into groups of ``size`` files; the group number is added.
 

@@ -66,21 +66,26 @@ def run_buckets(dataset: DataFrame, predictions: DataFrame, reports: DataFrame)
 
 
 def run_report(buckets: DataFrame) -> DataFrame:
-    """One summary row; the id lists are the ``buckets`` table itself."""
-    total = F.count(F.lit(1))
-    done = F.count_if(F.col("bucket") != "error")
-    stats = F.count("cost")
-    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("f2p_total", "f2p_passed", "p2p_total", "p2p_passed", "total_tests", "total_passed")]
-    return buckets.agg(
+    """One summary row; the id lists are the ``buckets`` table itself.
+
+    Cost and steps count for completed instances that have them.  Pass rates
+    are texts like ``3/7``, null where nothing was to pass.
+    """
+    total, done = F.count(F.lit(1)), F.col("bucket") != "error"
+    sums = ("f2p_total", "f2p_passed", "p2p_total", "p2p_passed", "total_tests", "total_passed")
+    cost, steps = F.when(done, F.col("cost")), F.when(done & F.col("cost").isNotNull(), F.col("steps"))
+    out = buckets.agg(
         total.alias("total"),
-        done.alias("completed"),
+        F.count_if(done).alias("completed"),
         *[F.count_if(F.col("bucket") == b).alias(b) for b in ("resolved", "unresolved", "error")],
         F.round(F.count_if(F.col("bucket") == "resolved") * 100 / total, 1).alias("resolve_rate"),
-        *sums,
-        F.round(F.sum("cost") / stats, 2).alias("avg_cost"),
-        F.round(F.sum("steps") / stats, 1).alias("avg_steps"),
-        F.round(F.sum("cost"), 2).alias("total_cost"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums],
+        F.round(F.sum(cost) / F.count(cost), 2).alias("avg_cost"),
+        F.round(F.sum(steps) / F.count(cost), 1).alias("avg_steps"),
+        F.round(F.sum(cost), 2).alias("total_cost"),
     )
+    rate = lambda passed, of: F.when(F.col(of) > 0, F.concat_ws("/", F.col(passed).cast("string"), F.col(of).cast("string")))
+    return out.withColumns({"test_pass_rate": rate("total_passed", "total_tests"), "f2p_pass_rate": rate("f2p_passed", "f2p_total"), "p2p_pass_rate": rate("p2p_passed", "p2p_total")})
 
 
 # -- distributions -----------------------------------------------------------------

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import logs as L
 from ..operators import reports, testlogs
 
+SCORES = ("total_tests", "total_passed", "f2p_total", "f2p_passed", "p2p_total", "p2p_passed")
+
 
 def outcomes(logs: DataFrame) -> DataFrame:
     """``logs`` is (instance, phase, pos, log); the last log of a phase decides per test."""
@@ -16,20 +18,53 @@ def outcomes(logs: DataFrame) -> DataFrame:
     return testlogs.pre_post(runs)
 
 
-def report(logs: DataFrame) -> DataFrame:
-    """Counts of resolved, unresolved and broken instances over the lists their own runs give.
+def list_scores(results: DataFrame, lists: DataFrame) -> DataFrame:
+    """Scores of each instance that has results or lists.
 
-    An instance is resolved if some test went from fail to pass; those tests
-    pass by definition, so all scores come from one grouped pass.
+    ``results`` is (instance_id, test_id, status), ``lists`` the long form of
+    the dataset's lists (instance_id, list, test_id).  An instance without
+    lists is scored by the names of its tests.
     """
-    before, after = F.col("pre"), F.col("post")
-    f2p = F.count_if((before == "FAILED") & (after == "PASSED"))
-    p2p = F.count_if((before == "PASSED") & (after == "PASSED"))
-    scores = outcomes(logs).groupBy(F.col("instance").alias("instance_id")).agg(
-        F.count("post").alias("total_tests"), F.count_if(after == "PASSED").alias("total_passed"),
-        f2p.alias("f2p_total"), f2p.alias("f2p_passed"), p2p.alias("p2p_total"), p2p.alias("p2p_passed"),
-    )
-    done = scores.filter("total_tests > 0").withColumn("resolved", F.col("f2p_total") > 0)
-    ids = logs.select(F.col("instance").alias("instance_id")).distinct()
-    nothing = {"cost": F.lit(None).cast("double"), "steps": F.lit(None).cast("long")}
-    return reports.run_report(reports.run_buckets(ids, ids, done).withColumns(nothing))
+    passed = F.coalesce(F.col("status") == "PASSED", F.lit(False))
+
+    def counts(of: dict[str, object]) -> list:
+        return [c for n, is_in in of.items() for c in (F.count_if(is_in).alias(f"{n}_total"), F.count_if(is_in & passed).alias(f"{n}_passed"))]
+
+    named = {n: F.col("test_id").contains(f"test_{n}_") for n in ("f2p", "p2p")}
+    seen = results.groupBy("instance_id").agg(F.count(F.lit(1)).alias("total_tests"), F.count_if(passed).alias("total_passed"), *counts(named))
+    listed = {"f2p": F.col("list") == "FAIL_TO_PASS", "p2p": F.col("list") == "PASS_TO_PASS"}
+    wanted = lists.join(results, ["instance_id", "test_id"], "left").groupBy("instance_id").agg(*counts(listed))
+    both = seen.withColumnsRenamed({c: f"_{c}" for c in SCORES[2:]}).join(wanted, "instance_id", "full_outer")
+    has_list = F.coalesce(F.col("f2p_total") + F.col("p2p_total"), F.lit(0)) > 0
+    zero = F.lit(0).cast("long")
+    return both.select(
+        "instance_id", *[F.coalesce(c, zero).alias(c) for c in SCORES[:2]],
+        *[F.coalesce(F.when(has_list, F.col(c)).otherwise(F.col(f"_{c}")), zero).alias(c) for c in SCORES[2:]],
+    )
+
+
+def fully_resolved(scores: DataFrame) -> DataFrame:
+    """Reward 1.0 if all tests of both lists passed and there are any, else 0.0."""
+    all_passed = (F.col("f2p_passed") == F.col("f2p_total")) & (F.col("p2p_passed") == F.col("p2p_total")) & (F.col("f2p_total") + F.col("p2p_total") > 0)
+    return scores.select("instance_id", F.when(all_passed, 1.0).otherwise(0.0).alias("reward"))
+
+
+def buckets(dataset: DataFrame, lists: DataFrame, predictions: DataFrame, runs: DataFrame, stats: DataFrame) -> DataFrame:
+    """Predicted instances of the dataset with bucket, scores, cost and steps.
+
+    ``runs`` has a row per evaluated instance: instance_id, patch_applied,
+    exit_code, log, and in ``reported`` the scores of its report, null or
+    without tests where they must come from the log.  Resolved means that the
+    patch applied and the tests ended with exit code 0.
+    """
+    results = testlogs.results_table(runs, ["instance_id"], L.full_results)
+    found = runs.select("instance_id", "reported", F.coalesce(F.col("patch_applied") & (F.col("exit_code") == 0), F.lit(False)).alias("resolved"))
+    parsed = found.join(list_scores(results, lists.join(found, "instance_id", "left_semi")), "instance_id", "left")
+    trusted = F.coalesce(F.col("reported.total_tests") > 0, F.lit(False))
+    scored = parsed.select("instance_id", "resolved", *[F.when(trusted, F.col(f"reported.{c}")).otherwise(F.coalesce(c, F.lit(0).cast("long"))).alias(c) for c in SCORES])
+    return reports.run_buckets(dataset, predictions, scored).join(stats, "instance_id", "left")
+
+
+def report(dataset: DataFrame, lists: DataFrame, predictions: DataFrame, runs: DataFrame, stats: DataFrame) -> DataFrame:
+    """The summary row of :func:`buckets`."""
+    return reports.run_report(buckets(dataset, lists, predictions, runs, stats))

@@ -9,10 +9,14 @@ from pyspark.sql import SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared folder of the session.
+    """A new folder below the shared folder of the session, ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` names that folder; only where it is unset, as in
-    tests, a temporary folder of this machine is used.
+    Only a local session, as in tests, may leave it unset: then a temporary
+    folder of this machine is used.  On a cluster executors would not share it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="taskcurate-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="taskcurate-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
