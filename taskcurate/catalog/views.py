@@ -126,6 +126,12 @@ class Views:
             items, ["number"], [F.col("l_orderkey"), F.col("pos")], [F.col("l_orderkey"), F.expr("pos div 10000000000000000")], "file_pos"
         ).select("number", "file_pos", "path")
 
+    def entity_versions(self) -> DataFrame:
+        """Where entities stand before and after a change: some only once, some moved down by three lines."""
+        old = self.entities().filter("in_before").selectExpr("path", "kind", "name", "'old' AS version", "start_line", "end_line")
+        new = self.entities().filter("in_after").selectExpr("path", "kind", "name", "'new' AS version", "start_line + 3 * cast(name LIKE '%2' AS int)", "end_line + 3 * cast(name LIKE '%2' AS int)")
+        return old.union(new)
+
     def entities(self) -> DataFrame:
         return (
             self.table("part")

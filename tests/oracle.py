@@ -82,7 +82,7 @@ def main(argv: list[str]) -> int:
     from taskcurate.session import local_session
 
     sf_dir, names = argv[0], argv[1:]
-    spark, con = local_session(8), connect(sf_dir)
+    spark, con = local_session(int(os.environ.get("ORACLE_CPUS", "8"))), connect(sf_dir)
     sql, bad = e.oracle_sql(), 0
     for name, fn in e.queries().items():
         if names and not any(name.startswith(n) for n in names):

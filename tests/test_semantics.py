@@ -215,3 +215,27 @@ def test_entity_spans_nested_and_async(spark):
 @pytest.mark.parametrize("text,want", [("Yes", True), ("0", False), ("maybe", None)])
 def test_bool_words(spark, text, want):
     assert one(spark, texts.to_bool(F.lit(text))) is want
+
+
+def test_entities_before_and_after(spark):
+    from taskcurate.operators import entities as E
+
+    old = "def f():\n    return 1\n\n\ndef gone():\n    return 2\n"
+    new = "import os\n" * 20 + "def f():\n    return 3\n\n\ndef fresh():\n    return 4\n"
+    files = lambda text: spark.createDataFrame([("a.py", text)], "path string, source string")
+    spans = E.file_changes(files(old), files(new))
+    lines = [("deleted", 2, None), ("added", None, 22), ("deleted", 6, None), ("added", None, 26)]
+    edits = spark.createDataFrame([(1, "a.py", *x) for x in lines], "number int, path string, type string, old_line int, new_line int")
+    got = {(r.name, r.status) for r in E.touched_entities(edits, spans, ["number"]).collect()}
+    assert got == {("f", "modified"), ("gone", "deleted"), ("fresh", "added")}
+
+
+def test_full_resolution(spark):
+    from taskcurate.plans import evaluate
+
+    results = spark.createDataFrame([("a", "t1", "PASSED"), ("a", "t2", "PASSED"), ("b", "t1", "PASSED"), ("b", "t2", "FAILED"), ("c", "x::test_f2p_1", "PASSED"), ("c", "x::test_p2p_1", "FAILED"), ("d", "t", "PASSED")], "instance_id string, test_id string, status string")
+    lists = spark.createDataFrame([(i, l, t) for i in "abe" for l, t in (("FAIL_TO_PASS", "t1"), ("PASS_TO_PASS", "t2"))], "instance_id string, list string, test_id string")
+    scores = evaluate.list_scores(results, lists)
+    got = {r.instance_id: (r.total_tests, r.f2p_passed, r.f2p_total, r.p2p_passed, r.p2p_total) for r in scores.collect()}
+    assert got == {"a": (2, 1, 1, 1, 1), "b": (2, 1, 1, 0, 1), "c": (2, 1, 1, 0, 1), "d": (1, 0, 0, 0, 0), "e": (0, 0, 1, 0, 1)}
+    assert {r.instance_id for r in evaluate.fully_resolved(scores).collect() if r.reward == 1.0} == {"a"}
