@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patches as P
 from ..operators import reports as R
+from ..operators import trajectories as J
 from .registry import query
 from .views import Views
 
@@ -143,6 +144,14 @@ def build_summary(v: Views):
     return R.build_summary(df).withColumn("success_rate", F.round("success_rate", 6))
 
 
+@query("a25b_build_failures", """
+SELECT number, CASE number % 5 WHEN 0 THEN 'unknown' WHEN 1 THEN 'unknown' ELSE 'no ' || repo END AS reason FROM v_pulls WHERE number % 5 < 3""")
+def build_failures(v: Views):
+    df = v.pulls().selectExpr("number", "CASE number % 5 WHEN 0 THEN NULL WHEN 1 THEN 'unknown' WHEN 2 THEN 'failed' ELSE 'success' END AS status",
+                              "CASE number % 5 WHEN 0 THEN '' WHEN 2 THEN concat('no ', repo) END AS why")
+    return R.build_failures(df, "number", "why")
+
+
 @query("a26_cost_rollup", """
 WITH c AS (SELECT event_type AS iteration, user_id AS i, event_id % 50 AS o FROM events)
 SELECT iteration, count(*) AS calls, sum(i)::BIGINT AS input_tokens, sum(o)::BIGINT AS output_tokens, round(sum(i * 0.25 + o * 0.5), 6)::DOUBLE AS cost FROM c GROUP BY ROLLUP (iteration)""")
@@ -159,6 +168,21 @@ def describe(v: Views):
     return df.withColumns({c: F.round(c, 6) for c in ("mean", "std", "p05", "p50", "p95")})
 
 
+_METRICS = ("tokens_prompt", "tokens_completion", "tokens_total", "n_steps", "llm_time", "env_time", "max_llm_step", "last_step_time")
+
+
+@query("a15c_describe_totals", f"""
+WITH t AS (SELECT conv_id % 2 = 0 AS solved, conv_id, count(*) AS n_steps, sum(token_prompt) AS tokens_prompt, sum(token_completion) AS tokens_completion, sum(token_prompt + token_completion) AS tokens_total,
+    sum(llm_time) AS llm_time, sum(env_time) AS env_time, max(llm_time) AS max_llm_step, arg_max(llm_time + env_time, step_idx) AS last_step_time FROM v_traj GROUP BY conv_id),
+  m AS ({" UNION ALL ".join(f"SELECT '{c}' AS metric, solved, {c}::DOUBLE AS v FROM t" for c in _METRICS)})
+SELECT metric, solved, count(v) AS n, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std, min(v) AS low, max(v) AS high, round(quantile_cont(v, 0.05), 6) AS p05, round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.95), 6) AS p95
+FROM m GROUP BY metric, solved""")
+def describe_totals(v: Views):
+    totals = J.totals(v.traj(), "conv_id").withColumn("solved", F.col("conv_id") % 2 == 0)
+    df = R.describe_many(totals, _METRICS, {"p05": 0.05, "p50": 0.5, "p95": 0.95}, ["solved"])
+    return df.withColumns({c: F.round(c, 6) for c in ("mean", "std", "p05", "p50", "p95")})
+
+
 @query("a15b_describe_by_reward", """
 SELECT reward = 1 AS solved, count(value) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, min(value) AS low, max(value) AS high, round(quantile_cont(value, 0.75), 6) AS p75
 FROM (SELECT CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS reward, value FROM events) GROUP BY 1""")

@@ -286,6 +286,17 @@ def condense_plan(v: Views):
     return J.condense_plan(blocks, "conv_id", "turn", "text", total, 700)
 
 
+@query("w12b_condensed_text", """
+WITH b AS (SELECT conv_id, turn, text, role = 'assistant' OR turn % 2 = 0 AS block FROM conversations),
+  c AS (SELECT *, sum(length(text) + CASE WHEN block THEN 20 ELSE 0 END) OVER (PARTITION BY conv_id) AS chars, count(*) FILTER (block) OVER (PARTITION BY conv_id) AS n,
+    coalesce(sum(CASE WHEN block THEN length(text) - 38 END) OVER (PARTITION BY conv_id, block ORDER BY length(text) DESC, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS saved FROM b)
+SELECT conv_id, string_agg(CASE WHEN NOT block THEN text ELSE '[ASSISTANT]' || CASE WHEN n > 1 AND chars - saved > 700 THEN '<Thought condensed for saving context>' ELSE text END || '<function' || chr(10) END, '' ORDER BY turn) AS transcript FROM c GROUP BY conv_id""")
+def condensed_text(v: Views):
+    steps = v.table("conversations").withColumnRenamed("turn", "step_idx")
+    said = F.when((F.col("role") == "assistant") | (F.col("step_idx") % 2 == 0), F.concat(F.lit("[ASSISTANT]"), "text", F.lit("<function\n"))).otherwise(F.col("text"))
+    return J.transcript(steps, "conv_id", said).withColumn("transcript", J.condensed(F.col("transcript"), 700))
+
+
 @query("x26_transcripts", """
 SELECT conv_id, string_agg(chr(10) || chr(10) || '[STEP]' || chr(10) || turn || chr(10) || '[/STEP]' || chr(10) || chr(10) || '[ASSISTANT]' || chr(10) || role || chr(10) || chr(10) || 'act' || chr(10) || '[/ASSISTANT]'
   || chr(10) || chr(10) || '[USER]' || chr(10) || text || chr(10) || '[/USER]', '' ORDER BY turn) AS verifier,

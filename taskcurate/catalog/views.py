@@ -6,10 +6,9 @@ Each view exists twice, as a DataFrame (``Views``) and as DuckDB SQL
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.ordered import numbered
 
 
 def stored(df: DataFrame, column: str) -> DataFrame:
@@ -122,9 +121,8 @@ class Views:
         items = self.items().selectExpr(
             "l_orderkey div 4 AS number", "l_orderkey", "pos", "concat('src/m', l_partkey, '.py') AS path"
         )
-        return numbered(
-            items, ["number"], [F.col("l_orderkey"), F.col("pos")], [F.col("l_orderkey"), F.expr("pos div 10000000000000000")], "file_pos"
-        ).select("number", "file_pos", "path")
+        place = F.row_number().over(Window.partitionBy("number").orderBy("l_orderkey", "pos"))  # a commit is one cell
+        return items.select("number", place.cast("long").alias("file_pos"), "path")
 
     def entity_versions(self) -> DataFrame:
         """Where entities stand before and after a change: some only once, some moved down by three lines."""

@@ -137,6 +137,18 @@ def describe(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[st
     return exact_percentiles(df, by, value, probs, moments=True)
 
 
+def describe_many(df: DataFrame, values: Sequence[str], probs: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """:func:`describe` of several columns at once: a row per (metric, group), from one pass over ``df``."""
+    metrics = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("_value")) for n in values])
+    return exact_percentiles(df.select(*by, F.inline(metrics)), ["metric", *by], "_value", probs, moments=True)
+
+
+def build_failures(df: DataFrame, key: str, reason: str) -> DataFrame:
+    """Builds that did not succeed, with their reason (``unknown`` if none is given)."""
+    failed = ~F.coalesce(F.col("status") == "success", F.lit(False))
+    return df.filter(failed).select(key, F.coalesce(F.nullif(F.col(reason), F.lit("")), F.lit("unknown")).alias("reason"))
+
+
 def build_summary(df: DataFrame) -> DataFrame:
     ok = F.count_if(F.coalesce(F.col("status") == "success", F.lit(False)))
     total = F.count(F.lit(1))

@@ -283,6 +283,36 @@ def condense_plan(blocks: DataFrame, key: str, block_no: str, text: str, total:
     return out.select(key, block_no, "size", goes.alias("condensed"))
 
 
+BLOCK_OPEN, BLOCK_CLOSE, CONDENSED = "[ASSISTANT]", "<function", "<Thought condensed for saving context>"
+
+
+def condensed(text: Column, budget: int) -> Column:
+    """A transcript whose longest thoughts give way to a placeholder until it has ``budget`` characters.
+
+    A thought is what stands between ``BLOCK_OPEN`` and the next
+    ``BLOCK_CLOSE``.  The longest goes first (the earlier one on a tie); with
+    one thought, or when all are gone, the text stays as it is.  All of it
+    happens inside the cell.
+    """
+    found = rf"(?s)\Q{BLOCK_OPEN}\E(.*?)\Q{BLOCK_CLOSE}\E"
+    thoughts, between = F.regexp_extract_all(text, F.lit(found), 1), F.split(text, found)
+    sized = F.filter(
+        F.transform(thoughts, lambda t, i: F.struct((-F.length(t)).alias("size"), i.alias("at"), (F.trim(t) == CONDENSED).alias("done"))),
+        lambda t: ~t["done"],
+    )
+    start = F.struct(F.length(text).cast("long").alias("left"), F.array().cast("array<int>").alias("gone"))
+    plan = F.aggregate(
+        F.array_sort(sized), start,
+        lambda s, t: F.when(
+            s["left"] > budget,
+            F.struct((s["left"] + t["size"] + len(CONDENSED)).cast("long").alias("left"), F.concat(s["gone"], F.array(t["at"])).alias("gone")),
+        ).otherwise(s),
+    )
+    new = F.transform(thoughts, lambda t, i: F.concat(F.lit(BLOCK_OPEN), F.when(F.array_contains(plan["gone"], i), CONDENSED).otherwise(t), F.lit(BLOCK_CLOSE)))
+    whole = F.array_join(F.transform(between, lambda b, i: F.concat(b, F.coalesce(F.get(new, i), F.lit("")))), "")
+    return F.when((F.size(thoughts) > 1) & (F.length(text) > budget), whole).otherwise(text)
+
+
 def transcript(steps: DataFrame, key: str, step_text: Column) -> DataFrame:
     """One text per run: its steps in order (a text cell, so bounded by one run)."""
     ordered = F.array_sort(F.collect_list(F.struct(F.col("step_idx"), step_text.alias("t"))))
