@@ -133,18 +133,40 @@ def decompose(v: Views):
     return df.groupBy(gid.alias("id")).agg(F.count(F.lit(1)).alias("n_files"), F.min("file_pos").alias("first_file"))
 
 
-@query("w08b_assign_tests", """
-WITH g AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY number) > 6 THEN (file_pos - 1) // 4 END AS g FROM v_wide),
+_WIDE_TESTS = """g AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY number) > 6 THEN (file_pos - 1) // 4 END AS g FROM v_wide),
   code AS (SELECT number, g, regexp_extract(path, '([^/]*)\\.py$', 1) AS stem, 'src' AS dir FROM g WHERE g IS NOT NULL),
   tests AS (SELECT DISTINCT l_orderkey // 4 AS number, CASE WHEN l_suppkey % 50 = 0 THEN 'src/tests' ELSE 'checks' END AS dir, 'm' || (l_partkey + l_suppkey % 2) AS stem FROM lineitem),
-  hit AS (SELECT DISTINCT t.number, t.dir, t.stem, c.g FROM tests t JOIN code c ON t.number = c.number AND (t.stem = c.stem OR contains(t.dir, c.dir) OR contains(c.dir, t.dir)))
-SELECT number, g::BIGINT AS group_no, dir || '/test_' || stem || '.py' AS test_path FROM hit
-UNION ALL SELECT number, 0, dir || '/test_' || stem || '.py' FROM tests t WHERE number IN (SELECT number FROM code) AND NOT EXISTS (SELECT 1 FROM hit h WHERE h.number = t.number AND h.dir = t.dir AND h.stem = t.stem)""")
-def assign_tests(v: Views):
-    tests = v.table("lineitem").selectExpr(
+  hit AS (SELECT DISTINCT t.number, t.dir, t.stem, c.g FROM tests t JOIN code c ON t.number = c.number AND (t.stem = c.stem OR contains(t.dir, c.dir) OR contains(c.dir, t.dir))),
+  dealt AS (SELECT number, g::BIGINT AS group_no, dir || '/test_' || stem || '.py' AS test_path, true AS matched FROM hit
+    UNION ALL SELECT number, 0, dir || '/test_' || stem || '.py', false FROM tests t WHERE number IN (SELECT number FROM code) AND NOT EXISTS (SELECT 1 FROM hit h WHERE h.number = t.number AND h.dir = t.dir AND h.stem = t.stem))"""
+
+
+def _wide_tests(v: Views):
+    return v.table("lineitem").selectExpr(
         "l_orderkey div 4 AS number",
         "concat(CASE WHEN l_suppkey % 50 = 0 THEN 'src/tests' ELSE 'checks' END, '/test_m', l_partkey + l_suppkey % 2, '.py') AS path")
-    return I.assign_tests(I.decompose(v.wide(), "number"), tests, "number")
+
+
+@query("w08b_assign_tests", f"WITH {_WIDE_TESTS} SELECT number, group_no, test_path FROM dealt")
+def assign_tests(v: Views):
+    return I.assign_tests(I.decompose(v.wide(), "number"), _wide_tests(v), "number").drop("matched")
+
+
+@query("w08c_sub_instances", f"""
+WITH {_WIDE_TESTS}, files AS (SELECT number, coalesce(g, -1) AS g, file_pos, path FROM g),
+  ctx AS (SELECT number, g, string_agg(path, ',' ORDER BY file_pos) AS patch_context FROM files GROUP BY ALL),
+  placed AS (SELECT number, path, min(file_pos) AS place FROM v_wide GROUP BY ALL),
+  pat AS (SELECT number, g, string_agg('diff ' || path, chr(10) ORDER BY place) || chr(10) AS patch FROM (SELECT DISTINCT number, g, path FROM files) JOIN placed USING (number, path) GROUP BY ALL),
+  td AS (SELECT number, group_no AS g, test_path, matched FROM dealt UNION ALL SELECT t.number, -1, dir || '/test_' || stem || '.py', true FROM tests t WHERE number IN (SELECT number FROM files WHERE g = -1)),
+  tp AS (SELECT number, g, string_agg('test ' || test_path, chr(10) ORDER BY matched DESC, test_path) || chr(10) AS test_patch FROM td GROUP BY ALL)
+SELECT 'i' || number || CASE WHEN g >= 0 THEN '-g' || g ELSE '' END AS id, patch_context, coalesce(patch, '') AS patch, coalesce(test_patch, '') AS test_patch FROM ctx LEFT JOIN pat USING (number, g) LEFT JOIN tp USING (number, g)""")
+def sub_instances(v: Views):
+    wide = v.wide()
+    code = wide.groupBy("number", "path").agg(F.min("file_pos").alias("at")).withColumn("diff", F.concat(F.lit("diff "), "path"))
+    tests = _wide_tests(v).distinct().select("number", "path", F.col("path").alias("at"), F.concat(F.lit("test "), "path").alias("diff"))
+    out = I.sub_instances(I.decompose(wide, "number"), code, tests, "number")
+    gid = I.group_id(F.concat(F.lit("i"), F.col("number").cast("string")), F.col("group_no"))
+    return out.select(gid.alias("id"), F.array_join("patch_context", ",").alias("patch_context"), "patch", "test_patch")
 
 
 @query("j11_match_tests", """

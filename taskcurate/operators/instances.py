@@ -143,7 +143,7 @@ def match_tests(tests: DataFrame, code: DataFrame, keys: Sequence[str], target:
 
 
 def assign_tests(groups: DataFrame, tests: DataFrame, key: str) -> DataFrame:
-    """Give each test file to every group it matches; unmatched ones go to group 0.
+    """Give each test file to every group it matches; unmatched ones go to group 0 (``matched`` is false).
 
     ``groups`` is :func:`decompose` output.  Only decomposed keys take part.
     """
@@ -153,7 +153,34 @@ def assign_tests(groups: DataFrame, tests: DataFrame, key: str) -> DataFrame:
     rest = wanted.select(key, F.col("path").alias("test_path")).distinct().join(
         hit.select(key, "test_path").distinct(), [key, "test_path"], "left_anti"
     )
-    return hit.unionByName(rest.select(key, F.lit(0).cast("long").alias("group_no"), "test_path"))
+    unmatched = rest.select(key, F.lit(0).cast("long").alias("group_no"), "test_path", F.lit(False).alias("matched"))
+    return hit.withColumn("matched", F.lit(True)).unionByName(unmatched)
+
+
+def sub_instances(groups: DataFrame, code: DataFrame, tests: DataFrame, key: str) -> DataFrame:
+    """Instances after decomposition: (key, group_no, patch_context, patch, test_patch).
+
+    ``groups`` is :func:`decompose` output, ``code`` and ``tests`` are the file
+    diffs of the patch and the test patch (key, path, at, diff).  A group gets
+    the diffs of its files and of the tests that match them, in order of
+    ``at``; unmatched tests follow in group 0.  A small commit (null group) keeps all.
+    Patches are text cells, so no longer than the commit.
+    """
+
+    def cell(*order: Column) -> Column:
+        parts = F.transform(F.array_sort(F.collect_list(F.struct(*order, "diff"))), lambda x: x["diff"])
+        return F.concat(F.array_join(parts, "\n"), F.lit("\n"))
+
+    files = groups.select(key, F.coalesce("group_no", F.lit(-1)).alias("_g"), "file_pos", "path")
+    context = files.groupBy(key, "_g").agg(F.transform(F.array_sort(F.collect_list(F.struct("file_pos", "path"))), lambda x: x["path"]).alias("patch_context"))
+    patch = files.select(key, "_g", "path").distinct().join(code, [key, "path"]).groupBy(key, "_g").agg(cell(F.col("at")).alias("patch"))
+    dealt = assign_tests(groups, tests, key).withColumnsRenamed({"test_path": "path", "group_no": "_g"})
+    small = tests.join(files.filter("_g = -1").select(key).distinct(), key).select(key, F.lit(-1).cast("long").alias("_g"), "path", F.lit(True).alias("matched"))
+    test_patch = dealt.unionByName(small).join(tests, [key, "path"]).groupBy(key, "_g").agg(cell(~F.col("matched"), F.col("at")).alias("test_patch"))
+    out = context.join(patch, [key, "_g"], "left").join(test_patch, [key, "_g"], "left")
+    return out.select(
+        key, F.when(F.col("_g") >= 0, F.col("_g")).alias("group_no"), "patch_context", *[F.coalesce(c, F.lit("")).alias(c) for c in ("patch", "test_patch")]
+    )
 
 
 def candidate_tests(code: DataFrame, tests: DataFrame, keys: Sequence[str] = ("repo",)) -> DataFrame:
