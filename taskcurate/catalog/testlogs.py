@@ -99,6 +99,15 @@ def expected_passed_reward(v: Views):
     return T.expected_passed_reward(seen, p.filter("contains(test_id, 't1.py')").select("instance", "test_id"))
 
 
+@query("j14b_reward_by_dotted_names", f"""
+WITH {_PIVOT} SELECT instance, CASE WHEN coalesce(bool_and(post = 'PASSED') FILTER (contains(test_id, 't1.py')), true) AND bool_and(post = 'PASSED' OR NOT contains(test_id, 't1.py') OR post IS NOT NULL) THEN 1.0 ELSE 0.0 END::DOUBLE AS reward FROM p GROUP BY instance""")
+def reward_by_dotted_names(v: Views):
+    p = T.pre_post(v.test_runs())
+    seen = p.select("instance", F.replace("test_id", F.lit("::"), F.lit(".")).alias("test_id"), F.col("post").alias("status"), F.col("test_id").alias("at"))
+    wanted = p.filter("contains(test_id, 't1.py')").select("instance", L.dotted_name(F.concat(F.lit("pkg::"), "test_id")).alias("test_id"))
+    return T.expected_passed_reward(seen, wanted)
+
+
 @query("j15_exit_code_reward", """
 SELECT l_orderkey AS instance, pos, CASE WHEN l_tax > 0.02 THEN cast(l_quantity AS int) % 2 END::BIGINT AS code,
   CASE WHEN l_tax > 0.02 AND cast(l_quantity AS int) % 2 = 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS reward FROM v_items""")

@@ -75,19 +75,21 @@ def results_with_summary(log: Column) -> Column:
     )
 
 
+def dotted_name(test: Column) -> Column:
+    """What follows the first ``::`` of a test name, joined by dots."""
+    parts = F.split(test, "::")
+    return F.array_join(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), ".")
+
+
 def short_summary_results(log: Column) -> Column:
     """Pairs from the text between the first and second summary marker."""
     section = F.element_at(F.split(log, "short test summary info"), 2)
     rows = F.when(log.contains("short test summary info"), F.split(strip(section), "\n")).otherwise(F.array().cast("array<string>"))
 
-    def name(line: Column) -> Column:
-        parts = F.split(line, "::")
-        return F.array_join(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), ".")
-
     def result(line: Column) -> Column:
-        cut = F.substring_index(name(line), " - ", 1)
+        cut = F.substring_index(dotted_name(line), " - ", 1)
         return (
-            F.when(line.contains("PASSED"), F.struct(name(line).alias("test_id"), F.lit("PASSED").alias("status")))
+            F.when(line.contains("PASSED"), F.struct(dotted_name(line).alias("test_id"), F.lit("PASSED").alias("status")))
             .when(line.contains("FAILED"), F.struct(cut.alias("test_id"), F.lit("FAILED").alias("status")))
             .when(line.contains("ERROR"), F.struct(cut.alias("test_id"), F.lit("ERROR").alias("status")))
         )

@@ -16,6 +16,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.driver.memory", os.environ.get("TASKCURATE_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()

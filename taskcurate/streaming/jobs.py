@@ -54,10 +54,11 @@ def outcome_counts_batch(df: DataFrame, size: str = "1 hour", slide: str | None
 def activity_sessions(stream: DataFrame, gap: str = "30 minutes", delay: str = "10 minutes") -> DataFrame:
     """Sessions per actor: events closer together than ``gap``.
 
-    Sessions are merged inside each input partition first, so a busy actor is
-    reduced before the shuffle.
+    Run it in a session with
+    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` on
+    (``session.local_session`` does): sessions are then merged inside each input
+    partition first, so a busy actor is reduced before the shuffle.
     """
-    stream.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return _sessions(stream.withWatermark("ts", delay), gap)
 
 
