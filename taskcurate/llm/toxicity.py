@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import per_batch
 
-MAX_FIT, FEATURES, LEVELS, PREFIXES, LONGEST, MAX_WORDS = 20_000, 4096, (1, 2, 4, 8), range(3, 8), 40, 300_000
+MAX_FIT, FEATURES, LEVELS, PREFIXES, LONGEST, MAX_WORDS = 20_000, 4096, (1, 2, 4, 8), range(3, 8), 40, 100_000
 #: Letters that a character may stand for, with the cost of the disguise as a log probability.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "(": "c"}
 ANY = "abcdefghijklmnopqrstuvwxyz"
@@ -155,10 +155,12 @@ class Scorer:
 
 
 def _trigram_batch(b: pa.RecordBatch) -> pa.RecordBatch:
-    words: Counter = Counter()
-    for t in b.column(0).to_pylist():
-        words.update(tokens(t or ""))
-    found = trigrams(words.items())
+    words, found = Counter(), Counter()
+    for i, t in enumerate(b.column(0)):
+        words.update(tokens(t.as_py() or ""))
+        if len(words) > MAX_WORDS or i + 1 == b.num_rows:
+            found.update(trigrams(words.items()))
+            words.clear()
     return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["gram", "n"])
 
 
@@ -195,8 +197,8 @@ def fit(docs: DataFrame, labels: DataFrame, counts: dict[str, int], max_fit: int
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model.value)
         for b in batches:
-            for i in range(0, b.num_rows, 500):
-                part, n, t = b.slice(i, 500), Counter(), Counter()
+            for i in range(0, b.num_rows, 200):
+                part, n, t = b.slice(i, 200), Counter(), Counter()
                 for text, y in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist(), strict=True):
                     found = scorer.features(text)
                     n.update(found)
