@@ -10,7 +10,8 @@ comes before the merges that made them.
 New distinct words go into a trie, which is walked depth first: in sorted order
 a word shares the path of the word before it up to their common prefix, so
 the path's last-token states stay on a stack and each shared prefix is computed
-once.  Encodings are kept for later batches, up to ``MAX_WORDS`` words.
+once.  Encodings are kept for later batches, up to ``MAX_WORDS`` words (and
+``MAX_PAIRS`` answers on neighbours); beyond that they start anew.
 
 Words are cut as the vocabulary's byte-level pattern does; strings of added
 tokens in a text are their ids.  Null texts count as empty, with no ids.
@@ -33,7 +34,7 @@ from .common import per_batch
 
 #: Fixed value: how the byte-level vocabulary cuts texts.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MAX_WORDS = 400_000
+MAX_WORDS, MAX_PAIRS = 300_000, 200_000
 _FOREVER = 1 << 40
 
 
@@ -64,8 +65,8 @@ class Codec:
         self.cut = regex.compile(PATTERN).findall
         self.split_added = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else None
         skip = set(self.added.values())
-        self.follows: dict[tuple[int, int], bool] = {}
-        self.right, self.left = functools.cache(self._right), functools.cache(self._left)
+        self.follows: dict[int, bool] = {}
+        self.right, self.left = functools.lru_cache(1 << 16)(self._right), functools.lru_cache(1 << 16)(self._left)
         # an entry whose parts cannot stand side by side until they merge is never reached
         self.id_of = {self.bytes_of[i]: i for i in sorted(vocab.values()) if i not in skip and (i not in self.halves or self._reached(i))}
         self.longest = max(map(len, self.id_of))
@@ -110,11 +111,12 @@ class Codec:
         return self._apart(a, b, r) and all(x not in self.halves or self._reached(x) for x in (a, b))
 
     def may_follow(self, p: int, t: int) -> bool:
-        known = self.follows.get((p, t))
+        pair = p << 32 | t
+        known = self.follows.get(pair)
         if known is None:
-            if len(self.follows) > 2_000_000:
+            if len(self.follows) >= MAX_PAIRS:
                 self.follows.clear()
-            known = self.follows[p, t] = self._apart(p, t)
+            known = self.follows[pair] = self._apart(p, t)
         return known
 
     def encode_words(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, list[int]]]:
@@ -177,12 +179,12 @@ def codec(file: str) -> Codec:
     return Codec(file)
 
 
-def byte_batches(texts: list[str | None], most: int = 1 << 23) -> Iterator[list[str | None]]:
-    """Runs of texts of about ``most`` characters; a longer text is a run of its own."""
+def text_runs(b: pa.RecordBatch, most: int = 1 << 21) -> Iterator[list[str | None]]:
+    """The texts of a batch in runs of about ``most`` characters; a longer text is a run of its own."""
     run, size = [], 0
-    for t in texts:
-        run.append(t)
-        size += len(t or "")
+    for x in b.column("text"):
+        run.append(x.as_py())
+        size += len(run[-1] or "")
         if size >= most:
             yield run
             run, size = [], 0
@@ -196,7 +198,7 @@ def encoded(docs: DataFrame, file: str, keep_ids: bool = True) -> DataFrame:
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         c, ids = codec(file), []
         columns: list[list] = [[], [], [], []]
-        for texts in byte_batches(b.column("text").to_pylist()):
+        for texts in text_runs(b):
             for ids in c.encode_texts(texts):
                 for col, v in zip(columns, (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest(), ids), strict=True):
                     col.append(v if col is not columns[3] or keep_ids else None)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import byte_batches, codec
+from .bpe import codec, text_runs
 from .common import per_batch
 
 BLOCK, DOCS_PER_FILE, EOD = 1 << 20, 8192, 50256
@@ -38,7 +38,7 @@ def write(docs: DataFrame, path: str, file: str, eod: int = EOD, width: int = 2,
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         c = codec(file)
-        ids = [np.frombuffer(x, "<u4").astype(f"<u{width}").tobytes() for texts in byte_batches(b.column("text").to_pylist()) for x in c.encode_texts(texts, added=False)]
+        ids = [np.frombuffer(x, "<u4").astype(f"<u{width}").tobytes() for texts in text_runs(b) for x in c.encode_texts(texts, added=False)]
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
 
     end = eod.to_bytes(width, "little").decode("latin-1")
