@@ -30,7 +30,6 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_batch
 
 #: Fixed value: how the byte-level vocabulary cuts texts.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -195,16 +194,18 @@ def text_runs(b: pa.RecordBatch, most: int = 1 << 21) -> Iterator[list[str | Non
 def encoded(docs: DataFrame, file: str, keep_ids: bool = True) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]) of each row; ``file`` is readable on every executor."""
 
-    def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        c, ids = codec(file), []
-        columns: list[list] = [[], [], [], []]
-        for texts in text_runs(b):
-            for ids in c.encode_texts(texts):
-                for col, v in zip(columns, (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest(), ids), strict=True):
-                    col.append(v if col is not columns[3] or keep_ids else None)
-        kinds = (pa.int64(), pa.string(), pa.string(), pa.binary())[: 3 + keep_ids]
-        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: 4 + keep_ids]
-        return pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(v, k) for v, k in zip(columns, kinds, strict=False))], names)
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: 4 + keep_ids]
+    kinds = (pa.int64(), pa.string(), pa.string(), pa.binary())[: 3 + keep_ids]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(file)
+        for b in batches:
+            at = 0
+            for texts in text_runs(b):  # results leave run by run, so a worker holds one run of them
+                every = c.encode_texts(texts)
+                columns = ([len(x) // 4 for x in every], [hashlib.sha256(x).hexdigest() for x in every], [hashlib.sha256(c.decode(x)).hexdigest() for x in every], every)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(at, len(texts)), *(pa.array(v, k) for v, k in zip(columns, kinds, strict=False))], names)
+                at += len(texts)
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return per_batch(slim, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids)
+    return slim.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids)

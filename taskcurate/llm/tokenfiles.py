@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import codec, text_runs
-from .common import per_batch
 
 BLOCK, DOCS_PER_FILE, EOD = 1 << 20, 8192, 50256
 
@@ -36,13 +35,15 @@ def write(docs: DataFrame, path: str, file: str, eod: int = EOD, width: int = 2,
     the separator's bytes as line end; a failed task's file is never kept.
     """
 
-    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(file)
-        ids = [np.frombuffer(x, "<u4").astype(f"<u{width}").tobytes() for texts in text_runs(b) for x in c.encode_texts(texts, added=False)]
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
+        for b in batches:
+            for texts in text_runs(b):
+                ids = [np.frombuffer(x, "<u4").astype(f"<u{width}").tobytes() for x in c.encode_texts(texts, added=False)]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
 
     end = eod.to_bytes(width, "little").decode("latin-1")
-    out = per_batch(docs.select("text"), run, "ids binary").select(F.col("ids").cast("string").alias("value"))
+    out = docs.select("text").mapInArrow(run, "ids binary").select(F.col("ids").cast("string").alias("value"))
     out.write.option("lineSep", end).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", docs_per_file).text(path)
 
 
