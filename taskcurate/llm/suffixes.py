@@ -15,7 +15,10 @@ arrive in document order.  A task turns each batch of them into a sorted array
 levels built so far, and adds it as a level; levels of like size merge, so there
 are logarithmically many and a suffix moves logarithmically often.  A block met
 before is a repeat as a whole.  Blocks that differ but share their first bytes
-may share single windows: they are compared window by window, by 128-bit hashes.
+may share single windows: their bytes meet in one task for each such string, in
+document order, and are compared window by window, by 128-bit hashes.  Strings
+with more than ``CROWD`` different blocks send hashes of windows instead, which
+are dealt by hash, so that no string gathers an unbounded group.
 
 Within an input batch, all but the first of equal blocks (or windows) are
 settled at once, so a passage that a third of all documents hold reaches a task
@@ -34,12 +37,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
 
-LENGTH, GRAM, BATCH, PIECE = 100, 16, 1 << 16, 1 << 22
+LENGTH, GRAM, BATCH, PIECE, CROWD = 100, 16, 1 << 16, 1 << 22, 1 << 13
+WHOLE, BYTES, HASHES = 0, 1, 2
 _PLACE = np.uint64((1 << 24) - 1)
 _random = np.random.default_rng(20)
 _BYTE = _random.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -161,11 +166,11 @@ class Family:
         return later
 
 
-def _scan_family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeated blocks (``whole``), and blocks to be compared by windows, of one share of the suffixes, in document order."""
+def _scan_family(batches: Iterator[pa.RecordBatch], crowd: int) -> Iterator[pa.RecordBatch]:
+    """Blocks that were met before (WHOLE), and blocks to be compared by windows (BYTES, HASHES), of one share of the suffixes."""
 
-    def rows(doc: np.ndarray, start: np.ndarray, n: np.ndarray, whole: bool) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(start), pa.array(n), pa.array(np.full(len(doc), whole))], ["doc", "start", "n", "whole"])
+    def rows(gram: np.ndarray, doc: np.ndarray, start: np.ndarray, n: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (gram, doc, start, n, kind.astype(np.int32))], ["gram", "doc", "start", "n", "kind"])
 
     family, held, size = Family(), [], 0
 
@@ -174,7 +179,7 @@ def _scan_family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = n > 0
         met = ~fresh
         met[fresh] = family.add(*(x[fresh] for x in (gram, block, doc, start, n)))
-        return rows(doc[met], start[met], np.abs(n[met]), True)
+        return rows(gram[met], doc[met], start[met], np.abs(n[met]), np.full(int(met.sum()), WHOLE))
 
     for b in batches:
         held.append([b.column(c).to_numpy() for c in ("gram", "block", "doc", "start", "n")])
@@ -184,8 +189,11 @@ def _scan_family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held, size = [], 0
     if held:
         yield flush()
-    for level in family.levels:
-        yield rows(*(x[level[5]] for x in level[2:5]), False)
+    shared = [level[0][level[5]] for level in family.levels]
+    names, counts = np.unique(np.concatenate(shared or [np.zeros(0, np.int64)]), return_counts=True)
+    for level, grams in zip(family.levels, shared, strict=True):
+        crowded = counts[np.searchsorted(names, grams)] > crowd
+        yield rows(grams, *(x[level[5]] for x in level[2:5]), np.where(crowded, HASHES, BYTES))
 
 
 def outcome(raw: bytes, windows: list[tuple[int, int]]) -> tuple[int, int, str]:
@@ -203,63 +211,94 @@ def outcome(raw: bytes, windows: list[tuple[int, int]]) -> tuple[int, int, str]:
 RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Results of the documents that no window comparison can change; the texts of the others go on."""
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compressed texts, for the shuffle."""
+    pack = zstandard.ZstdCompressor(level=3).compress
     for b in batches:
-        out: list[list] = [[] for _ in range(6)]
-        for text, found in zip(b.column("text").to_pylist(), b.column("found").to_pylist(), strict=True):
-            raw, found = (text or "").encode(), found or []
-            settled = all(x["whole"] for x in found)
-            done = outcome(raw, [(x["start"], x["n"]) for x in found]) if settled else (None, None, None)
-            for col, v in zip(out, (len(raw), *done, None if settled else text, None if settled else found), strict=True):
-                col.append(v)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), b.schema.field("found").type)
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("doc"), *(pa.array(v, k) for v, k in zip(out, kinds, strict=True))], ["doc_id", "doc", *(x.split()[0] for x in RESULT.split(", ")), "text", "found"])
-
-
-def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """128-bit hashes of the windows of blocks that are to be compared; repeats within the batch are settled."""
+        packed = pa.array([pack((t or "").encode()) for t in b.column("text").to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(_ids(b.column("doc_id"))), packed], ["doc", "packed"])
+
+
+def _unpack(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is to be compared: the bytes of blocks by the hash of their anchor, or hashes of windows (without bytes)."""
     digest = xxhash.xxh3_128_digest
     for b in batches:
-        for at in range(0, b.num_rows, 2000):
-            part, hashes, doc, start = b.slice(at, 2000), [], [], []
-            for d, text, found in zip(part.column("doc").to_pylist(), part.column("text").to_pylist(), part.column("found").to_pylist(), strict=True):
-                raw = text.encode()
+        for at in range(0, b.num_rows, 1000):
+            part, whole, parts = b.slice(at, 1000), [], []
+            for d, packed, found in zip(part.column("doc").to_pylist(), part.column("packed").to_pylist(), part.column("found").to_pylist(), strict=True):
+                raw = _unpack(packed)
                 for x in found:
-                    if not x["whole"]:
-                        places = range(x["start"], x["start"] + x["n"])
-                        hashes += [digest(raw[i : i + LENGTH]) for i in places]
-                        start += places
-                        doc += [d] * x["n"]
-            h = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
-            doc, start = np.array(doc, np.int64), np.array(start, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h[:, 0].copy(), h[:, 1].copy(), doc, start, first_of_equal([h[:, 0], h[:, 1]], doc, start))], ["h1", "h2", "doc", "start", "met"])
+                    first, n = x["start"], x["n"]
+                    if x["kind"] == BYTES:
+                        whole.append((x["gram"], 0, d, first, raw[first : first + n + LENGTH - 1]))
+                    else:
+                        parts += [(digest(raw[i : i + LENGTH]), d, i) for i in range(first, first + n)]
+            h = np.frombuffer(b"".join(x[0] for x in parts), np.int64).reshape(-1, 2)
+            doc, start = (np.array([x[i] for x in parts], np.int64) for i in (1, 2))
+            later = first_of_equal([h[:, 0], h[:, 1]], doc, start)
+            # a repeat within this batch is settled: it travels under a key of its own, marked by empty bytes
+            own = doc * np.int64(-7046029254386353131) + start
+            single = zip(np.where(later, own, h[:, 0]).tolist(), h[:, 1].tolist(), doc.tolist(), start.tolist(), [b"" if x else None for x in later], strict=True)
+            cols = list(zip(*whole, *single, strict=True)) or [[]] * 5
+            kinds = (pa.int64(),) * 4 + (pa.binary(),)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["k1", "k2", "doc", "start", "bytes"])
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of repeated windows; rows come by key, then in document order."""
+    digest, at, before, seen = xxhash.xxh3_128_digest, None, None, set()
+    for b in batches:
+        out = []
+        for k1, k2, doc, start, raw in zip(*(b.column(c).to_pylist() for c in ("k1", "k2", "doc", "start", "bytes")), strict=True):
+            if at != (k1, k2):
+                at, before, seen = (k1, k2), None, set()
+            elif before == (doc, start):
+                continue  # the same place of a repeated row
+            if not raw:
+                if raw is not None or before:
+                    out.append((doc, start, 1))
+            else:
+                hashes = [digest(raw[i : i + LENGTH]) for i in range(len(raw) - LENGTH + 1)]
+                met = [h in seen for h in hashes]
+                i = 0
+                while i < len(met):
+                    j = i
+                    while j < len(met) and met[j]:
+                        j += 1
+                    if j > i:
+                        out.append((doc, start + i, j - i))
+                    i = j + 1
+                seen.update(hashes)
+            before = (doc, start)
+        cols = list(zip(*out, strict=True)) or [[]] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc", "start", "n"])
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
-        for text, found, single in zip(b.column("text").to_pylist(), b.column("found").to_pylist(), b.column("single").to_pylist(), strict=True):
-            raw = text.encode()
-            rows.append((len(raw), *outcome(raw, [(x["start"], x["n"]) for x in found if x["whole"]] + [(i, 1) for i in single or []])))
+        for packed, found in zip(b.column("packed").to_pylist(), b.column("found").to_pylist(), strict=True):
+            raw = _unpack(packed)
+            rows.append((len(raw), *outcome(raw, [(x["start"], x["n"]) for x in found or []])))
         cols = list(zip(*rows, strict=True)) or [[]] * 4
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["doc_id", *(x.split()[0] for x in RESULT.split(", "))])
+        doc = b.column("doc").to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array(doc, mask=doc == _NO_ID), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["doc_id", *(x.split()[0] for x in RESULT.split(", "))])
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each row of ``docs``."""
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"), "text")
-    sampled = slim.select("doc_id", "text").mapInArrow(_block_rows, "gram long, block long, doc long, start long, n long")
-    met = stored(sampled.repartition("gram").sortWithinPartitions("doc", "start").mapInArrow(_scan_family, "doc long, start long, n long, whole boolean"))
-    each = met.distinct().groupBy("doc").agg(F.collect_list(F.struct("start", "n", "whole")).alias("found"))
-    result = ", ".join(("doc_id long", "doc long", RESULT, "text string, found array<struct<start:long,n:long,whole:boolean>>"))
-    passed = stored(slim.join(each.hint("merge"), "doc", "left").select("doc_id", "doc", "text", "found").mapInArrow(_settle, result))
-    rest = passed.where("text is not null").select("doc_id", "doc", "text", "found")
-    windows = rest.dropDuplicates(["doc"]).select("doc", "text", "found").mapInArrow(_window_rows, "h1 long, h2 long, doc long, start long, met boolean")
-    # repeats that are settled get a key of their own
-    key = F.when(F.col("met"), F.xxhash64("doc", "start")).otherwise(F.col("h1"))
-    place = F.rank().over(Window.partitionBy("key", "h2").orderBy("doc", "start"))
-    single = windows.select(key.alias("key"), "h2", "doc", "start", "met").withColumn("place", place).where("met or place > 1").groupBy("doc").agg(F.collect_set("start").alias("single"))
-    later = rest.join(single.hint("merge"), "doc", "left").select("doc_id", "text", "found", "single").mapInArrow(_finish, f"doc_id long, {RESULT}")
-    return passed.where("text is null").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").union(later)
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    sampled = slim.mapInArrow(_block_rows, "gram long, block long, doc long, start long, n long")
+    found = stored(sampled.repartition("gram").sortWithinPartitions("doc", "start").mapInArrow(lambda b: _scan_family(b, crowd), "gram long, doc long, start long, n long, kind int"))
+    # both joins read one shuffle of the texts: the filter, always true, keeps the plans below them alike
+    texts = slim.mapInArrow(_packed, "doc long, packed binary").where("doc is not null")
+    open_ = found.where(F.col("kind") != WHOLE).groupBy("doc").agg(F.collect_list(F.struct("gram", "start", "n", "kind")).alias("found"))
+    rows = texts.join(open_.hint("merge"), "doc").mapInArrow(_contexts, "k1 long, k2 long, doc long, start long, bytes binary")
+    single = rows.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "doc", "start").mapInArrow(_compare, "doc long, start long, n long")
+    spans = found.where(F.col("kind") == WHOLE).select("doc", "start", "n").union(single).groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("found"))
+    return texts.join(spans.hint("merge"), "doc", "left").select("doc", "packed", "found").mapInArrow(_finish, f"doc_id long, {RESULT}")

@@ -73,7 +73,8 @@ def test_bpe_random_texts():
     assert [list(memoryview(x).cast("I")) for x in c.encode_texts(texts)] == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
-def test_long_repeats(spark, sf_dir):
+@pytest.mark.parametrize("crowd", [1, suffixes.CROWD])
+def test_long_repeats(spark, sf_dir, crowd):
     docs = documents(spark, sf_dir)
     texts = {d: (t or "").encode() for d, t, _ in docs}
     seen, want = set(), {}
@@ -88,7 +89,7 @@ def test_long_repeats(spark, sf_dir):
                 gone[i : i + suffixes.LENGTH] = b"\1" * suffixes.LENGTH
             seen.add(w)
         want[d] = (len(b), sum(gone), len([x for x in bytes(gone).split(b"\0") if x]), hashlib.sha256(bytes(x for x, g in zip(b, gone, strict=True) if not g)).hexdigest())
-    rows = got(spark, sf_dir, "op3_suffixes", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    rows = [tuple(r) for r in suffixes.repeated_spans(catalog.table(spark, sf_dir, "documents"), crowd).collect()]
     assert len(rows) == len(docs)
     assert {r[0]: r[1:] for r in rows if r[0] is not None} == want
 
