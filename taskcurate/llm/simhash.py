@@ -35,18 +35,23 @@ RADIUS, CROWDED, SHINGLE, SEED = 3, 256, 3, 42
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
-def fingerprint(text: str | None, size: int = SHINGLE) -> int:
-    """Signed 64 bits of a text; words are runs of other than ASCII white space, ASCII letters lowered."""
+def shingles(text: str | None, size: int) -> Iterator[bytes]:
+    """Word shingles of a text (all words of a shorter one); words are runs of other than ASCII white space, ASCII letters lowered."""
     words = (text or "").encode().translate(_LOWER).split()
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     last = max(0, len(words) - size)
-    pairs = zip(starts[: last + 1].tolist(), ends[min(size, len(words)) - 1 :].tolist(), strict=True)
+    for a, b in zip(starts[: last + 1].tolist(), ends[min(size, len(words)) - 1 :].tolist(), strict=True):
+        yield joined[a:b]
+
+
+def fingerprint(text: str | None, size: int = SHINGLE) -> int:
+    """Signed 64 bits of a text."""
     ones, digest, step = np.zeros(64, np.int64), xxhash.xxh64_digest, 1 << 15
-    hashes = [digest(joined[a:b], SEED) for a, b in pairs]
+    hashes = [digest(s, SEED) for s in shingles(text, size)]
     for i in range(0, len(hashes), step):
         ones += np.unpackbits(np.frombuffer(b"".join(hashes[i : i + step]), np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big", signed=True)
@@ -134,8 +139,13 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     )
 
 
-def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest ``doc_id``."""
-    stay = near_duplicates(docs, size).where("stays").select(F.col("doc_id").alias("d__"), F.col("key").alias("k__")).distinct()
+def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` with the rows that ``found`` (doc_id, key, stays) marks, each once."""
+    stay = found.where("stays").select(F.col("doc_id").alias("d__"), F.col("key").alias("k__")).distinct()
     kept = docs.withColumn("k0__", text_key(F.col("text"))).join(stay.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("d__")) & (F.col("k0__") == F.col("k__")), "left_semi")
     return kept.dropDuplicates(["doc_id", "k0__"]).select(*docs.columns)
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest ``doc_id``."""
+    return keep_first(docs, near_duplicates(docs, size))
