@@ -4,12 +4,14 @@ A line is parsed to a fixed depth: its token count and its first ``DEPTH``
 tokens (ASCII letters lowered, tokens with a digit masked) name a leaf.  The
 seed of a leaf is its masked line with the most documents (ties: the smallest
 hash).  A line of the leaf belongs to the seed's template if at least
-``MIN_ALIKE`` of the position blocks agree (each line is cut into at most
-``BLOCKS`` blocks of consecutive tokens, so the differing blocks are the
-variable fields); any other line is its own masked line's template.  A
-template held by ``MIN_DOCS`` documents or more recurs: its lines are dropped
-everywhere but in the document with the smallest ``doc_id``, so that no text is
-lost altogether.
+``MIN_ALIKE`` of the position blocks agree (the tokens behind the leading ones,
+which a leaf shares anyway, are cut into at most ``BLOCKS`` blocks of
+consecutive tokens, so the differing blocks are the variable fields); any other
+line is its own masked line's template.  With one or two tokens behind the
+leading ones all must agree.  A template held by ``MIN_DOCS`` documents or more
+recurs: its lines are dropped everywhere but in the document with the smallest
+``doc_id``.  The constant part of a template is thus never lost altogether; the
+fields of the dropped lines are.
 
 Lines of fewer than ``MIN_TOKENS`` tokens are never templates.  Null and empty
 texts have no lines to drop and stay as they are; rows without ``doc_id`` are
@@ -27,12 +29,12 @@ from pyspark.sql import functions as F
 from .common import join_texts, lists, per_batch, stored, text_key
 from .quality import _LOWER, recounted
 
-DEPTH, BLOCKS, MIN_ALIKE, MIN_TOKENS, MIN_DOCS = 3, 8, 0.5, 4, 10
+DEPTH, BLOCKS, MIN_ALIKE, MIN_TOKENS, MIN_DOCS = 3, 8, 0.6, 4, 10
 MASK = b"<*>"
 
 
 def parse(line: bytes) -> tuple[list[bytes], list[bytes]] | None:
-    """Masked tokens of a line and its position blocks; None for short lines."""
+    """Masked tokens of a line and the position blocks of those behind the leading ones; None for short lines."""
     low = line.translate(_LOWER)
     tokens = low.split()
     n = len(tokens)
@@ -40,8 +42,9 @@ def parse(line: bytes) -> tuple[list[bytes], list[bytes]] | None:
         return None
     if b"0" in low:
         tokens = [MASK if b"0" in t else t for t in tokens]
-    m = min(n, BLOCKS)
-    return tokens, [b" ".join(tokens[n * i // m : n * (i + 1) // m]) for i in range(m)]
+    rest = tokens[DEPTH:]
+    n, m = len(rest), min(len(rest), BLOCKS)
+    return tokens, [b" ".join(rest[n * i // m : n * (i + 1) // m]) for i in range(m)]
 
 
 def _lines_batch(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -54,7 +57,7 @@ def _lines_batch(b: pa.RecordBatch) -> pa.RecordBatch:
                 row.append(r)
                 number.append(i)
                 leaf.append(h64(b"%d " % len(tokens) + b" ".join(tokens[:DEPTH])))
-                line.append(h64(b" ".join(parts)))
+                line.append(h64(b" ".join(tokens)))
                 blocks.append([h32(p) for p in parts])
     take = pa.array(row, pa.int32())
     long = lambda v: pa.array(np.array(v, np.uint64).view(np.int64))
