@@ -2,12 +2,14 @@
 
 A line is parsed to a fixed depth: its token count and its first ``DEPTH``
 tokens (ASCII letters lowered, tokens with a digit masked) name a leaf.  The
-seed of a leaf is its masked line with the most documents (ties: the smallest
-hash).  A line of the leaf belongs to the seed's template if at least
-``MIN_ALIKE`` of the position blocks agree (the tokens behind the leading ones,
-which a leaf shares anyway, are cut into at most ``BLOCKS`` blocks of
-consecutive tokens, so the differing blocks are the variable fields); any other
-line is its own masked line's template.  With one or two tokens behind the
+tokens behind the leading ones, which a leaf shares anyway, are cut into at most
+``BLOCKS`` position blocks of consecutive tokens.  A leaf has any number of
+templates: the constant part of a line is the share ``MIN_ALIKE`` of its blocks
+that the most lines of the leaf have in the same place (ties: the first ones),
+the other blocks are fields, and lines with equal constant parts are a template.
+A line whose own template is rare joins the largest recurring template of the
+leaf whose constant part it holds, so a frequent value in a field sets no line apart.
+With one or two tokens behind the
 leading ones all must agree.  A template held by ``MIN_DOCS`` documents or more
 recurs: its lines are dropped everywhere but in the document with the smallest
 ``doc_id``.  The constant part of a template is thus never lost altogether; the
@@ -73,17 +75,35 @@ def parsed_lines(docs: DataFrame) -> DataFrame:
     return per_batch(slim, _lines_batch, "doc_id long, key long, line_no int, leaf long, line long, blocks array<long>")
 
 
+def line_templates(there: DataFrame, min_docs: int) -> DataFrame:
+    """(leaf, line, template) of each distinct line."""
+    held = stored(there.groupBy("leaf", "line").agg(F.first("blocks").alias("blocks"), F.count_distinct("doc_id").alias("n")))
+    values = held.select("leaf", "line", "n", F.posexplode("blocks").alias("pos", "value"))
+    support = values.groupBy("leaf", "pos", "value").agg(F.sum("n").alias("support"))
+    best = F.sort_array(F.collect_list(F.struct((-F.col("support")).alias("order"), "pos", "value")))
+    ranked = values.join(support, ["leaf", "pos", "value"]).groupBy("leaf", "line").agg(best.alias("best"))
+    part = F.slice("best", 1, F.ceil(F.size("best") * F.lit(MIN_ALIKE)).cast("int"))
+    plain = lambda c: F.transform(c, lambda x: F.struct(x["pos"].alias("pos"), x["value"].alias("value")))
+    own = stored(ranked.select("leaf", "line", plain(part).alias("constant")).withColumn("template", F.xxhash64(F.sort_array("constant"))))
+    docs_of = there.join(own, ["leaf", "line"]).groupBy("leaf", "template").agg(F.count_distinct("doc_id").alias("n"))
+    often = stored(docs_of.where(F.col("n") >= min_docs))
+    rare = held.join(own.join(often, ["leaf", "template"], "left_anti"), ["leaf", "line"]).select("leaf", "line", "template", "blocks")
+    known = own.join(often, ["leaf", "template"]).groupBy("leaf", "template").agg(F.first("n").alias("n"), F.min("constant").alias("constant"))
+    # a template is met by its least common constant block, then compared in full
+    last = F.element_at("constant", -1)
+    known = known.select("leaf", F.col("template").alias("found"), "n", "constant", last["pos"].alias("pos"), last["value"].alias("value"))
+    met = rare.select("leaf", "line", "blocks", F.posexplode("blocks").alias("pos", "value")).join(known, ["leaf", "pos", "value"])
+    met = met.where(F.forall("constant", lambda c: F.get("blocks", c["pos"]) == c["value"]))
+    joined = met.groupBy("leaf", "line").agg(F.max_by("found", F.struct("n", "found")).alias("found"))
+    return own.join(joined, ["leaf", "line"], "left").select("leaf", "line", F.coalesce("found", "template").alias("template"))
+
+
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(doc_id, key, dropped): the numbers, from 0, of the lines that each document loses."""
     lines = stored(parsed_lines(docs))
     busy = lines.groupBy("leaf").agg(F.count_distinct("doc_id").alias("n")).where(F.col("n") >= min_docs).select("leaf")
     there = stored(lines.join(busy, "leaf"))
-    held = there.groupBy("leaf", "line", "blocks").agg(F.count_distinct("doc_id").alias("n"))
-    seeds = held.groupBy("leaf").agg(F.max_by(F.struct("line", "blocks"), F.struct("n", -F.col("line"))).alias("seed"))
-    alike = F.aggregate(F.zip_with("blocks", "seed.blocks", lambda a, b: (a == b).cast("int")), F.lit(0), lambda s, x: s + x)
-    named = there.join(seeds, "leaf").select(
-        "doc_id", "key", "line_no", "leaf", F.when(alike >= MIN_ALIKE * F.size("blocks"), F.col("seed.line")).otherwise(F.col("line")).alias("template")
-    )
+    named = there.join(line_templates(there, min_docs), ["leaf", "line"]).select("doc_id", "key", "line_no", "leaf", "template")
     again = named.groupBy("leaf", "template").agg(F.count_distinct("doc_id").alias("n"), F.min("doc_id").alias("first_doc")).where(F.col("n") >= min_docs)
     lost = named.join(again, ["leaf", "template"]).where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
     return lost.groupBy("doc_id", "key").agg(F.sort_array(F.collect_set("line_no")).alias("dropped"))

@@ -15,3 +15,16 @@ def test_clean_lines_that_share_an_opening_stay(spark):
     assert dropped(spark, [f"This is a {e}" for e in ends]) == set()
     assert dropped(spark, [f"This is a {e}" for e in short]) == set()
     assert dropped(spark, [f"This is a {e} {short[-i]}" for i, e in enumerate(short)]) == set()
+
+
+def test_every_template_of_a_leaf_has_fields(spark):
+    names = ("anna", "bert", "cleo", "dora", "emil", "fritz", "gerd", "hans", "ida", "jan", "karl", "lena")
+    cities = ("london",) * 5 + ("paris", "rome", "oslo", "bern", "kyiv", "wien", "graz")
+    one = ["user session was closed for the account {} by the scheduler today".format(n) for n in names]
+    two = ["user session was opened from a host in {} over some network".format(c) for c in cities]
+    three = ["user session was moved to that new rack near london as planned"] * 20
+    other = [f"user session was {' '.join(names[(i + k) % 12] + 'x' * k for k in range(8))}" for i in range(9)]
+    assert len({len(x.split()) for x in (*one, *two, *three, *other)}) <= 3
+    lines = one + two + other
+    assert dropped(spark, lines) == set(one[1:]) | set(two[1:])
+    assert dropped(spark, three + two) == {three[0]} | set(two[1:])
