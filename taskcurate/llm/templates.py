@@ -12,7 +12,8 @@ leaf whose constant part it holds, so a frequent value in a field sets no line a
 With one or two tokens behind the
 leading ones all must agree.  A template held by ``MIN_DOCS`` documents or more
 recurs: its lines are dropped everywhere but in the document with the smallest
-``doc_id``.  The constant part of a template is thus never lost altogether; the
+``doc_id``.  With ``long_docs``, a line of ``LONG`` tokens or more that stands
+word for word in so many documents recurs as well.  The constant part of a template is thus never lost altogether; the
 fields of the dropped lines are.
 
 Lines of fewer than ``MIN_TOKENS`` tokens are never templates.  Null and empty
@@ -32,6 +33,7 @@ from .common import join_texts, lists, per_batch, stored, text_key
 from .quality import _LOWER, recounted
 
 DEPTH, BLOCKS, MIN_ALIKE, MIN_TOKENS, MIN_DOCS = 3, 8, 0.6, 4, 10
+LONG = 50
 MASK = b"<*>"
 
 
@@ -50,7 +52,7 @@ def parse(line: bytes) -> tuple[list[bytes], list[bytes]] | None:
 
 
 def _lines_batch(b: pa.RecordBatch) -> pa.RecordBatch:
-    row, number, leaf, line, blocks = [], [], [], [], []
+    row, number, leaf, line, exact, blocks = [], [], [], [], [], []
     h64, h32 = xxhash.xxh64_intdigest, xxhash.xxh32_intdigest
     for r, text in enumerate(b.column("text").to_pylist()):
         for i, x in enumerate((text or "").encode().split(b"\n")):
@@ -60,19 +62,20 @@ def _lines_batch(b: pa.RecordBatch) -> pa.RecordBatch:
                 number.append(i)
                 leaf.append(h64(b"%d " % len(tokens) + b" ".join(tokens[:DEPTH])))
                 line.append(h64(b" ".join(tokens)))
+                exact.append(h64(b" ".join(x.split())) if len(tokens) >= LONG else None)
                 blocks.append([h32(p) for p in parts])
     take = pa.array(row, pa.int32())
     long = lambda v: pa.array(np.array(v, np.uint64).view(np.int64))
     return pa.RecordBatch.from_arrays(
-        [b.column("doc_id").take(take), b.column("key").take(take), pa.array(number, pa.int32()), long(leaf), long(line), lists(blocks, pa.int64())],
-        ["doc_id", "key", "line_no", "leaf", "line", "blocks"],
+        [b.column("doc_id").take(take), b.column("key").take(take), pa.array(number, pa.int32()), long(leaf), long(line), pa.array(exact, pa.uint64()).view(pa.int64()), lists(blocks, pa.int64())],
+        ["doc_id", "key", "line_no", "leaf", "line", "exact", "blocks"],
     )
 
 
 def parsed_lines(docs: DataFrame) -> DataFrame:
     """One row per line that can be a template."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("key"), "text")
-    return per_batch(slim, _lines_batch, "doc_id long, key long, line_no int, leaf long, line long, blocks array<long>")
+    return per_batch(slim, _lines_batch, "doc_id long, key long, line_no int, leaf long, line long, exact long, blocks array<long>")
 
 
 def line_templates(there: DataFrame, min_docs: int) -> DataFrame:
@@ -98,20 +101,26 @@ def line_templates(there: DataFrame, min_docs: int) -> DataFrame:
     return own.join(joined, ["leaf", "line"], "left").select("leaf", "line", F.coalesce("found", "template").alias("template"))
 
 
-def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, long_docs: int | None = None) -> DataFrame:
     """(doc_id, key, dropped): the numbers, from 0, of the lines that each document loses."""
     lines = stored(parsed_lines(docs))
     busy = lines.groupBy("leaf").agg(F.count_distinct("doc_id").alias("n")).where(F.col("n") >= min_docs).select("leaf")
     there = stored(lines.join(busy, "leaf"))
     named = there.join(line_templates(there, min_docs), ["leaf", "line"]).select("doc_id", "key", "line_no", "leaf", "template")
     again = named.groupBy("leaf", "template").agg(F.count_distinct("doc_id").alias("n"), F.min("doc_id").alias("first_doc")).where(F.col("n") >= min_docs)
-    lost = named.join(again, ["leaf", "template"]).where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
+    where = ["doc_id", "key", "line_no", "first_doc"]
+    lost = named.join(again, ["leaf", "template"]).select(*where)
+    if long_docs:
+        long = lines.where("exact is not null").select("doc_id", "key", "line_no", "exact")
+        copied = long.groupBy("exact").agg(F.count_distinct("doc_id").alias("n"), F.min("doc_id").alias("first_doc")).where(F.col("n") >= long_docs)
+        lost = lost.union(long.join(copied, "exact").select(*where))
+    lost = lost.where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
     return lost.groupBy("doc_id", "key").agg(F.sort_array(F.collect_set("line_no")).alias("dropped"))
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, note: str | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, note: str | None = None, long_docs: int | None = None) -> DataFrame:
     """``docs`` without recurring lines; ``note`` names a column to add that lists the dropped line numbers."""
-    lost = recurring_lines(docs, min_docs).select(F.col("doc_id").alias("d__"), F.col("key").alias("k__"), F.col("dropped").alias("dropped__"))
+    lost = recurring_lines(docs, min_docs, long_docs).select(F.col("doc_id").alias("d__"), F.col("key").alias("k__"), F.col("dropped").alias("dropped__"))
     both = join_texts(docs, lost, "left")
     rest = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("dropped__", i)), "\n")
     cut = recounted(both.withColumn("text", F.when(F.col("dropped__").isNull(), F.col("text")).otherwise(rest)))

@@ -28,3 +28,15 @@ def test_every_template_of_a_leaf_has_fields(spark):
     lines = one + two + other
     assert dropped(spark, lines) == set(one[1:]) | set(two[1:])
     assert dropped(spark, three + two) == {three[0]} | set(two[1:])
+
+
+def test_long_exact_lines_need_two_documents(spark):
+    from . import fixtures
+
+    long = fixtures.prose(400, 55).replace("\n", " ")
+    short = fixtures.prose(401, 30).replace("\n", " ")
+    docs = spark.createDataFrame([(i, f"{fixtures.prose(410 + i, 5)}\n{x}") for i, x in enumerate((long, long, short, short, long.replace(long.split()[40], "other")))], "doc_id long, text string")
+    assert [(r.doc_id, r.dropped) for r in templates.recurring_lines(docs, long_docs=2).collect()] == [(1, [1])]
+    import corpus_pipeline as cp
+
+    assert sum(long in r.text for r in cp.STAGES[1][1](spark, docs.selectExpr("*", "length(text) AS n_chars"), "").collect()) == 1
