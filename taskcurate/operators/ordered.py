@@ -13,17 +13,20 @@ last and NaN first when falling.  Null keys are a group of their own.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_FOLD = {"sum": F.sum, "max": F.max, "min": F.min}
+_FOLD = {"sum": F.sum, "max": F.max, "min": F.min, "xor": F.bit_xor}
 
 
 def _merge(fn: str, parts: Sequence[Column]) -> Column:
     if fn == "sum":
         return sum((F.coalesce(p, F.lit(0)) for p in parts[1:]), F.coalesce(parts[0], F.lit(0)))
+    if fn == "xor":
+        return functools.reduce(Column.bitwiseXOR, (F.coalesce(p, F.lit(0)) for p in parts))
     return F.greatest(*parts) if fn == "max" else F.least(*parts)
 
 
@@ -35,7 +38,7 @@ def running(
     exclusive: bool = False,
     **measures: tuple[str, Column],
 ) -> DataFrame:
-    """Add running ``sum``/``max``/``min`` columns per ``keys`` in ``order``.
+    """Add running ``sum``/``max``/``min``/``xor`` columns per ``keys`` in ``order``.
 
     ``measures`` maps a new column name to ``(fn, column)``.  ``block``, from
     coarse to fine, must rise with ``order``, and ``order`` be total; a block

@@ -122,3 +122,14 @@ def test_longest_view_run(spark):
     steps = J.with_actions(spark.createDataFrame(rows, "run int, step_idx int, action string"))
     got = {r.run: r.longest for r in J.longest_view_run(steps, "run").collect()}
     assert got == {1: 2, 2: 0, 3: 1, 4: 3}
+
+
+def test_running_xor_matches_a_plain_fold(spark):
+    rows = [(k, i, (i * 2654435761 + k * 97) % (1 << 40)) for k in (0, 1) for i in range(0, 9000, 7)]
+    df = spark.createDataFrame(rows, "k int, i long, v long")
+    out = ordered.running(df, ["k"], [F.col("i")], ordered.id_blocks(F.col("i")), x=("xor", F.col("v")))
+    want, now = {}, {}
+    for k, i, v in rows:
+        now[k] = now.get(k, 0) ^ v
+        want[k, i] = now[k]
+    assert {(r.k, r.i): r.x for r in out.collect()} == want
