@@ -8,12 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality, secrets, sharding, simhash, suffixes, templates, tokenfiles, toxicity
+from . import bpe, conversations, decontaminate, packing, quality, resampling, secrets, sharding, simhash, suffixes, templates, tokenfiles, toxicity
 from .common import shared_folder, table
 
 #: Folder of the public vocabulary files, the same on every node.
 TOKENIZERS = os.environ.get("LLM_TOKENIZERS", "/opt/tokenizers")
 BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
+BYTE_BPE_RANKS = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +69,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), BYTE_BPE_RANKS).drop("key")
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, members = conversations.rebuilt(table(spark, sf_dir, "conversations"))
+    return conversations.prefix_trie(turns, members)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,6 +92,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe, "op2_decontaminate": op2_decontaminate, "op3_suffixes": op3_suffixes, "op4_sharding": op4_sharding, "op5_toxicity": op5_toxicity, "op6_secrets": op6_secrets,
     "op7_line_dedup": op7_line_dedup, "op8_token_counts": op8_token_counts, "op9_simhash": op9_simhash, "op10_quality": op10_quality,
+    "op11_packing": op11_packing, "op12_resampling": op12_resampling, "op13_conversations": op13_conversations,
     "pipeline": pipeline,
 }
 
@@ -148,4 +164,82 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND n_words - n_removed_words >= 0.3 * n_words AS kept, n_removed_words FROM judged
 """
 
-ORACLES: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op10_quality": OP10_SQL}
+#: CRC32 of the strings of a column: a table of 256 remainders made by the rule, then byte by byte.
+CRC32_SQL = r"""
+crc_steps AS (
+  SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) r(i)
+), crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM crc_steps
+), crc_bytes AS (
+  SELECT w, hex(encode(w)) AS x FROM crc_words
+), crc AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(x), 2), lambda i: CAST('0x' || substr(x, i, 2) AS BIGINT))),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS c FROM crc_bytes, crc_table
+)"""
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents
+), i AS (
+  SELECT list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark
+), held AS (
+  SELECT r, w, count(*) AS n FROM (SELECT r, unnest(w) AS w FROM d) GROUP BY ALL
+), wanted AS (
+  SELECT w, count(*) AS n FROM (SELECT unnest(w) AS w FROM i) GROUP BY ALL
+), crc_words AS (
+  SELECT w FROM held UNION SELECT w FROM wanted
+),
+"""[:-1] + CRC32_SQL + r""", s AS (
+  SELECT c % 10000 AS b, sum(n) AS s FROM held JOIN crc USING (w) GROUP BY 1
+), t AS (
+  SELECT c % 10000 AS b, sum(n) AS t FROM wanted JOIN crc USING (w) GROUP BY 1
+), sums AS (
+  SELECT coalesce((SELECT sum(s) FROM s), 0) AS all_s, coalesce((SELECT sum(t) FROM t), 0) AS all_t
+), gain AS (
+  SELECT b, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (all_s + 10000)::DOUBLE / ((coalesce(s, 0) + 1)::DOUBLE * (all_t + 10000)::DOUBLE))) AS BIGINT) AS g FROM s FULL JOIN t USING (b), sums
+), summed AS (
+  SELECT r, sum(n * g)::DOUBLE AS total FROM held JOIN crc USING (w) JOIN gain ON gain.b = c % 10000 GROUP BY r
+), weighed AS (
+  SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_features, CASE WHEN len(w) = 0 THEN 0 ELSE CAST(floor(total / len(w)) AS BIGINT) END AS weight,
+    CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h FROM d LEFT JOIN summed USING (r)
+), scored AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM weighed
+), placed AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM scored LEFT JOIN placed USING (r)
+"""
+
+OP13_SQL = r"""
+WITH rows AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS k FROM conversations WHERE conv_id IS NOT NULL
+), crc_words AS (
+  SELECT DISTINCT CAST(c AS VARCHAR) AS w FROM rows
+),""" + CRC32_SQL + r""", convs AS (
+  SELECT DISTINCT rows.c, crc.c % 4 AS h FROM rows JOIN crc ON w = CAST(rows.c AS VARCHAR)
+), turns AS (
+  SELECT convs.c, 0 AS own, rows.k, rows.role, rows.text FROM convs JOIN rows ON rows.c = convs.c - convs.c % 20 AND rows.k <= h
+  UNION ALL SELECT convs.c, 1, rows.k, rows.role, rows.text FROM convs JOIN rows ON rows.c = convs.c AND rows.k > h
+), whole AS (
+  SELECT convs.c, coalesce(list({'role': role, 'text': text} ORDER BY own, k) FILTER (role IS NOT NULL), []) AS t FROM convs LEFT JOIN turns USING (c) GROUP BY convs.c
+), ways AS (
+  SELECT c, len(t) AS whole, d AS depth, md5(CAST(t[1:d] AS VARCHAR) || chr(1) || CAST(list_transform(t[1:d], lambda x: [length(x.role), length(x.text)]) AS VARCHAR)) AS node,
+    CASE WHEN d > 0 THEN md5(CAST(t[1:d - 1] AS VARCHAR) || chr(1) || CAST(list_transform(t[1:d - 1], lambda x: [length(x.role), length(x.text)]) AS VARCHAR)) END AS parent,
+    CASE WHEN d > 0 THEN len(regexp_extract_all(t[d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words
+  FROM whole, unnest(range(0, len(t) + 1)) AS x(d)
+), nodes AS (
+  SELECT depth, node, any_value(parent) AS parent, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (whole = depth), '')) AS ends_sha256 FROM ways GROUP BY depth, node
+), children AS (
+  SELECT depth - 1 AS depth, parent AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+), full_nodes AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (depth, node)
+), below AS (
+  SELECT ways.depth, ways.node, sum(CASE WHEN u.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((u.n_convs - 1) * u.words) AS saved_tokens
+  FROM ways JOIN ways AS deep ON deep.c = ways.c AND deep.depth >= ways.depth JOIN full_nodes u ON u.depth = deep.depth AND u.node = deep.node AND u.conv_id = ways.c GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN below b USING (depth, node) LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = n.parent
+"""
+
+ORACLES: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op10_quality": OP10_SQL, "op12_resampling": OP12_SQL, "op13_conversations": OP13_SQL}
