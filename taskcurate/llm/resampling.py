@@ -55,16 +55,21 @@ def bucket_counts(found: list[bytes], run: int, buckets: int, known: dict[bytes,
         held = Counter(found if n == 1 else (b" ".join(found[i : i + n]) for i in range(len(found) - n + 1)))
         if len(known) > MAX_KNOWN:
             known.clear()
-        for x in held.keys() - known.keys():
-            known[x] = zlib.crc32(x) % buckets
+        for x in held:
+            if x not in known:
+                known[x] = zlib.crc32(x) % buckets
         np.add.at(counts, np.fromiter(map(known.__getitem__, held), np.int64, len(held)), np.fromiter(held.values(), np.int64, len(held)))
     return counts
 
 
 def count_planes(counts: np.ndarray) -> bytes:
     """The bit planes of counts, lowest first, each in whole 64-bit words."""
-    planes = [np.packbits((counts >> i & 1).astype(np.uint8), bitorder="little") for i in range(int(counts.max(initial=0)).bit_length())]
-    return b"".join(np.pad(p, (0, -len(p) % 8)).tobytes() for p in planes)
+    return b"".join(_plane(counts >> i & 1) for i in range(int(counts.max(initial=0)).bit_length()))
+
+
+def _plane(bits: np.ndarray) -> bytes:
+    packed = np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+    return packed + bytes(-len(packed) % 8)
 
 
 def words_of(planes: bytes, buckets: int) -> np.ndarray:
@@ -76,7 +81,7 @@ def gain_planes(gains: list[int]) -> np.ndarray:
     """Gains in two's complement: rows of 64-bit words, the last one negative."""
     g = np.array(gains, np.int64)
     n = max(int(np.abs(g).max(initial=0)).bit_length(), 1) + 1
-    return np.stack([words_of(np.pad(p := np.packbits((g >> j & 1).astype(np.uint8), bitorder="little"), (0, -len(p) % 8)).tobytes(), len(gains))[0] for j in range(n)])
+    return np.concatenate([words_of(_plane(g >> j & 1), len(gains)) for j in range(n)])
 
 
 def weighted_sum(counts: np.ndarray, gains: np.ndarray) -> int:
