@@ -11,6 +11,8 @@ equal bins, the unit that the algorithm handles:
 * Crossover injects whole well-filled genes of one parent, drops from the other
   parent's genes what would use a piece twice, and places the displaced pieces
   by best fit, longest first.
+* Displaced pieces first take the place of one or two shorter ones where that fills
+  a bin better; those are displaced instead.
 * Mutation empties some genes, poorly filled ones first, and places their pieces
   by best fit in a shuffled order.
 * Fitness is the number of bins, then the mean square of their fill.
@@ -30,10 +32,12 @@ Null texts are empty: the end token alone.  Rows that repeat are packed each.
 from __future__ import annotations
 
 import base64
+import bisect
 import functools
 import json
 import random
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -156,6 +160,37 @@ def fitness(genes: Genes, size: int) -> tuple[int, float]:
     return bins, -sum(n * (filled(p) / size) ** 2 for p, n in genes) / max(bins, 1)
 
 
+def swapped(counts: dict[int, int], genes: Genes, size: int) -> tuple[dict[int, int], Genes]:
+    """Displaced pieces in place of one or two shorter ones of a bin, while that fills the bin better."""
+    left, lengths, out = dict(counts), sorted(counts), []
+    for pattern, n in genes:
+        room = size - filled(pattern)
+        pairs = [(s,) for s, _ in pattern] + [(a, b) for a, i in pattern for b, _ in pattern if a > b or (a == b and i > 1)]
+        for gone in pairs if room else ():
+            low = sum(gone)
+            at = bisect.bisect_right(lengths, low + room) - 1
+            if at >= 0 and lengths[at] > low:
+                new = lengths[at]
+                m = min(n, left[new])
+                held = Counter(dict(pattern))
+                held.subtract(gone)
+                held[new] += 1
+                out.append((tuple(sorted(((s, c) for s, c in held.items() if c), reverse=True)), m))
+                left[new] -= m
+                if not left[new]:
+                    lengths.pop(at)
+                for s in gone:
+                    if not left.get(s):
+                        bisect.insort(lengths, s)
+                    left[s] = left.get(s, 0) + m
+                n -= m
+                if not n:
+                    break
+        if n:
+            out.append((pattern, n))
+    return {s: n for s, n in left.items() if n}, out
+
+
 def crossover(one: Genes, other: Genes, counts: dict[int, int], size: int, r: random.Random) -> Genes:
     """A child of both: well-filled genes of ``other`` go in whole, then what of ``one`` uses no piece twice, the rest by best fit."""
     left, child = dict(counts), []
@@ -169,7 +204,8 @@ def crossover(one: Genes, other: Genes, counts: dict[int, int], size: int, r: ra
             child.append((pattern, n))
             for s, c in pattern:
                 left[s] -= n * c
-    return best_fit({s: n for s, n in left.items() if n}, size, child)
+    left, child = swapped({s: n for s, n in left.items() if n}, child, size)
+    return best_fit(left, size, child)
 
 
 def mutated(genes: Genes, size: int, r: random.Random) -> Genes:
@@ -181,7 +217,9 @@ def mutated(genes: Genes, size: int, r: random.Random) -> Genes:
                 out[s] = out.get(s, 0) + n * c
         else:
             kept.append((pattern, n))
-    return best_fit(out, size, kept, r)
+    r.shuffle(kept)
+    out, kept = swapped(out, kept, size)
+    return best_fit(out, size, kept, r if r.random() < 0.5 else None)
 
 
 def evolve(population: list[Genes], counts: dict[int, int], size: int, r: random.Random, generations: int = GENERATIONS) -> list[Genes]:
@@ -198,7 +236,8 @@ def evolve(population: list[Genes], counts: dict[int, int], size: int, r: random
         for _ in range(POPULATION // 2):
             one, other = (min(r.sample(population, 2), key=key) for _ in range(2))  # the better of two
             children.append(mutated(crossover(one, other, counts, size, r), size, r) if r.random() < 0.5 else crossover(one, other, counts, size, r))
-        population = [g for i, g in enumerate(sorted(population + children, key=key)) if i < POPULATION]
+        unlike = {tuple(g): g for g in population + children}  # no clones
+        population = sorted(unlike.values(), key=key)[:POPULATION]
     return population
 
 
