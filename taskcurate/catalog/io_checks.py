@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import choose, curate, evaluate
-from ..sources import readers, writers
+from ..sources import cases, readers, writers
 from ..sources.scratch import scratch_path
 from ..streaming import jobs
 from .registry import query
@@ -94,6 +94,71 @@ def instance_folders(v: Views):
     return df.withColumn("instance_id", F.regexp_replace("instance_id", "^id=", ""))
 
 
+def _write_files(rows) -> None:
+    """Files of a fixture under given names: (path, text) rows, written by the tasks to the shared folder."""
+    import pyarrow.fs
+
+    def save(part):
+        for r in part:
+            if "://" in r.path or not r.path.startswith("file:"):
+                store, path = pyarrow.fs.FileSystem.from_uri(r.path if "://" in r.path else f"file://{r.path}")
+            else:
+                store, path = pyarrow.fs.LocalFileSystem(), "/" + r.path.removeprefix("file:").lstrip("/")
+            store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            with store.open_output_stream(path) as f:
+                f.write(r.text.encode())
+
+    rows.foreachPartition(save)
+
+
+def _case_folders(v: Views) -> str:
+    """A case folder for every customer, with missing files, runs past number nine and instances that appear twice."""
+    path = _path(v, "s08")
+    c = v.spread(v.table("customer").selectExpr("c_custkey AS k", "c_custkey % 12 AS last"), "k")
+    log = """concat_ws('\n', 'start', concat('tests/a.py::test_1 ', if(k % 2 = {n}, 'PASSED', 'FAILED'), ' [ 10%]'), 'tests/a.py::test_2 PASSED', concat('tests/b.py::test_', k % 9, ' ', if({n} = 0, 'FAILED', 'PASSED')),
+        'FAILED tests/c.py::test_x - boom', if(run < last, 'tests/old.py::test_old PASSED', 'tests/c.py::test_y PASSED'), 'done')"""
+    script = """concat_ws('\n', 'set -e', "cat <<'EOF_TEST_0' > \\"tests/b.py\\"", concat('k = ', k), '', 'EOF_TEST_0', "cat <<'EOF_TEST_1' > \\"tests/a.py\\"", 'import b', 'x = 1', 'EOF_TEST_1', 'pytest')"""
+    files = c.selectExpr("k", "last", f"""inline(filter(array(
+        named_struct('name', 'status.json', 'text', if(k % 11 = 0, null, concat('{{"f2p_classification": "', if(k % 5 = 0, 'PASS2PASS', 'FAIL2PASS'), '"}}'))),
+        named_struct('name', 'meta.json', 'text', concat('{{"task_info": {{"repo": "org', k % 7, '/p", "pull_number": ', k, ', "instance_id": "i-', k div 2, '", "issue_numbers": ["', k % 3, '"], "base_commit": "b', k, '"}}}}')),
+        named_struct('name', 'eval.sh', 'text', if(k % 4 = 0, null, {script})),
+        named_struct('name', 'Dockerfile', 'text', if(k % 3 = 0, null, concat('FROM x:', k))),
+        named_struct('name', 'notes.txt', 'text', 'not read')), x -> x.text IS NOT NULL))""")
+    runs = c.selectExpr("k", "last", "explode(if(k % 13 = 0, array(), array(last, last - 1))) AS run").where("run >= 0")
+    logs = runs.selectExpr("k", "run", f"""inline(filter(array(
+        named_struct('name', 'test_output_prev_apply.txt', 'text', {log.format(n=0)}),
+        named_struct('name', 'test_output.txt', 'text', if(k % 6 = 0 AND run = last, null, {log.format(n=1)}))), x -> x.text IS NOT NULL))""")
+    at = f"'{path}/applicable_setup/case-'"
+    _write_files(files.selectExpr(f"concat({at}, k, '/', name) AS path", "text").union(logs.selectExpr(f"concat({at}, k, '/test_analysis_agent_', run, '/', name) AS path", "text")))
+    return f"{path}/applicable_setup"
+
+
+_CASES = """
+WITH cases AS (
+  SELECT c_custkey AS k, 'case-' || c_custkey AS "case", 'i-' || c_custkey // 2 AS instance_id FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey % 5 <> 0 AND c_custkey % 13 <> 0
+), listed AS (
+  SELECT *, c LIKE '%' AS x FROM (SELECT *, chr(10) AS c FROM cases)
+), rows AS (
+  SELECT "case", 'org' || k % 7 || '/p' AS repo, k AS pull_number, instance_id, CAST(k % 3 AS VARCHAR) AS issues, 'b' || k AS base_commit,
+    CASE WHEN k % 4 = 0 THEN '' ELSE 'diff --git a/tests/a.py b/tests/a.py' || c || 'new file mode 100644' || c || '--- /dev/null' || c || '+++ b/tests/a.py' || c || '@@ -0,0 +1,2 @@' || c || '+import b' || c || '+x = 1' || c || c
+      || 'diff --git a/tests/b.py b/tests/b.py' || c || 'new file mode 100644' || c || '--- /dev/null' || c || '+++ b/tests/b.py' || c || '@@ -0,0 +1,1 @@' || c || '+k = ' || k || c END AS test_patch,
+    CASE WHEN k % 6 = 0 THEN '[]' ELSE '[' || CASE WHEN k % 2 = 1 THEN '"tests/a.py::test_1",' ELSE '' END || '"tests/b.py::test_' || k % 9 || '"]' END AS "FAIL_TO_PASS",
+    CASE WHEN k % 6 = 0 THEN '[]' ELSE '["tests/a.py::test_2","tests/c.py::test_y"]' END AS "PASS_TO_PASS",
+    CASE WHEN k % 3 = 0 THEN '' ELSE 'FROM x:' || k END AS dockerfile, CASE WHEN k % 4 = 0 THEN 0 ELSE 1 END AS has_script FROM listed
+)"""
+
+
+@query("s08b_case_instances", _CASES + ' SELECT * FROM rows')
+def case_instances(v: Views):
+    found = cases.case_instances(cases.case_rows(cases.read_case_files(v.spark, _case_folders(v))))
+    return found.select("case", "repo", "pull_number", "instance_id", F.array_join("issue_numbers", ",").alias("issues"), "base_commit", "test_patch", "FAIL_TO_PASS", "PASS_TO_PASS", "dockerfile", (F.col("eval_script") != "").cast("int").alias("has_script"))
+
+
+@query("s08c_distinct_cases", _CASES + ' SELECT instance_id, min("case") AS "case" FROM rows GROUP BY instance_id')
+def distinct_cases(v: Views):
+    return cases.read_case_instances(v.spark, _case_folders(v)).select("instance_id", "case")
+
+
 @query("s09_table_load", "SELECT o_orderkey, o_totalprice FROM orders")
 def table_load(v: Views):
     path = _path(v, "s09")

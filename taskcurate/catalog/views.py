@@ -23,6 +23,10 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def spread(self, rows: DataFrame, *keys: str) -> DataFrame:
+        """Slim rows dealt over all tasks by their key, before long texts are made of them: a file may be one split."""
+        return rows.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+
     # -- pull requests and commits -------------------------------------------------
 
     def items(self) -> DataFrame:
@@ -82,7 +86,7 @@ class Views:
             "l_orderkey AS number", "pos", "l_partkey AS pk", "l_suppkey AS sk",
             "cast(l_quantity AS int) AS q", "1 + l_linenumber % 3 AS n_files",
         )
-        return rows.selectExpr(
+        return self.spread(rows, "number", "pos").selectExpr(
             "number",
             "pos",
             """transform(sequence(1, n_files), f -> named_struct('file_no', f, 'path',
@@ -180,7 +184,8 @@ class Views:
 
     def logs(self) -> DataFrame:
         """Raw console output, one log per item."""
-        df = self.items().selectExpr(
+        rows = self.spread(self.items().select("l_orderkey", "pos", "l_quantity", "l_partkey", "l_suppkey", "l_tax"), "l_orderkey", "pos")
+        df = rows.selectExpr(
             "l_orderkey AS instance",
             "pos",
             """concat('start\\n', array_join(transform(sequence(0, cast(l_quantity AS int) % 5 + 1), i -> concat(

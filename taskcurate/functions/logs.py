@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import strip
+from .common import let, strip
 
 # Hints that a failure comes from the environment, not the code.
 INFRA_KEYWORDS = (
@@ -75,6 +75,29 @@ def results_with_summary(log: Column) -> Column:
     )
 
 
+def last_results(results: Column) -> Column:
+    """Results by rising test id, of each test the last one; sorted once, no map look-ups."""
+    numbered = F.transform(results, lambda r, i: F.struct(r["test_id"].alias("test_id"), i.alias("at"), r["status"].alias("status")))
+    last = lambda rs: F.filter(rs, lambda r, i: ~F.get(rs, i + 1)["test_id"].eqNullSafe(r["test_id"]))
+    return let(F.array_sort(numbered), lambda rs: F.transform(last(rs), lambda r: F.struct(r["test_id"].alias("test_id"), r["status"].alias("status"))))
+
+
+def matched_results(pre: Column, post: Column) -> Column:
+    """(test_id, pre, post) of the tests in both lists of :func:`last_results`, by rising id: neighbours of one sorted array."""
+    side = lambda rs, n: F.transform(rs, lambda r: F.struct(r["test_id"].alias("test_id"), F.lit(n).alias("side"), r["status"].alias("status")))
+
+    def pairs(rs: Column) -> Column:
+        both = F.transform(rs, lambda r, i: F.struct(r["test_id"].alias("test_id"), r["status"].alias("pre"), F.when(F.get(rs, i + 1)["test_id"] == r["test_id"], F.get(rs, i + 1)["status"]).alias("post")))
+        return F.filter(both, lambda b: b["post"].isNotNull())
+
+    return let(F.array_sort(F.concat(side(pre, 0), side(post, 1))), pairs)
+
+
+def matched_ids(matched: Column, pre: str, post: str) -> Column:
+    """Ids of :func:`matched_results` with these two statuses."""
+    return F.transform(F.filter(matched, lambda m: (m["pre"] == pre) & (m["post"] == post)), lambda m: m["test_id"])
+
+
 def dotted_name(test: Column) -> Column:
     """What follows the first ``::`` of a test name, joined by dots."""
     parts = F.split(test, "::")

@@ -345,6 +345,25 @@ def new_file_diff(path: Column, content: Column) -> Column:
     return F.concat(head, F.array_join(F.transform(ls, lambda l: F.concat(F.lit("+"), l)), "\n"))
 
 
+#: An end of line that is not the end of the text; all kinds of line ends count, and stay.
+_INNER_END = r"((?>\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]))(?=(?s:.))"
+
+
+def creation_patch(files: Column) -> Column:
+    """One diff that creates the (path, content) files, by rising path; of one path the last content counts. "" without files."""
+
+    def one(f: Column) -> Column:
+        path, content = f["path"], f["content"]
+        n = F.when(content == "", 0).otherwise(F.size(F.regexp_extract_all(content, F.lit(_INNER_END), 1)) + 1)
+        head = F.concat(F.lit("diff --git a/"), path, F.lit(" b/"), path, F.lit("\nnew file mode 100644\n--- /dev/null\n+++ b/"), path, F.lit("\n@@ -0,0 +1,"), n.cast("string"), F.lit(" @@\n"))
+        body = F.concat(F.lit("+"), F.regexp_replace(content, _INNER_END, "$1+"), F.when(content.endswith("\n"), "").otherwise("\n"))
+        return F.concat(head, F.when(content == "", "").otherwise(body))
+
+    placed = F.transform(files, lambda f, i: F.struct(f["path"].alias("path"), i.alias("at"), f["content"].alias("content")))
+    last = lambda fs: F.filter(fs, lambda f, i: ~F.get(fs, i + 1)["path"].eqNullSafe(f["path"]))
+    return let(F.array_sort(placed), lambda fs: F.array_join(F.transform(last(fs), one), "\n"))
+
+
 def omit_bodies(patch: Column, marker: str = "[HUNK CONTENT OMITTED]") -> Column:
     """Keep file headers; one marker stands for all hunks of a file."""
     return F.array_join(
