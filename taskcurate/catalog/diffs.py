@@ -136,13 +136,14 @@ SELECT count(*) AS loaded, count(*) FILTER (s1) AS after_date, count(*) FILTER (
 def filter_funnel(v: Views):
     from ..operators.instances import funnel
 
-    df = v.patches().join(v.commits().select("number", "pos", "authored_at"), ID)
-    p = F.col("patch")
+    stats = v.patches().select(*ID, F.explode(F.array(P.file_stats(F.col("patch")))).alias("stats"))
+    df = stats.join(v.commits().select("number", "pos", "authored_at"), ID)
+    p = F.col("stats")
     return funnel(df, {
         "after_date": F.col("authored_at") > F.expr("TIMESTAMP_NTZ '2024-01-05 00:00:00'"),
-        "after_small": P.is_small_commit(P.file_stats(p)),
-        "after_python": P.is_python_only(p),
-        "after_tests": F.exists(P.file_paths(p), paths.is_test_file),
+        "after_small": P.is_small_commit(p),
+        "after_python": P.has_python_only(p),
+        "after_tests": F.exists(p, lambda f: f["is_test"]),
     })
 
 

@@ -189,33 +189,49 @@ def render(patch: Column) -> Column:
 # -- per-file and per-commit metrics -----------------------------------------------
 
 
-def _hunk_edits(h: Column) -> Column:
-    return F.size(F.filter(lines(h), lambda l: l.startswith("+") | l.startswith("-")))
-
-
 def _sum(arr: Column) -> Column:
     return F.aggregate(arr, F.lit(0), lambda a, x: a + x)
 
 
+_FILE = "struct<path:string,hunks:int,edited:int,chars:int>"
+_FOLD_STATE = f"struct<done:array<{_FILE}>,now:{_FILE}>"
+
+
 def file_stats(patch: Column) -> Column:
-    """Array of per-file figures used by :func:`commit_metrics`."""
-    parts = F.transform(
-        files(patch),
-        lambda s: F.struct(
-            file_path(s).alias("path"), F.transform(hunks(s), _hunk_edits).alias("edits"), (F.length(s) + 1).alias("chars")
-        ),
-    )
+    """Per-file figures of a patch, from one fold over its lines: the file that is open and those behind it.
+
+    An edit is a line inside a hunk that begins with ``+`` or ``-``; ``chars`` counts line ends.
+    All commit filters read this struct, so a plan parses a patch once.
+    """
+
+    def step(state: Column, line: Column) -> Column:
+        now = state["now"]
+        path = F.trim(F.element_at(F.split(line, " b/"), -1))
+        opened = F.struct(path.alias("path"), F.lit(0).alias("hunks"), F.lit(0).alias("edited"), (F.length(line) + 1).alias("chars"))
+        head = line.startswith("@@ ")
+        edit = (now["hunks"] > 0) & (line.startswith("+") | line.startswith("-"))
+        more = F.struct(
+            now["path"].alias("path"), (now["hunks"] + F.when(head, 1).otherwise(0)).alias("hunks"),
+            (now["edited"] + F.when(edit, 1).otherwise(0)).alias("edited"), (now["chars"] + F.length(line) + 1).alias("chars"),
+        )
+        return F.when(line.startswith(FILE_HEAD), F.struct(_closed(state).alias("done"), opened.alias("now"))).otherwise(
+            F.struct(state["done"].alias("done"), F.when(now["path"].isNotNull(), more).alias("now"))
+        )
+
+    nothing = F.struct(F.array().cast(f"array<{_FILE}>").alias("done"), F.lit(None).cast(_FILE).alias("now")).cast(_FOLD_STATE)
+    parsed = F.aggregate(lines(patch), nothing, lambda st, l: step(st, l).cast(_FOLD_STATE), _closed)
     return F.transform(
-        parts,
+        parsed,
         lambda f: F.struct(
-            f["path"].alias("path"),
-            paths.is_test_file(f["path"]).alias("is_test"),
-            paths.is_python(f["path"]).alias("is_python"),
-            F.size(f["edits"]).alias("hunks"),
-            _sum(f["edits"]).alias("edited"),
-            f["chars"].alias("chars"),
+            f["path"].alias("path"), paths.is_test_file(f["path"]).alias("is_test"), paths.is_python(f["path"]).alias("is_python"),
+            paths.is_case_file(f["path"]).alias("is_case"), paths.extension(f["path"]).alias("extension"), f["hunks"].alias("hunks"), f["edited"].alias("edited"), f["chars"].alias("chars"),
         ),
-    )
+    )
+
+
+def _closed(state: Column) -> Column:
+    """The files so far, with the open one."""
+    return F.when(state["now"]["path"].isNull(), state["done"]).otherwise(F.concat(state["done"], F.array(state["now"])))
 
 
 def edited_lines(
@@ -275,6 +291,12 @@ def is_python_only(patch: Column) -> Column:
     )
 
 
+def has_python_only(stats: Column) -> Column:
+    """:func:`is_python_only` from the figures of :func:`file_stats`."""
+    allowed = F.array(*[F.lit(e) for e in ("py", *paths.NON_CODE_ENDINGS)])
+    return let(F.transform(stats, lambda f: f["extension"]), lambda exts: (F.size(F.array_except(exts, allowed)) == 0) & F.array_contains(exts, "py"))
+
+
 def listed_files(patch: Column, want_tests: bool = False, excluded: tuple[str, ...] = paths.NON_CODE_ENDINGS) -> Column:
     """``(test and wanted) or (not test and not excluded)``."""
     return F.filter(
