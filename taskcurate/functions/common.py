@@ -17,9 +17,3 @@ def strip(text: Column) -> Column:
     """Trim white space of any kind on both ends."""
     return F.regexp_replace(text, r"^\s+|\s+\z", "")
 
-
-def parts_of_length(text: Column, lengths: Column) -> Column:
-    """All distinct parts of ``text`` that have one of the ``lengths`` (an array)."""
-    fitting = F.filter(lengths, lambda n: (n > 0) & (n <= F.length(text)))
-    cut = F.transform(fitting, lambda n: F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substr(text, i, n)))
-    return F.array_distinct(F.flatten(cut))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patches as P
 from ..functions import paths, titles
-from ..functions.common import parts_of_length
+from .matching import containing
 from .ordered import numbered
 
 NUMBER_BLOCK = 4096
@@ -104,22 +104,10 @@ def group_id(instance: Column, group_no: Column) -> Column:
     return F.when(group_no.isNull(), instance).otherwise(F.concat(instance, F.lit("-g"), group_no.cast("string")))
 
 
-def _containing(outer: DataFrame, outer_col: str, inner: DataFrame, inner_col: str, keys: Sequence[str]) -> DataFrame:
-    """Pairs whose outer text contains the inner one.
-
-    An equi-join on the parts of the outer text; only parts of a length that
-    some inner text of the key has are made, and there are no more lengths
-    than a path has characters.
-    """
-    lengths = inner.groupBy(*keys).agg(F.collect_set(F.length(inner_col)).alias("_lengths"))
-    parts = outer.join(lengths, list(keys)).withColumn(inner_col, F.explode(parts_of_length(F.col(outer_col), F.col("_lengths"))))
-    return parts.drop("_lengths").join(inner, [*keys, inner_col])
-
-
 def _nested_dirs(t_dirs: DataFrame, c_dirs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Directory pairs where one name is part of the other."""
-    inner_test = _containing(c_dirs, "code_dir", t_dirs, "test_dir", keys)
-    return inner_test.unionByName(_containing(t_dirs, "test_dir", c_dirs, "code_dir", keys)).distinct()
+    inner_test = containing(c_dirs, "code_dir", t_dirs, "test_dir", keys).select(*c_dirs.columns, "test_dir")
+    return inner_test.unionByName(containing(t_dirs, "test_dir", c_dirs, "code_dir", keys)).distinct()
 
 
 def match_tests(tests: DataFrame, code: DataFrame, keys: Sequence[str], target: Sequence[str] = ()) -> DataFrame:

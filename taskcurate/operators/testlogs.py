@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import logs as L
+from .matching import containing
 
 
 def results_table(logs: DataFrame, keys: Sequence[str], parse: Callable[[Column], Column], log: str = "log") -> DataFrame:
@@ -113,23 +114,14 @@ def expected_passed_reward(observed: DataFrame, expected: DataFrame, key: str =
     """1.0 if every expected test passed, looked up exactly, else in the first name containing it.
 
     ``observed`` is (key, test_id, status, at); ``expected`` is (key, test_id).
-    Only names without an exact hit are searched; containment is an equi-join
-    on the parts of the observed names that have a length in demand.  No
+    Only names without an exact hit are searched, by their rarest part.  No
     observed test at all gives 0.0.
     """
     exact = expected.join(observed.select(key, "test_id", "status"), [key, "test_id"], "left")
     found = exact.filter("status IS NOT NULL").select(key, (F.col("status") == "PASSED").alias("ok"))
     rest = exact.filter("status IS NULL").select(key, "test_id").distinct()
-    lengths = rest.groupBy(key, F.length("test_id").alias("_len")).agg(F.count(F.lit(1)).alias("_c")).select(key, "_len")
-    names = observed.join(lengths, key).filter(F.length("test_id") > F.col("_len"))
-    parts = names.select(
-        key, "status", "at",
-        F.explode(
-            F.transform(F.sequence(F.lit(1), F.length("test_id") - F.col("_len") + 1), lambda i: F.substr("test_id", i, F.col("_len")))
-        ).alias("_part"),
-    )
-    first = parts.withColumnRenamed("_part", "test_id").join(rest, [key, "test_id"], "left_semi")
-    first = first.groupBy(key, "test_id").agg(F.min_by("status", "at").alias("status"))
+    names = observed.select(key, F.col("test_id").alias("_name"), "status", "at")
+    first = containing(names, "_name", rest, "test_id", [key]).groupBy(key, "test_id").agg(F.min_by("status", "at").alias("status"))
     looked_up = rest.join(first, [key, "test_id"], "left").select(key, F.coalesce(F.col("status") == "PASSED", F.lit(False)).alias("ok"))
     checks = found.unionByName(looked_up).groupBy(key).agg(F.bool_and("ok").alias("ok"))
     seen = observed.select(key).distinct().withColumn("_seen", F.lit(True))
