@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
@@ -34,6 +34,7 @@ def components(edges: DataFrame) -> DataFrame:
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
-        before = now
+        before, last = now, edges
         edges = stored(_star(_star(edges, True), False))
+        discard(last)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())

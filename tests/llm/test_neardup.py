@@ -29,9 +29,9 @@ def brute(texts):
     return {d: find(d) for d in root}
 
 
-@pytest.mark.parametrize("crowded", [1, neardup.CROWDED])
-def test_pairs_of_similarity_08(spark, monkeypatch, crowded):
-    monkeypatch.setattr(neardup, "CROWDED", crowded)
+@pytest.mark.parametrize("few", [1, neardup.FEW])
+def test_pairs_of_similarity_08(spark, monkeypatch, few):
+    monkeypatch.setattr(neardup, "FEW", few)
     r, texts = random.Random(8), []
     for k in range(12):
         base = fixtures.prose(200 + k, 160).split()
@@ -59,3 +59,33 @@ def test_stage_takes_them(spark):
     assert (simhash.fingerprint(" ".join(a)) ^ simhash.fingerprint(" ".join(b))).bit_count() > 3
     docs = spark.createDataFrame([(1, " ".join(a)), (2, " ".join(b)), (3, fixtures.prose(301, 160))], "doc_id long, text string")
     assert sorted(r.doc_id for r in cp.STAGES[2][1](spark, docs, "").collect()) == [1, 3]
+
+
+def near_copies(n, seed, changes):
+    """``n`` copies of one text with random words changed: most pairs are just below the limit, many to the base just above."""
+    r, base, out = random.Random(seed), fixtures.prose(seed, 200).split(), []
+    for k in range(n):
+        other = list(base)
+        for i in r.sample(range(0, 200, 5), r.choice(changes)):
+            other[i] = f"changed{k}x{i}"
+        out.append(" ".join(other))
+    return out
+
+
+@pytest.mark.parametrize(("few", "many"), [(16, 256), (4, 16)])
+def test_a_large_group_of_near_copies(spark, monkeypatch, few, many):
+    """Weakly linked copies: bounded rounds, and the components of all pairs."""
+    monkeypatch.setattr(neardup, "FEW", few)
+    monkeypatch.setattr(neardup, "MANY", many)
+    rounds, stored = [], neardup.stored
+    monkeypatch.setattr(neardup, "stored", lambda df: rounds.append(1) or stored(df))
+    texts = dict(enumerate(near_copies(150, 400, (0, 2, 3, 4, 5)) + near_copies(60, 401, (1, 2))))
+    want = brute(texts)
+    rows = neardup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    got = {x.doc_id: x.component_id for x in rows}
+    assert len(rounds) < 60
+    if many == 256:
+        assert got == want
+    else:  # a split bucket needs a second agreeing key
+        assert all(want[d] == want[c] for d, c in got.items())
+        assert sum(got[d] == want[d] for d in want) >= 0.98 * len(want)
