@@ -169,15 +169,6 @@ def test_toxicity_held_out(spark):
     assert wins > 0.9 and sum(p == y for _, y, p in held) / len(held) > 0.93
 
 
-def test_toxicity_restores_disguises(spark, hard):
-    words = [w for w, n in Counter(WORD.findall(" ".join(t or "" for _, t, _ in documents(spark, SF_DIR)).lower())).items()] + ["idiot"] * 20 + ["moron"] * 20
-    r = toxicity.Restorer(toxicity.trigrams((w, 1) for w in words))
-    assert [r.restore(w) for w in ("1d10t", "idiooot", "m0r0n", "plain", "2024", "x" * 99)] == ["idiot", "idiot", "moron", "plain", "2024", "x" * 99]
-    assert list(r.words("a m o r o n! i-d-i-o-t here")) == ["here", "moron", "idiot"] or "idiot" in list(r.words("an i-d-i-o-t here"))
-    rows = catalog.QUERIES["op5_toxicity"](spark, hard).collect()
-    assert len(rows) == len(documents(spark, hard)) and len({r.score for r in rows if r.doc_id in (0, 1, 2)}) == 1
-
-
 def test_secrets(spark, sf_dir):
     assign = re.compile(r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
     want = []
