@@ -170,14 +170,6 @@ def sanitised_script(script: Column) -> Column:
 # -- code --------------------------------------------------------------------------
 
 
-def code_skeleton(source: Column) -> Column:
-    """Source without comments, standalone strings, blank lines and trailing blanks."""
-    text = F.regexp_replace(source, r"(?ms)^[ \t]*[rRuU]?(\"\"\"|''')(?:.*?)\1[ \t]*$", "")
-    text = F.regexp_replace(text, r"(?m)^[ \t]*[rRuU]?(\"[^\"\n]*\"|'[^'\n]*')[ \t]*$", "")
-    text = F.regexp_replace(text, r"(?m)(^|[ \t]+)#[^'\"\n]*$", "")
-    return strip(F.regexp_replace(F.regexp_replace(text, r"(?m)[ \t]+$", ""), r"\n{2,}", "\n"))
-
-
 # -- requests ----------------------------------------------------------------------
 
 

@@ -195,11 +195,6 @@ def test_suite_rules_first_fit(spark):
     assert one(spark, rules.test_suite_command(F.lit("a/none.test"))) is None
 
 
-def test_code_skeleton_ignores_comments_and_docstrings(spark):
-    a = 'def f():\n    """doc\n    more"""\n    x = "# no"  \n    return 1  # yes\n'
-    b = 'def f():\n    # other\n\n    x = "# no"\n    return 1'
-    assert one(spark, texts.code_skeleton(F.lit(a))) == one(spark, texts.code_skeleton(F.lit(b)))
-
 
 def test_report_of_nothing(spark):
     assert reports.build_summary(spark.createDataFrame([], "status string")).first().success_rate == 0.0
