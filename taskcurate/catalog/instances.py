@@ -178,6 +178,28 @@ def match_tests(v: Views):
     return I.match_tests(files.filter(paths.is_test_file(F.col("path"))), files.filter("path LIKE 'src/%'"), ["number"])
 
 
+@query("j17b_test_targets", """
+WITH f AS (SELECT DISTINCT number, pos, path FROM v_files), t AS (SELECT DISTINCT number % 5 AS repo, CASE number % 3 WHEN 0 THEN 'unit/src/x_' || pos % 50 || '.py' WHEN 1 THEN 'tests/test_m' || pos % 400 || '.py' ELSE 'unit/test_src' || pos % 2 || '.py' END AS path FROM v_commits),
+  base AS (SELECT *, regexp_extract(path, '[^/]*$') AS base, regexp_extract(path, '([^/]*)/[^/]*$', 1) AS parent FROM t),
+  p AS (SELECT DISTINCT number, pos, number % 5 AS repo, 'x_' || pos % 50 || '.py' AS name FROM v_commits WHERE number % 4 = 0),
+  a AS (SELECT DISTINCT p.number, p.pos, 'test_patch' AS rule, base.path AS target FROM p JOIN base ON base.repo = p.repo AND suffix(base.path, p.name)),
+  c AS (SELECT DISTINCT number, pos, number % 5 AS repo, path, replace(regexp_extract(path, '[^/]*$'), '.py', '') AS stem, regexp_extract(path, '([^/]*)/[^/]*$', 1) AS parent FROM f WHERE path LIKE 'src/%'),
+  d AS (SELECT DISTINCT repo, path, stem, parent FROM c),
+  n AS (SELECT d.repo, d.path, min(b.path) AS target FROM d JOIN base b ON b.repo = d.repo AND suffix(b.base, stem || '.py') AND (suffix(b.base, 'test_' || stem || '.py') OR suffix(b.base, 'test' || stem || '.py')) GROUP BY ALL),
+  r AS (SELECT d.* FROM d ANTI JOIN n USING (repo, path)), first AS (SELECT repo, parent, arg_min(regexp_extract(path, '^(.*)/[^/]*$', 1), path) AS folder, min(path) AS first FROM base GROUP BY ALL),
+  m AS (SELECT repo, path, 'name' AS rule, target FROM n UNION ALL SELECT r.repo, r.path, 'folder', folder FROM r JOIN first USING (repo, parent)
+    UNION ALL SELECT r.repo, r.path, 'parent', b.path FROM r LEFT JOIN first USING (repo, parent) JOIN base b ON b.repo = r.repo AND b.base IN ('test_' || r.parent || '.py', 'test' || r.parent || '.py', r.parent || '_test.py', r.parent || 'test.py') AND (first IS NULL OR b.path < first)),
+  x AS (SELECT DISTINCT c.number, c.pos, rule, target FROM c JOIN m USING (repo, path) ANTI JOIN a ON a.number = c.number AND a.pos = c.pos),
+  e AS (SELECT * FROM a UNION ALL SELECT * FROM x ANTI JOIN (SELECT number, pos, target AS folder FROM x WHERE rule = 'folder') y ON y.number = x.number AND y.pos = x.pos AND x.target LIKE '%.py' AND regexp_extract(x.target, '^(.*)/[^/]*$', 1) = folder)
+SELECT number || '-' || pos AS instance, rule, target FROM e""".replace("suffix(", "ends_with("))
+def test_targets(v: Views):
+    c = v.commits()
+    tests = c.selectExpr("number % 5 AS repo", """CASE number % 3 WHEN 0 THEN concat('unit/src/x_', pos % 50, '.py') WHEN 1 THEN concat('tests/test_m', pos % 400, '.py') ELSE concat('unit/test_src', pos % 2, '.py') END AS path""")
+    patched = c.filter("number % 4 = 0").selectExpr("concat(number, '-', pos) AS instance", "number % 5 AS repo", "concat('deep/x_', pos % 50, '.py') AS path")
+    code = v.patch_files().selectExpr("number", "pos", "inline(heads)").filter("path LIKE 'src/%'").selectExpr("concat(number, '-', pos) AS instance", "number % 5 AS repo", "path")
+    return I.test_targets(code, tests, patched, "instance")
+
+
 @query("j17_candidate_tests", """
 WITH code AS (SELECT DISTINCT path, regexp_extract(path, 'm(\\d+)\\.py', 1) AS k FROM v_files WHERE path LIKE 'src/m%'),
   t AS (SELECT DISTINCT path, regexp_extract(path, 'm(\\d+)\\.py', 1) AS k FROM v_files WHERE path LIKE 'tests/%')

@@ -137,6 +137,28 @@ def version_from_text(v: Views):
     return rules.version_from_text(df, ["number"]).select("number", "version")
 
 
+_REPOS = "CASE number % 5 WHEN 0 THEN 'django/django' WHEN 1 THEN 'dateutil/dateutil' WHEN 2 THEN 'tqdm/tqdm' WHEN 3 THEN 'jestjs/jest' ELSE 'psf/requests' END"
+
+
+@query("x21b_version_from_files", f"""
+WITH r AS (SELECT number, {_REPOS} AS repo, number % 8 || '.' || number % 6 AS first, number % 7 || '.' || number % 9 AS second FROM v_pulls)
+SELECT number, CASE WHEN repo = 'dateutil/dateutil' AND number BETWEEN 510 AND 624 THEN '2.7' WHEN number % 3 > 0 AND number % 4 > 0 THEN first
+  WHEN repo IN ('jestjs/jest', 'psf/requests') THEN second WHEN repo = 'tqdm/tqdm' THEN 'get_version' END AS version FROM r""")
+def version_from_files(v: Views):
+    # the first file is missing in every third commit and says nothing in every fourth; the second one always tells
+    pulls = v.pulls().selectExpr("number", f"{_REPOS} AS repo", "concat('c', number) AS base_commit")
+    files = v.pulls().selectExpr("number", f"{_REPOS} AS repo", "concat('c', number) AS commit", "concat(number % 8, '.', number % 6, '.1') AS a", "concat(number % 7, '.', number % 9, '.2') AS b").selectExpr(
+        "number", "repo", "commit", """inline(CASE repo
+        WHEN 'django/django' THEN array(struct('django/__init__.py' AS path, concat('VERSION = (', replace(a, '.', ', '), ')') AS text), struct('django/other.py' AS path, 'VERSION = (9, 9)' AS text))
+        WHEN 'dateutil/dateutil' THEN array(struct('NEWS' AS path, concat('Version ', a) AS text))
+        WHEN 'tqdm/tqdm' THEN array(struct('tqdm/_version.py' AS path, concat('version_info = ', replace(a, '.', ', '), ' ') AS text))
+        WHEN 'jestjs/jest' THEN array(struct('lerna.json' AS path, concat('{"version": "', a, '"}') AS text), struct('package.json' AS path, concat('{"version": "', b, '"}') AS text))
+        ELSE array(struct('requests/__version__.py' AS path, concat("__version__ = '", a, "'") AS text), struct('requests/__init__.py' AS path, concat("__version__ = '", b, "'") AS text)) END)""")
+    first = F.col("path").isin("django/__init__.py", "NEWS", "tqdm/_version.py", "lerna.json", "requests/__version__.py")
+    there = files.filter(~first | (F.col("number") % 3 > 0)).withColumn("text", F.when(first & (F.col("number") % 4 == 0), '"""VERSION = (8, 8)"""').otherwise(F.col("text")))
+    return rules.version_from_files(pulls, there, ["number"])
+
+
 @query("j18_test_suite", """
 WITH p AS (SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'd/check-' || page_id || '.test' WHEN 1 THEN 'fine-grained-cache' || page_id || '.test' WHEN 2 THEN 'x/fine-grained.test' WHEN 3 THEN 'semanal-xy.test' WHEN 4 THEN 'a/run-lists.test' ELSE url END AS path FROM pages)
 SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'mypy/test/testcheck.py::TypeCheckSuite::check-' || page_id || '.test' WHEN 1 THEN 'mypy/test/testfinegrainedcache.py::FineGrainedCacheSuite::' || path

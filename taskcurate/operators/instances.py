@@ -171,30 +171,80 @@ def sub_instances(groups: DataFrame, code: DataFrame, tests: DataFrame, key: str
     )
 
 
+# Names of the test file of a module or of a folder.
+TEST_NAMES = ("test_%s.py", "test%s.py", "%s_test.py", "%stest.py")
+
+
+def _ending_with(files: DataFrame, name: str, tests: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Columns of ``files`` and test_path: the test files of the same keys whose path ends with the file name in ``name``.
+
+    A mark at both ends makes the end of a path a part of it, so files meet by their rarest part.
+    """
+    ends = F.concat(paths.basename(F.col("test_path")), F.lit("\n"))
+    wanted = files.withColumn("_name", F.concat(F.col(name), F.lit("\n")))
+    met = containing(tests.withColumn("_base", ends), "_base", wanted.select(*keys, "_name").distinct(), "_name", keys)
+    return wanted.join(met.select(*keys, "_name", "test_path"), [*keys, "_name"]).drop("_name")
+
+
+def _modules(code: DataFrame, tests: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Of distinct code files: (keys, path, target) of those with a test file of their name, and the others."""
+    name = F.regexp_replace(paths.basename(F.col("path")), r"^[.py]+|[.py]+$", "")
+    src = code.select(*keys, "path").distinct()
+    wanted = src.withColumn("ending", F.explode(F.array(*[F.format_string(f, name) for f in TEST_NAMES])))
+    named = _ending_with(wanted, "ending", tests, keys).groupBy(*keys, "path").agg(F.min("test_path").alias("target"))
+    return named, src.join(named, [*keys, "path"], "left_anti").withColumn("parent", paths.basename(paths.dirname(F.col("path"))))
+
+
+def _first_folders(tests: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, parent, first): the first test file, with its folder, among the folders of one last name."""
+    folder = paths.dirname(F.col("test_path"))
+    return tests.select(*keys, paths.basename(folder).alias("parent"), F.struct("test_path", folder.alias("folder")).alias("_t")).groupBy(*keys, "parent").agg(F.min("_t").alias("first"))
+
+
 def candidate_tests(code: DataFrame, tests: DataFrame, keys: Sequence[str] = ("repo",)) -> DataFrame:
     """A test target for each code file: a test file by name, else a test directory.
 
     A test file fits if its name ends in ``test_x.py``, ``testx.py``,
     ``x_test.py`` or ``xtest.py``.  Otherwise the directory of a test file
     with the same parent name is taken.  The alphabetically first hit wins.
-    Names are matched by equi-join on the endings of the test file names.
     """
     keys = list(keys)
-    src = code.select(*keys, "path").distinct()
-    name = F.regexp_replace(paths.basename(F.col("path")), r"^[.py]+|[.py]+$", "")
-    wanted = src.select(
-        *keys, "path",
-        F.explode(F.array(*[F.format_string(f, name) for f in ("test_%s.py", "test%s.py", "%s_test.py", "%stest.py")])).alias("ending"),
-    )
-    base = paths.basename(F.col("test_path"))
     known = tests.select(*keys, F.col("path").alias("test_path")).distinct()
-    endings = known.withColumn(
-        "ending", F.explode(F.transform(F.sequence(F.lit(1), F.length(base)), lambda i: F.substr(base, i)))
-    ).groupBy(*keys, "ending").agg(F.min("test_path").alias("test_path"))
-    named = wanted.join(endings, [*keys, "ending"]).groupBy(*keys, "path").agg(F.min("test_path").alias("target"))
-    rest = src.join(named, [*keys, "path"], "left_anti").withColumn("parent", paths.basename(paths.dirname(F.col("path"))))
-    folder = paths.dirname(F.col("test_path"))
-    folders = known.select(*keys, paths.basename(folder).alias("parent"), folder.alias("target")).groupBy(*keys, "parent").agg(
-        F.min("target").alias("target")
-    )
+    named, rest = _modules(code, known, keys)
+    folders = _first_folders(known, keys).select(*keys, "parent", F.col("first.folder").alias("target"))
     return named.unionByName(rest.join(folders, [*keys, "parent"]).select(*keys, "path", "target"))
+
+
+def test_targets(code: DataFrame, tests: DataFrame, patched_tests: DataFrame, key: str, keys: Sequence[str] = ("repo",)) -> DataFrame:
+    """(key, rule, target): what to run for each instance, by the first of three rules that gives anything.
+
+    1. ``test_patch``: all test files whose path ends with the name of a file of the test patch (key, keys, path).
+    2. ``name``, for each file of the patch (``code``: key, keys, path): the first test file named after it.
+    3. For a file without one, in the order of the test files up to the first whose
+       folder is named like the folder of the file: ``parent`` for each test file named
+       after that folder, then ``folder`` for the folder found.
+
+    Test files in a folder that is itself a target of the instance are left out.
+    ``tests`` is (keys, path).  Files are resolved once for all instances that share them.
+    """
+    keys = list(keys)
+    known = tests.select(*keys, F.col("path").alias("test_path")).distinct()
+    given = patched_tests.select(key, *keys, paths.basename(F.col("path")).alias("_file")).distinct()
+    by_patch = _ending_with(given, "_file", known, keys).select(key, F.lit("test_patch").alias("rule"), F.col("test_path").alias("target"))
+
+    named, rest = _modules(code, known, keys)
+    placed = rest.join(_first_folders(known, keys), [*keys, "parent"], "left")
+    called = placed.withColumn("_base", F.explode(F.array(*[F.format_string(f, F.col("parent")) for f in TEST_NAMES])))
+    by_parent = called.filter("parent <> ''").join(known.withColumn("_base", paths.basename(F.col("test_path"))), [*keys, "_base"]).filter("first IS NULL OR test_path < first.test_path")
+    found = (
+        named.withColumn("rule", F.lit("name")).select(*keys, "path", "rule", "target")
+        .union(by_parent.select(*keys, "path", F.lit("parent"), "test_path"))
+        .union(placed.filter("first IS NOT NULL").select(*keys, "path", F.lit("folder"), "first.folder"))
+    )
+    by_code = code.select(key, *keys, "path").distinct().join(found, [*keys, "path"]).select(key, "rule", "target")
+    folders = by_code.filter("rule = 'folder'").select(key, F.col("target").alias("_folder")).distinct()
+    files = by_code.filter("rule <> 'folder'").withColumn("_folder", paths.dirname(F.col("target"))).join(folders, [key, "_folder"], "left_anti")
+    every = by_patch.union(files.select(key, "rule", "target")).union(by_code.filter("rule = 'folder'")).distinct()
+    listed = by_patch.select(key).distinct().withColumn("_listed", F.lit(True))
+    kept = every.join(listed, key, "left").filter(F.col("_listed").isNull() | (F.col("rule") == "test_patch"))
+    return kept.select(key, "rule", "target")

@@ -109,6 +109,45 @@ VERSION_PATTERNS: dict[str, tuple[str, ...]] = {
     "redis/redis-py": (r'version="(.*?)"', _DUNDER),
 }
 
+# Files that tell the version, by repository, in order of precedence.
+VERSION_PATHS: dict[str, tuple[str, ...]] = {
+    "dbt-labs/dbt-core": ("core/dbt/version.py", "core/dbt/__init__.py"),
+    "django/django": ("django/__init__.py",),
+    "huggingface/transformers": ("src/transformers/__init__.py",),
+    "marshmallow-code/marshmallow": ("src/marshmallow/__init__.py",),
+    "mwaskom/seaborn": ("seaborn/__init__.py",),
+    "pallets/flask": ("src/flask/__init__.py", "flask/__init__.py"),
+    "psf/requests": ("requests/__version__.py", "requests/__init__.py"),
+    "pyca/cryptography": ("src/cryptography/__about__.py", "src/cryptography/__init__.py"),
+    "pylint-dev/astroid": ("astroid/__pkginfo__.py", "astroid/__init__.py"),
+    "pylint-dev/pylint": ("pylint/__pkginfo__.py", "pylint/__init__.py"),
+    "pytest-dev/pytest": ("src/_pytest/_version.py", "_pytest/_version.py"),
+    "pyvista/pyvista": ("pyvista/_version.py", "pyvista/__init__.py"),
+    "Qiskit/qiskit": ("qiskit/VERSION.txt",),
+    "scikit-learn/scikit-learn": ("sklearn/__init__.py",),
+    "sphinx-doc/sphinx": ("sphinx/__init__.py",),
+    "sympy/sympy": ("sympy/release.py", "sympy/__init__.py"),
+    "pillow/pillow": ("src/PIL/_version.py",),
+    "dateutil/dateutil": ("NEWS",),
+    "python/mypy": ("mypy/version.py",),
+    "redis/redis-py": ("setup.py", "redis/__init__.py"),
+    "tqdm/tqdm": ("tqdm/_version.py",),
+    "prettier/prettier": ("package.json",),
+    "tailwindlabs/tailwindcss": ("package.json",),
+    "jestjs/jest": ("lerna.json", "package.json"),
+    "webpack/webpack": ("package.json",),
+    "apollographql/apollo-client": ("package.json",),
+    "iamkun/dayjs": ("CHANGELOG.md",),
+    "babel/babel": ("package.json",),
+    "statsmodels/statsmodels": ("docs/source/release/index.rst",),
+    "assertj/assertj": ("pom.xml",),
+    "netty/netty": ("pom.xml",),
+    "google/gson": ("pom.xml",),
+}
+
+# What a repository gets if no file tells its version.
+VERSION_FALLBACKS = {"tqdm/tqdm": "get_version"}
+
 # Pull requests whose version is known beforehand (repository, first, last, version).
 VERSION_OVERRIDES = (("dateutil/dateutil", 510, 624, "2.7"), ("pyca/cryptography", 8390, 8390, "40.0"))
 
@@ -136,10 +175,43 @@ def version_in_text(repo: Column, text: Column) -> Column:
     return let(raw, short)
 
 
+def known_version(repo: Column, number: Column) -> Column:
+    """Version of a pull request that is known beforehand, else null."""
+    known = F.lit(None).cast("string")
+    for name, first, last, version in VERSION_OVERRIDES:
+        known = F.when((repo == name) & number.between(first, last), version).otherwise(known)
+    return known
+
+
 def version_from_text(df: DataFrame, keys: Sequence[str], number: str = "number") -> DataFrame:
     """Version of each row (repo, number, text), the known ones first."""
-    known = None
-    for repo, first, last, version in VERSION_OVERRIDES:
-        hit = (F.col("repo") == repo) & F.col(number).between(first, last)
-        known = F.when(hit, version) if known is None else known.when(hit, version)
-    return df.select(*keys, F.coalesce(known, version_in_text(F.col("repo"), F.col("text"))).alias("version"))
+    return df.select(*keys, F.coalesce(known_version(F.col("repo"), F.col(number)), version_in_text(F.col("repo"), F.col("text"))).alias("version"))
+
+
+def _by_repository(repo: Column, values: dict, empty: Column) -> Column:
+    out = None
+    for name, value in values.items():
+        out = F.when(repo == name, value) if out is None else out.when(repo == name, value)
+    return empty if out is None else out
+
+
+def path_rank(repo: Column, path: Column) -> Column:
+    """Place of a path, from 1, among the files that tell the version of its repository; null for any other file."""
+    wanted = _by_repository(repo, {n: F.array(*map(F.lit, ps)) for n, ps in VERSION_PATHS.items()}, F.array().cast("array<string>"))
+    return F.nullif(F.array_position(wanted, path), F.lit(0))
+
+
+def version_from_files(instances: DataFrame, files: DataFrame, keys: Sequence[str], number: str = "number") -> DataFrame:
+    """(keys, version) of each instance (keys, repo, number, base_commit) from the files (repo, commit, path, text) of its commit.
+
+    Only the version files of a repository take part.  Each is read where it
+    lies; what moves is its rank and its version, never its text.  Of the files that
+    tell a version the first in precedence counts, whether or not the ones before it exist.
+    Then come the fallback of the repository, and null.
+    """
+    ranked = files.select("repo", F.col("commit").alias("base_commit"), path_rank(F.col("repo"), F.col("path")).alias("_rank"), "text").filter("_rank IS NOT NULL")
+    told = ranked.select("repo", "base_commit", "_rank", version_in_text(F.col("repo"), F.col("text")).alias("_told"))
+    best = told.filter("_told IS NOT NULL").groupBy("repo", "base_commit").agg(F.min_by("_told", "_rank").alias("_told"))
+    found = instances.select(*keys, "repo", "base_commit", known_version(F.col("repo"), F.col(number)).alias("_known")).join(best, ["repo", "base_commit"], "left")
+    rest = _by_repository(F.col("repo"), {n: F.lit(v) for n, v in VERSION_FALLBACKS.items()}, F.lit(None).cast("string"))
+    return found.select(*keys, F.coalesce("_known", "_told", rest).alias("version"))
