@@ -227,6 +227,16 @@ def incremental_ingest(v: Views):
     return jobs.run_available(jobs.new_records(twice), "r01").select("event_id", "event_type")
 
 
+@query("r01b_ingest_any_age", "SELECT event_id, event_type FROM events")
+def ingest_any_age(v: Views):
+    # a first writer brings two thirds; a second one brings everything again, twice, in streams of its own
+    folder = _path(v, "r01b")
+    events = _events(v).select("event_id", "event_type", "ts")
+    jobs.ingest(events.filter("event_id % 3 > 0"), folder, "a")
+    jobs.ingest(events.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("copy"), folder, "b")
+    return jobs.ingested(v.spark, folder, events.schema).select("event_id", "event_type")
+
+
 _MARK = "m AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE AS mark FROM events)"
 
 

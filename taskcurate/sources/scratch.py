@@ -20,3 +20,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="taskcurate-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in whatever store Spark finds it."""
+    store, place = _hadoop(spark, path)
+    return store.exists(place)
+
+
+def put_in_place(spark: SparkSession, new: str, path: str) -> None:
+    """Let the finished folder ``new`` take the name ``path``; what was there goes only after it is moved aside."""
+    store, target = _hadoop(spark, path)
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.replaced")
+    if store.exists(old):
+        if store.exists(target):
+            store.delete(old, True)  # left by a job that ended after its switch
+        elif not store.rename(old, target):
+            raise OSError(f"cannot restore {path}")
+    if store.exists(target) and not store.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    store.mkdirs(target.getParent())
+    if not store.rename(spark._jvm.org.apache.hadoop.fs.Path(new), target):
+        store.rename(old, target)
+        raise OSError(f"cannot move {new} to {path}")
+    store.delete(old, True)

@@ -1,17 +1,31 @@
-"""Sinks.  Every output is a folder written by all tasks under Spark's commit protocol."""
+"""Sinks.  Every output is a folder written by all tasks under Spark's commit protocol.
+
+An output that is replaced is first written beside the old one, as a whole, and
+then takes its name: a job that fails leaves the old output as it was.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import uuid
+
+from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
 from ..operators.reports import review_sheet
+from .scratch import put_in_place
+
+
+def _replace(df: DataFrame, path: str, kind: str, prepare=lambda w: w) -> None:
+    new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    writer: DataFrameWriter = prepare(df.write)
+    writer.format(kind).save(new)
+    put_in_place(df.sparkSession, new, path)
 
 
 def write_replacing(df: DataFrame, path: str, manifest: str | None = None) -> int:
     """Replace the JSON-lines output; the row count, observed while writing, goes to the manifest."""
     seen = Observation("rows")
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(path)
+    _replace(df.observe(seen, F.count(F.lit(1)).alias("n")), path, "json")
     n = seen.get["n"]
     if manifest is not None:
         row = df.sparkSession.createDataFrame([(path, n)], "path string, n_rows bigint")
@@ -24,23 +38,23 @@ def write_appending(df: DataFrame, path: str) -> None:
 
 
 def write_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    _replace(df, path, "parquet")
 
 
 def write_split(df: DataFrame, path: str, by: str = "verdict") -> None:
     """Kept and rejected rows side by side, one folder per verdict."""
-    df.withColumn("_split", F.col(by)).write.mode("overwrite").partitionBy("_split").json(path)
+    _replace(df.withColumn("_split", F.col(by)), path, "json", lambda w: w.partitionBy("_split"))
 
 
 def write_review_sheet(df: DataFrame, path: str) -> None:
-    review_sheet(df).write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    _replace(review_sheet(df), path, "csv", lambda w: w.option("header", True).option("quoteAll", True).option("escape", '"'))
 
 
 def write_training(rows: DataFrame, path_all: str, path_solved: str) -> None:
     """All histories, and those of solved runs, as JSON lines."""
-    rows.select("line").write.mode("overwrite").text(path_all)
-    rows.filter("solved").select("line").write.mode("overwrite").text(path_solved)
+    _replace(rows.select("line"), path_all, "text")
+    _replace(rows.filter("solved").select("line"), path_solved, "text")
 
 
 def write_submission(df: DataFrame, path: str) -> None:
-    df.select("instance_id", "model_name_or_path", "model_patch").write.mode("overwrite").json(path)
+    _replace(df.select("instance_id", "model_name_or_path", "model_patch"), path, "json")

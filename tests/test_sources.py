@@ -79,3 +79,40 @@ def test_scratch_uses_the_shared_folder():
 
     cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: {"spark.checkpoint.dir": "hdfs://shared/x/"}.get(key, default)))
     assert scratch_path(cluster, "n").startswith("hdfs://shared/x/n-")
+
+
+def test_a_failed_job_leaves_the_old_output(spark, tmp_path):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from taskcurate.sources import writers
+
+    path = str(tmp_path / "out")
+    writers.write_table(spark.range(3), path)
+    with pytest.raises(Exception, match="no good"):
+        writers.write_table(spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("no good"))).otherwise(F.col("id")).alias("id")), path)
+    assert spark.read.parquet(path).count() == 3
+    writers.write_table(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5 and not list(tmp_path.glob("out.replaced*"))
+
+
+def test_old_output_that_was_moved_aside_comes_back(spark, tmp_path):
+    from taskcurate.sources import scratch
+
+    spark.range(2).write.parquet(str(tmp_path / "out.replaced"))  # a job that ended between its two moves
+    spark.range(4).write.parquet(str(tmp_path / "new"))
+    scratch.put_in_place(spark, str(tmp_path / "new"), str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 4 and [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
+def test_first_commits_by_name_open_no_other_file(spark, tmp_path):
+    import json
+
+    from taskcurate.sources import readers
+
+    for i in range(6):
+        (tmp_path / f"c{i}.json").write_text(json.dumps({"new_commit_hash": f"h{i}"}) if i < 3 else "not json at all {")
+    df = readers.read_commits(spark, str(tmp_path), 3)
+    assert sorted((r.new_commit_hash, r.file_name) for r in df.collect()) == [(f"h{i}", f"c{i}.json") for i in range(3)]
+    assert len(df.inputFiles()) == 3
+    assert readers.read_commits(spark, str(tmp_path), 0).count() == 0
