@@ -1,4 +1,7 @@
-"""Suffix-array dedup of long repeats: a logarithmic family of sparse suffix arrays.
+"""Dedup of long repeats by a logarithmic family of sorted block indexes.
+
+The suffix array of the method is replaced: no suffix is ordered by its bytes (see the
+README for figures of one that is).
 
 Every byte covered by a ``LENGTH``-byte string that also starts earlier (in a
 document with a smaller doc_id, or earlier in the same one) is removed; strings
@@ -25,8 +28,10 @@ settled at once, so a passage that a third of all documents hold reaches a task
 once per input batch.
 
 Null and empty texts, and texts below ``LENGTH`` bytes, lose nothing.  A null
-doc_id counts as smaller than all others.  Rows with equal doc_id are one
-document and must be repeats of one row; repeats get the same result.
+doc_id counts as smaller than all others; rows without one are told apart, and
+ordered, by a hash of their text.  Rows with equal doc_id are one
+document and must be repeats of one row; repeats get the same result.  (An id below
+-2^62 would be taken for none.)
 """
 
 from __future__ import annotations
@@ -101,14 +106,10 @@ def first_of_equal(keys: list[np.ndarray], doc: np.ndarray, start: np.ndarray) -
     return later
 
 
-def _ids(column: pa.Array) -> np.ndarray:
-    return column.fill_null(_NO_ID).to_numpy(zero_copy_only=False)
-
-
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         parts = []
-        for d, text in zip(_ids(b.column("doc_id")).tolist(), b.column("text").to_pylist(), strict=True):
+        for d, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
             for gram, first, count, digest in blocks((text or "").encode()):
                 parts.append((gram, np.array(digest, np.uint64), np.full(len(first), d), first, count))
         if parts:
@@ -216,7 +217,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=3).compress
     for b in batches:
         packed = pa.array([pack((t or "").encode()) for t in b.column("text").to_pylist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(_ids(b.column("doc_id"))), packed], ["doc", "packed"])
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), packed], ["doc", "packed"])
 
 
 def _unpack(packed: bytes) -> bytes:
@@ -287,12 +288,13 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols = list(zip(*rows, strict=True)) or [[]] * 4
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
         doc = b.column("doc").to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(doc, mask=doc == _NO_ID), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["doc_id", *(x.split()[0] for x in RESULT.split(", "))])
+        yield pa.RecordBatch.from_arrays([pa.array(doc, mask=doc < _NO_ID + (1 << 62)), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["doc_id", *(x.split()[0] for x in RESULT.split(", "))])
 
 
 def repeated_spans(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each row of ``docs``."""
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    unnamed = F.lit(_NO_ID) + F.shiftrightunsigned(F.xxhash64("text"), 2)
+    slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), unnamed).alias("doc_id"), "text")
     sampled = slim.mapInArrow(_block_rows, "gram long, block long, doc long, start long, n long")
     found = stored(sampled.repartition("gram").sortWithinPartitions("doc", "start").mapInArrow(lambda b: _scan_family(b, crowd), "gram long, doc long, start long, n long, kind int"))
     # both joins read one shuffle of the texts: the filter, always true, keeps the plans below them alike

@@ -12,8 +12,8 @@ leaf whose constant part it holds, so a frequent value in a field sets no line a
 With one or two tokens behind the
 leading ones all must agree.  A template held by ``MIN_DOCS`` documents or more
 recurs: its lines are dropped everywhere but in the document with the smallest
-``doc_id``.  With ``long_docs``, a line of ``LONG`` tokens or more that stands
-word for word in so many documents recurs as well.  The constant part of a template is thus never lost altogether; the
+``doc_id``.  A line of ``LONG`` tokens or more that stands word for word in
+``LONG_DOCS`` documents recurs as well.  The constant part of a template is thus never lost altogether; the
 fields of the dropped lines are.
 
 Lines of fewer than ``MIN_TOKENS`` tokens are never templates.  Null and empty
@@ -33,7 +33,7 @@ from .common import join_texts, lists, per_batch, stored, text_key
 from .quality import _LOWER, recounted
 
 DEPTH, BLOCKS, MIN_ALIKE, MIN_TOKENS, MIN_DOCS = 3, 8, 0.6, 4, 10
-LONG = 50
+LONG, LONG_DOCS = 50, 2
 MASK = b"<*>"
 
 
@@ -101,7 +101,7 @@ def line_templates(there: DataFrame, min_docs: int) -> DataFrame:
     return own.join(joined, ["leaf", "line"], "left").select("leaf", "line", F.coalesce("found", "template").alias("template"))
 
 
-def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, long_docs: int | None = None) -> DataFrame:
+def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, long_docs: int = LONG_DOCS) -> DataFrame:
     """(doc_id, key, dropped): the numbers, from 0, of the lines that each document loses."""
     lines = stored(parsed_lines(docs))
     busy = lines.groupBy("leaf").agg(F.count_distinct("doc_id").alias("n")).where(F.col("n") >= min_docs).select("leaf")
@@ -110,15 +110,14 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, long_docs: int |
     again = named.groupBy("leaf", "template").agg(F.count_distinct("doc_id").alias("n"), F.min("doc_id").alias("first_doc")).where(F.col("n") >= min_docs)
     where = ["doc_id", "key", "line_no", "first_doc"]
     lost = named.join(again, ["leaf", "template"]).select(*where)
-    if long_docs:
-        long = lines.where("exact is not null").select("doc_id", "key", "line_no", "exact")
-        copied = long.groupBy("exact").agg(F.count_distinct("doc_id").alias("n"), F.min("doc_id").alias("first_doc")).where(F.col("n") >= long_docs)
-        lost = lost.union(long.join(copied, "exact").select(*where))
+    long = lines.where("exact is not null").select("doc_id", "key", "line_no", "exact")
+    copied = long.groupBy("exact").agg(F.count_distinct("doc_id").alias("n"), F.min("doc_id").alias("first_doc")).where(F.col("n") >= long_docs)
+    lost = lost.union(long.join(copied, "exact").select(*where))
     lost = lost.where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
     return lost.groupBy("doc_id", "key").agg(F.sort_array(F.collect_set("line_no")).alias("dropped"))
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, note: str | None = None, long_docs: int | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, note: str | None = None, long_docs: int = LONG_DOCS) -> DataFrame:
     """``docs`` without recurring lines; ``note`` names a column to add that lists the dropped line numbers."""
     lost = recurring_lines(docs, min_docs, long_docs).select(F.col("doc_id").alias("d__"), F.col("key").alias("k__"), F.col("dropped").alias("dropped__"))
     both = join_texts(docs, lost, "left")
