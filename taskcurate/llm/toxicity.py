@@ -50,7 +50,8 @@ ENDS = ".,;:?\"'()[]{}%&#<>~-_=/\\"
 HEADS = ENDS.replace("(", "")
 _RUN = r"(?<![\w.\-*])(?:[^\W_]|[@$!|+€*(])(?:[ .\-_*](?:[^\W_]|[@$!|+€(])){3,}(?!\w)"
 SPACED = re.compile(_RUN)
-SET_APART = re.compile(r"\w[.\-_*]\w[.\-_*]\w")
+#: What every run holds: three marks or blanks with one character between.
+SET_APART = re.compile(r"[ .\-_*]\S[ .\-_*]\S[ .\-_*]\S")
 SUSPECT = re.compile(r"(.)\1\1|(\w)\2(\w)\3|[0-9@$!|+€(*]")
 NO_LETTER = re.compile(r"[^a-zß-ÿĀ-ɏ]")
 
@@ -158,12 +159,11 @@ class Restorer:
         """Tokens of a text as they stand, and the words of its runs, restored."""
         text = (text or "").lower()
         found = Counter(text.split())
-        if sum(n for t, n in found.items() if len(t) == 1) > 2 or any(len(t) > 4 and SET_APART.search(t) for t in found):
-            runs = SPACED.findall(text)
-            if runs:
-                found = Counter(SPACED.sub(" ", text).split())
-                for x in runs:
-                    found.update(self.run(x).split())
+        runs = SPACED.findall(text) if SET_APART.search(text) else ()
+        if runs:
+            found = Counter(SPACED.sub(" ", text).split())
+            for x in runs:
+                found.update(self.run(x).split())
         return found
 
 
