@@ -19,7 +19,8 @@ SAMPLE = (
     "a05_strict_quality_verdict a09b_distribution_rollup a11_box_figures a15_describe a22_run_report w03_best_by_both w04_running_success "
     "w06_longest_view_run w07_minimal_hunks w08b_assign_tests w12_condense_plan w14_line_numbers w15_entity_spans w16_keep_tests "
     "w18_sanitised_script t07_shuffled_examples u02_with_precedence x06_round_trip x16_failure_sections x18_actions x21_version_from_text "
-    "r01_incremental_ingest d02_selector_by_name"
+    "r01_incremental_ingest d02_selector_by_name s08b_case_instances f25b_eight_step_funnel j11_match_tests j17b_test_targets x21b_version_from_files "
+    "x26c_issue_requests w17_substantive r01b_ingest_any_age d05_results_of_logs x11_exit_code"
 ).split()
 NAMES = sorted(catalog.registered()) if os.environ.get("TASKCURATE_ALL") else SAMPLE
 
