@@ -136,9 +136,11 @@ def decompose(v: Views):
 _WIDE_TESTS = """g AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY number) > 6 THEN (file_pos - 1) // 4 END AS g FROM v_wide),
   code AS (SELECT number, g, regexp_extract(path, '([^/]*)\\.py$', 1) AS stem, 'src' AS dir FROM g WHERE g IS NOT NULL),
   tests AS (SELECT DISTINCT l_orderkey // 4 AS number, CASE WHEN l_suppkey % 50 = 0 THEN 'src/tests' ELSE 'checks' END AS dir, 'm' || (l_partkey + l_suppkey % 2) AS stem FROM lineitem),
-  hit AS (SELECT DISTINCT t.number, t.dir, t.stem, c.g FROM tests t JOIN code c ON t.number = c.number AND (t.stem = c.stem OR contains(t.dir, c.dir) OR contains(c.dir, t.dir))),
+  dirs AS (SELECT DISTINCT number, g, dir FROM code),
+  hit AS (SELECT t.number, t.dir, t.stem, c.g FROM tests t JOIN code c ON t.number = c.number AND t.stem = c.stem
+    UNION SELECT t.number, t.dir, t.stem, d.g FROM tests t JOIN dirs d ON t.number = d.number WHERE contains(t.dir, d.dir) OR contains(d.dir, t.dir)),
   dealt AS (SELECT number, g::BIGINT AS group_no, dir || '/test_' || stem || '.py' AS test_path, true AS matched FROM hit
-    UNION ALL SELECT number, 0, dir || '/test_' || stem || '.py', false FROM tests t WHERE number IN (SELECT number FROM code) AND NOT EXISTS (SELECT 1 FROM hit h WHERE h.number = t.number AND h.dir = t.dir AND h.stem = t.stem))"""
+    UNION ALL SELECT t.number, 0, t.dir || '/test_' || t.stem || '.py', false FROM tests t SEMI JOIN dirs ON dirs.number = t.number ANTI JOIN hit h ON h.number = t.number AND h.dir = t.dir AND h.stem = t.stem)"""
 
 
 def _wide_tests(v: Views):
