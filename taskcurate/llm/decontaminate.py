@@ -106,10 +106,11 @@ def leaks(docs: DataFrame, items: DataFrame, min_alike: float = MIN_ALIKE, max_b
     close = probes.join(index, ["len", "block", "bits"]).where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
     pairs = close.select(*at, "item", "w_total", "i_total").distinct()
 
-    shared = weighted.join(item_rows.withColumnRenamed("n", "m"), ["len", "h"]).groupBy(*at, "item").agg(F.sum(F.least("n", "m")).alias("both"))
-    found = pairs.join(shared, [pairs["doc_id"].eqNullSafe(shared["doc_id"]), *(pairs[c] == shared[c] for c in ("key", "start", "len", "item"))]).select(
-        *(pairs[c] for c in ("doc_id", "key", "start", "item")), (F.col("both") / (F.col("w_total") + F.col("i_total") - F.col("both"))).alias("similarity")
-    )
+    # the overlap is computed for the pairs of the index alone: their windows' shingles, then the item's
+    close = pairs.withColumnsRenamed({c: f"{c}__" for c in at})
+    of_window = weighted.join(close, [weighted["doc_id"].eqNullSafe(F.col("doc_id__")), *(weighted[c] == F.col(f"{c}__") for c in at if c != "doc_id")]).drop(*(f"{c}__" for c in at))
+    shared = of_window.join(item_rows.withColumnRenamed("n", "m"), ["item", "len", "h"]).groupBy(*at, "item", "w_total", "i_total").agg(F.sum(F.least("n", "m")).alias("both"))
+    found = shared.select("doc_id", "key", "start", "item", (F.col("both") / (F.col("w_total") + F.col("i_total") - F.col("both"))).alias("similarity"))
     best = found.where(F.col("similarity") >= min_alike).groupBy("doc_id", "key", "item").agg(F.max_by(F.struct("start", "similarity"), F.struct("similarity", -F.col("start"))).alias("best"))
     return best.join(item.select("item", "item_id"), "item").select("doc_id", "key", "item_id", "best.start", "best.similarity")
 

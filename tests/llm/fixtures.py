@@ -9,6 +9,7 @@ TABLES = {
     "documents": [("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64())],
     "benchmark": [("item_id", pa.int64()), ("text", pa.string())],
     "labels": [("doc_id", pa.int64()), ("quality", pa.int32()), ("toxic", pa.int32())],
+    "conversations": [("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())],
 }
 #: Columns beside those of the tables, named like what the operators make.
 CLASHES = ("key", "host", "print", "n", "start", "kept", "size", "grp", "shard", "slot", "score", "ids", "h", "line", "item", "doc", "found", "n_words", "hs", "len", "dropped")
@@ -48,11 +49,17 @@ def write(folder, data: dict[str, list[tuple]], clash: bool) -> str:
     return str(folder)
 
 
+def turns() -> list[tuple]:
+    """Conversations with shared openings, copies, empty turns, a null turn number and rows of none."""
+    out = [(c, t, ("user", "assistant", None)[t % 3], ("hello there", "", None, f"what of {c % 4}?")[(c * t + t) % 4]) for c in (*range(45), 60, 10**10) for t in range(c % 6)]
+    return out + [(100 + 20 * k, t, "user", f"long {t} talk") for k in range(3) for t in range(40)] + [(7, None, "user", "before all"), (None, 0, "user", "lost"), (46, 3, None, None)]
+
+
 def hard(folder) -> str:
     docs = rows()
     items = [(1, VERSE), (2, None), (3, ""), (4, "only three words"), (5, VERSE), (None, prose(10, 20))]
     labels = [(i, 1, int(t is not None and "clown" in t)) for i, t, *_ in docs if i is not None and i < 40] + [(None, 0, 1), (7, None, None), (999, 1, 1)]
-    return write(folder, {"documents": docs, "benchmark": items, "labels": labels}, clash=True)
+    return write(folder, {"documents": docs, "benchmark": items, "labels": labels, "conversations": turns()}, clash=True)
 
 
 def connect(folder: str):
@@ -62,7 +69,7 @@ def connect(folder: str):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in TABLES:
         if os.path.exists(f"{folder}/{t}.parquet"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
     return con
