@@ -172,7 +172,8 @@ SELECT l_orderkey AS instance, pos, unnest(['test_a' || l_suppkey % 5, 'test_b',
 def failure_sections(v: Views):
     log = F.expr("""concat('head\\n==== ERRORS ====\\n____ ERROR at setup of test_a', l_suppkey % 5, '[p0] ____\\nsetup\\nline\\n',
         '==== FAILURES ====\\n____ test_b[1] ____\\n\\nE   boom\\n____ test_c ____\\nE   bang\\n====== warnings summary =========\\nw')""")
-    return v.items().select(F.col("l_orderkey").alias("instance"), "pos", F.inline(L.failure_sections(log)))
+    rows = v.spread(v.items().select("l_orderkey", "pos", "l_suppkey"), "l_orderkey", "pos")
+    return rows.select(F.col("l_orderkey").alias("instance"), "pos", F.inline(L.failure_sections(log)))
 
 
 @query("f15_infra_failure", """

@@ -47,12 +47,13 @@ def containing(outer: DataFrame, outer_col: str, inner: DataFrame, inner_col: st
 # -- places and intervals --------------------------------------------------------------
 
 
-def cover(first: Column, last: Column, width: int = LINES) -> Column:
+def cover(first: Column, last: Column, width: int = LINES, top: int = 62) -> Column:
     """The dyadic nodes (level, node) that make up [first, last], counted in blocks of ``width``.
 
     A node of level k is 2^k blocks from a multiple of 2^k.  An interval of n
     blocks is at most 2 log2(n) + 1 nodes, and they do not overlap.  The edge blocks
-    reach beyond the interval, so what meets is still to be compared.
+    reach beyond the interval, so what meets is still to be compared.  With ``top``
+    no node is of a higher level, and an interval is up to n / 2^top nodes more.
     """
     a, b = F.floor(first / width).cast("long"), F.floor(F.greatest(first, last) / width).cast("long") + 1
 
@@ -61,9 +62,11 @@ def cover(first: Column, last: Column, width: int = LINES) -> Column:
         low, high = F.ceil(a / size).cast("long"), F.floor(b / size).cast("long")  # nodes of this level inside
         left = F.when((low < high) & (F.pmod(low, F.lit(2)) == 1), low)
         right = F.when((low + F.when(left.isNotNull(), 1).otherwise(0) < high) & (F.pmod(high, F.lit(2)) == 1), high - 1)
-        return F.filter(F.array(left, right), lambda n: n.isNotNull())
+        ends = F.filter(F.array(left, right), lambda n: n.isNotNull())
+        every = F.when(low < high, F.sequence(low, high - 1)).otherwise(F.array().cast("array<bigint>"))
+        return F.when(level == top, every).otherwise(ends)
 
-    levels = F.sequence(F.lit(0), F.floor(F.log2((b - a).cast("double"))).cast("int"))
+    levels = F.sequence(F.lit(0), F.least(F.floor(F.log2((b - a).cast("double"))).cast("int"), F.lit(top)))
     return F.flatten(F.transform(levels, lambda k: F.transform(at(k), lambda n: F.struct(k.alias("level"), n.alias("node")))))
 
 
@@ -91,3 +94,27 @@ def inside(places: DataFrame, place: str, intervals: DataFrame, first: str, last
     asked = places.withColumn("_levels", highest_level(intervals, first, last, width)).withColumn("_n", F.explode(ancestors(F.col(place), F.col("_levels"), width))).drop("_levels")
     same = [F.col(c) == F.col(f"_i_{c}") for c in on] + [F.col("_n") == F.col("_at")]
     return asked.join(nodes, [*same, F.col(place).between(F.col(first), F.col(last))], how).drop("_at", "_n", *[f"_i_{c}" for c in on])
+
+
+#: Highest level of a node of the first side of :func:`overlapping`: 64 blocks.
+TOP = 6
+
+
+def overlapping(left: DataFrame, first: str, last: str, right: DataFrame, start: str, end: str, on: Sequence[str], width: int = LINES) -> DataFrame:
+    """``left`` joined, as a left join, with the intervals of ``right`` that overlap its own, of the same ``on``.
+
+    Two intervals overlap if one begins inside the other: the left one in the right
+    one, or the right one behind the first place of the left one.  Both cases are keys of
+    one equi-join, so each side is read once.  Rows of ``left`` come several times,
+    those without a partner with nulls.
+    """
+    on = list(on)
+    side = lambda n, nodes: F.transform(nodes, lambda x: F.struct(F.lit(n).alias("side"), x["level"].alias("level"), x["node"].alias("node")))
+    mine = left.withColumn("_levels", highest_level(right, start, end, width)).withColumn(
+        "_at", F.explode(F.concat(side(0, ancestors(F.col(first), F.col("_levels"), width)), side(1, cover(F.col(first), F.col(last), width, TOP))))
+    ).drop("_levels")
+    theirs = right.withColumn("_to", F.explode(F.concat(side(0, cover(F.col(start), F.col(end), width)), side(1, ancestors(F.col(start), F.lit(TOP), width)))))
+    theirs = theirs.withColumnsRenamed({c: f"_i_{c}" for c in on})
+    meets = F.when(F.col("_at.side") == 0, F.col(first).between(F.col(start), F.col(end))).otherwise((F.col(start) > F.col(first)) & (F.col(start) <= F.col(last)))
+    same = [F.col(c) == F.col(f"_i_{c}") for c in on] + [F.col("_at") == F.col("_to"), meets]
+    return mine.join(theirs, same, "left").drop("_at", "_to", *[f"_i_{c}" for c in on])

@@ -50,6 +50,27 @@ def test_inside(spark, width):
     assert M.inside(spark.createDataFrame(places, "f string, x int"), "x", spark.createDataFrame([], "f string, a int, b int, i int"), "a", "b", ["f"]).count() == 0
 
 
+@pytest.mark.parametrize("top", [0, 1, 3])
+def test_cover_up_to_a_level(spark, top):
+    r = random.Random(top)
+    rows = [(a, a + r.randrange(80)) for a in (r.randrange(200) for _ in range(200))]
+    for row in spark.createDataFrame(rows, "a long, b long").select("a", "b", M.cover(F.col("a"), F.col("b"), 1, top).alias("c")).collect():
+        assert sorted(i for n in row.c for i in range(n.node << n.level, (n.node + 1) << n.level)) == list(range(row.a, row.b + 1))
+        assert max(n.level for n in row.c) <= top
+
+
+@pytest.mark.parametrize("width", [1, 64])
+def test_overlapping(spark, width):
+    r = random.Random(width)
+    spans = [(r.choice("pq"), a, a + r.choice((0, 3, 90, 5000)), i) for i, a in enumerate(r.randrange(1, 9000) for _ in range(50))]
+    hunks = [(r.choice("pqr"), a, a + r.choice((0, 2, 70, 6000)), i) for i, a in enumerate(r.randrange(1, 9000) for _ in range(90))]
+    got = M.overlapping(spark.createDataFrame(hunks, "f string, x int, y int, h int"), "x", "y", spark.createDataFrame(spans, "f string, a int, b int, s int"), "a", "b", ["f"], width)
+    pairs = [(i.h, i.s) for i in got.collect()]
+    met = [p for p in pairs if p[1] is not None]
+    assert sorted(met) == sorted((h, s) for f, x, y, h in hunks for g, a, b, s in spans if f == g and a <= y and b >= x)
+    assert {h for h, _ in pairs} == {h[3] for h in hunks}
+
+
 def test_hunk_owners_over_long_spans(spark):
     r = random.Random(9)
     spans = [("f", r.choice(("function", "method", "class")), f"e{i}", a, a + r.choice((0, 9, 700, 10**6))) for i, a in enumerate(r.randrange(1, 5000) for _ in range(40))]
