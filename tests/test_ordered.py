@@ -127,7 +127,7 @@ def test_longest_view_run(spark):
 def test_running_xor_matches_a_plain_fold(spark):
     rows = [(k, i, (i * 2654435761 + k * 97) % (1 << 40)) for k in (0, 1) for i in range(0, 9000, 7)]
     df = spark.createDataFrame(rows, "k int, i long, v long")
-    out = ordered.running(df, ["k"], [F.col("i")], ordered.id_blocks(F.col("i")), x=("xor", F.col("v")))
+    out = O.running(df, ["k"], [F.col("i")], O.id_blocks(F.col("i")), x=("xor", F.col("v")))
     want, now = {}, {}
     for k, i, v in rows:
         now[k] = now.get(k, 0) ^ v
