@@ -23,25 +23,50 @@ def grams(text: Column, n: Column) -> Column:
     return F.when(F.length(text) >= n, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
 
 
+#: With no more inner texts than this in a group of keys, its outer texts are held against each of them.
+FEW = 16
+
+
+def _by_size(outer: DataFrame, inner: DataFrame, inner_col: str, keys: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Distinct inner texts of small groups, those of the others, and the outer rows of the others."""
+    short = inner.filter(F.length(inner_col) > 0).select(*keys, inner_col).distinct()
+    large = short.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > FEW).select(*keys)
+    return short.join(large, keys, "left_anti"), short.join(large, keys, "left_semi"), outer.join(large, keys, "left_semi")
+
+
 def containing(outer: DataFrame, outer_col: str, inner: DataFrame, inner_col: str, keys: Sequence[str], q: int = GRAM) -> DataFrame:
     """Rows of ``outer`` with the rows of ``inner`` of the same ``keys`` whose text is part of theirs.
 
-    An outer text is keyed by its parts of ``q`` characters, so by no more rows
+    In a group of few inner texts an outer text meets each of them.  In the others it
+    is keyed by its parts of ``q`` characters, so by no more rows
     than it is long, whatever lengths are looked for.  An inner text is keyed by
     one of its own parts: the one that the fewest outer texts of its keys have.  Inner
     texts shorter than ``q`` are their own key, and only then outer texts
     are cut into shorter parts too.  Empty and null texts match nothing.
     """
     keys = list(keys)
-    short = inner.filter(F.length(inner_col) > 0).select(*keys, inner_col).distinct()
-    sizes = F.coalesce(short.agg(F.collect_set(F.least(F.length(inner_col), F.lit(q)))).scalar(), F.array().cast("array<int>"))  # q numbers at most
-    cut = outer.withColumn("_sizes", sizes).withColumn("_gram", F.explode(F.flatten(F.transform("_sizes", lambda n: grams(F.col(outer_col), n))))).drop("_sizes")
+    few, many, rows = _by_size(outer, inner, inner_col, keys)
+    part = F.col(outer_col).contains(F.col(inner_col))
+    sizes = F.coalesce(many.agg(F.collect_set(F.least(F.length(inner_col), F.lit(q)))).scalar(), F.array().cast("array<int>"))  # q numbers at most
+    cut = rows.withColumn("_sizes", sizes).withColumn("_gram", F.explode(F.flatten(F.transform("_sizes", lambda n: grams(F.col(outer_col), n))))).drop("_sizes")
     held = cut.groupBy(*keys, "_gram").agg(F.count(F.lit(1)).alias("_held"))
-    asked = short.withColumn("_gram", F.explode(grams(F.col(inner_col), F.least(F.length(inner_col), F.lit(q)))))
+    asked = many.withColumn("_gram", F.explode(grams(F.col(inner_col), F.least(F.length(inner_col), F.lit(q)))))
     # a part that no outer text has is the rarest, and matches nothing
     rarest = asked.join(held, [*keys, "_gram"], "left").groupBy(*keys, inner_col).agg(F.min_by("_gram", F.struct(F.coalesce("_held", F.lit(0)), "_gram")).alias("_gram"))
-    met = cut.join(rarest, [*keys, "_gram"]).filter(F.col(outer_col).contains(F.col(inner_col))).drop("_gram")
-    return met if set(inner.columns) == {*keys, inner_col} and inner.columns == short.columns else met.join(inner, [*keys, inner_col])
+    met = outer.join(few, keys).filter(part).unionByName(cut.join(rarest, [*keys, "_gram"]).filter(part).drop("_gram"))
+    return met if set(inner.columns) == {*keys, inner_col} and inner.columns == few.columns else met.join(inner, [*keys, inner_col])
+
+
+def ending(outer: DataFrame, outer_col: str, inner: DataFrame, inner_col: str, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``outer`` with the distinct ``inner`` texts of the same ``keys`` that theirs ends with.
+
+    Only in groups of many inner texts an outer text becomes one row for each of its endings.
+    """
+    keys = list(keys)
+    few, many, rows = _by_size(outer, inner, inner_col, keys)
+    text = F.col(outer_col)
+    cut = rows.filter(F.length(text) > 0).withColumn(inner_col, F.explode(F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substr(text, i))))
+    return outer.join(few, keys).filter(text.endswith(F.col(inner_col))).unionByName(cut.join(many, [*keys, inner_col]).select(*outer.columns, inner_col))
 
 
 # -- places and intervals --------------------------------------------------------------

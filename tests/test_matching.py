@@ -81,3 +81,16 @@ def test_hunk_owners_over_long_spans(spark):
         hit = sorted((s, n) for _, k, n, s, e in spans if k != "class" and s <= max(a, b) and e >= a)
         want[h] = hit[0][1] if hit else None
     assert {x.h: x.owner for x in got.collect()} == want
+
+
+def test_small_groups_are_not_cut(spark):
+    """Few texts looked for in a group: outer texts stay whole rows; many: the same matches by parts."""
+    r = random.Random(4)
+    word = lambda n: "".join(r.choice("ab_") for _ in range(n))
+    outer = [(k, word(9)) for k in range(6) for _ in range(30)] + [(0, ""), (1, None), (None, "ab")]
+    inner = list({(k, word(1 + r.randrange(6))) for k in range(6) for _ in range(3 if k % 2 else 80)}) + [(0, ""), (1, None), (None, "a")]
+    assert max(sum(k == x for k, _ in inner) for x in range(6)) > M.FEW
+    o, i = spark.createDataFrame(outer, "k int, o string"), spark.createDataFrame(inner, "k int, s string")
+    pairs = [(a, x, y) for a, x in outer for b, y in inner if a is not None and a == b and x and y]
+    assert sorted(tuple(x) for x in M.containing(o, "o", i, "s", ["k"]).select("k", "o", "s").collect()) == sorted(p for p in pairs if p[2] in p[1])
+    assert sorted(tuple(x) for x in M.ending(o, "o", i, "s", ["k"]).select("k", "o", "s").collect()) == sorted(p for p in pairs if p[1].endswith(p[2]))
