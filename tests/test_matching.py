@@ -94,3 +94,24 @@ def test_small_groups_are_not_cut(spark):
     pairs = [(a, x, y) for a, x in outer for b, y in inner if a is not None and a == b and x and y]
     assert sorted(tuple(x) for x in M.containing(o, "o", i, "s", ["k"]).select("k", "o", "s").collect()) == sorted(p for p in pairs if p[2] in p[1])
     assert sorted(tuple(x) for x in M.ending(o, "o", i, "s", ["k"]).select("k", "o", "s").collect()) == sorted(p for p in pairs if p[1].endswith(p[2]))
+
+
+def test_touched_entities_against_all_pairs(spark):
+    """Every edited line against every span; lines are not rows of their own on the way."""
+    r = random.Random(8)
+    spans = list({(r.choice("pq"), "function", r.choice(("", "a", "b", "c", "d")), r.choice(("old", "new")), a, a + r.choice((0, 4, 60, 900))) for a in (r.randrange(1, 900) for _ in range(24))})
+    lines = [(i, r.choice("pqr"), k, n if k != "added" else None, n if k != "deleted" else None) for i in range(40) for k, n in ((r.choice(("added", "deleted", "context")), r.randrange(1, 950)) for _ in range(5))]
+    got = E.touched_entities(spark.createDataFrame(lines, "c int, path string, type string, old_line int, new_line int"), spark.createDataFrame(spans, "path string, kind string, name string, version string, start_line int, end_line int"), ["c"])
+    there = {(p, n): {v for q, _, m, v, _, _ in spans if (p, n) == (q, m)} for p, _, n, _, _, _ in spans}
+    state = lambda vs: "modified" if len(vs) == 2 else "added" if "new" in vs else "deleted"
+    want = {(c, p, n, state(there[p, n])) for c, p, k, o, w in lines for q, _, n, v, a, b in spans if p == q and {"deleted": "old", "added": "new"}.get(k) == v and a <= (o or w) <= b}
+    rows = [(x.c, x.path, x.name, x.status) for x in got.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
+    assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_test_entities_are_read_once(spark):
+    rows = spark.createDataFrame([(1, "t", "function", "f", "added"), (1, "s", "function", "f", "added"), (2, "t", "function", "g", "deleted")], "c int, path string, kind string, name string, status string")
+    got = E.test_entities(rows, ["c"], F.col("path") == "t")
+    assert [tuple(x) for x in got.collect()] == [(1, "t", "function", "f")]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
