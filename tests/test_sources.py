@@ -116,3 +116,15 @@ def test_first_commits_by_name_open_no_other_file(spark, tmp_path):
     assert sorted((r.new_commit_hash, r.file_name) for r in df.collect()) == [(f"h{i}", f"c{i}.json") for i in range(3)]
     assert len(df.inputFiles()) == 3
     assert readers.read_commits(spark, str(tmp_path), 0).count() == 0
+
+
+def test_nested_commits_are_stored_compressed(spark, monkeypatch, tmp_path):
+    from taskcurate.catalog import io_checks
+    from taskcurate.catalog.views import Views
+
+    from .conftest import SF_DIR
+
+    monkeypatch.setattr(io_checks, "_path", lambda v, name: str(tmp_path / name))
+    rows = io_checks.nested_commits(Views(spark, SF_DIR)).count()
+    files = list((tmp_path / "s10").glob("part-*"))
+    assert rows and files and all(f.suffix == ".gz" for f in files)
