@@ -89,3 +89,17 @@ def test_a_large_group_of_near_copies(spark, monkeypatch, few, many):
     else:  # a split bucket needs a second agreeing key
         assert all(want[d] == want[c] for d, c in got.items())
         assert sum(got[d] == want[d] for d in want) >= 0.98 * len(want)
+
+
+def test_pipeline_drops_the_components_of_op9(spark):
+    """The stage keeps one text of each component of fingerprints, and not by another measure of likeness."""
+    import corpus_pipeline as cp
+    from taskcurate.llm import simhash
+
+    words = [f"w{i}" for i in range(60)]
+    texts = {1: " ".join(words), 2: "  ".join(words), 3: " ".join(words[:57] + ["x", "y", "z"]), 4: "other text here now", 5: None, 6: ""}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    prints = {d: simhash.fingerprint(t) for d, t in texts.items()}
+    assert 3 < (prints[1] ^ prints[3]).bit_count()  # alike at 0.8 and more, but no link
+    stage = dict(cp.STAGES)["SimHash near-dedup"]
+    assert sorted(r.doc_id for r in stage(spark, docs, "").collect()) == [1, 3, 4, 5]
