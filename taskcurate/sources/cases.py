@@ -34,11 +34,21 @@ def read_case_files(spark: SparkSession, root: str) -> DataFrame:
     """
     names = ",".join((STATUS, META, SCRIPT, IMAGE, PRE_LOG, POST_LOG))
     raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"{{{names}}}").text(root, wholetext=True)
-    at = F.split(F.col("_metadata.file_path"), "/")
+    return known_files(raw.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
+
+
+def read_packed_cases(spark: SparkSession, path: str) -> DataFrame:
+    """The same of case folders that are packed in a table (path, text): millions of small files need a block and a listing entry each."""
+    return known_files(spark.read.schema("path string, text string").parquet(path))
+
+
+def known_files(files: DataFrame) -> DataFrame:
+    """(setup, case, run, kind, text) of files (path, text); paths are encoded as in URLs."""
+    at = F.split(F.col("path"), "/")
     part = lambda i: F.url_decode(F.element_at(at, i))
     run = F.nullif(F.regexp_extract(part(-2), _RUN, 1), F.lit("")).cast("long")
     folder = F.when(run.isNull(), F.slice(at, 1, F.size(at) - 1)).otherwise(F.slice(at, 1, F.size(at) - 2))
-    found = raw.select(part(-1).alias("kind"), run.alias("run"), folder.alias("_folder"), F.col("value").alias("text"))
+    found = files.where(part(-1).isin(STATUS, META, SCRIPT, IMAGE, PRE_LOG, POST_LOG)).select(part(-1).alias("kind"), run.alias("run"), folder.alias("_folder"), "text")
     is_log = F.col("kind").isin(PRE_LOG, POST_LOG)
     return found.where(is_log == F.col("run").isNotNull()).select(
         F.url_decode(F.array_join(F.slice("_folder", 1, F.size("_folder") - 1), "/")).alias("setup"), F.url_decode(F.element_at("_folder", -1)).alias("case"), "run", "kind", "text"

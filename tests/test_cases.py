@@ -76,3 +76,15 @@ def test_matched_results(spark):
     last = lambda c: logs.last_results(logs.results_with_summary(F.col(c)))
     row = df.select(logs.matched_results(last("pre"), last("post")).alias("m")).first()
     assert [tuple(x) for x in row.m] == [("a::x", "FAILED", "PASSED"), ("b::y", "PASSED", "FAILED")]
+
+
+def test_packed_folders_read_like_files(spark, tmp_path):
+    case(tmp_path / "s" / "c 1")
+    run(tmp_path / "s" / "c 1", 3, LOG.format(a="FAILED"), LOG.format(a="PASSED"))
+    put(tmp_path / "s" / "c 1", notes_dot_txt="not read", run__meta_dot_json="{}")
+    names = ["path", "text"]
+    rows = [(f.as_uri().replace("file:///", "file:/"), f.read_text()) for f in (tmp_path / "s").rglob("*") if f.is_file()]
+    spark.createDataFrame(rows, names).write.parquet(str(tmp_path / "packed"))
+    packed, files = cases.read_packed_cases(spark, str(tmp_path / "packed")), cases.read_case_files(spark, str(tmp_path / "s"))
+    assert sorted(map(tuple, packed.collect()), key=str) == sorted(map(tuple, files.collect()), key=str)
+    assert [r.case for r in cases.case_instances(cases.case_rows(packed)).collect()] == ["c 1"]
