@@ -33,3 +33,12 @@ def test_grouped_selection_needs_one_shuffle(spark):
     v = Views(spark, SF_DIR)
     assert plan(selection.by_model(v.cands())).count("Exchange hashpartitioning") == 1
     assert plan(votes.keep_or_reject(v.votes())).count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("name", "a02_patch_stats a07b_edited_lines_switches f25_filter_funnel w07_minimal_hunks x06_round_trip x07_code_test_split".split())
+def test_patches_are_not_cut_into_lines(spark, name):
+    """Cells are made without lambdas and read by file or hunk: no array of lines, no fold over them."""
+    made = Views(spark, SF_DIR).patches()._jdf.queryExecution().optimizedPlan().toString()
+    read = catalog.registered()[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in made
+    assert ", \n, -1)" not in read and "aggregate(split" not in read

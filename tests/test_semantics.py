@@ -54,6 +54,13 @@ def test_round_trip(spark):
     assert one(spark, P.render(F.lit(body))) == body
 
 
+def test_round_trip_of_odd_lines(spark):
+    head = "diff --git a/x b/x\n--- a/x\n+++ b/x\n"
+    odd = "junk\n" + head + "who\n@@ -007,03 +00 @@   f @@\n\\No end\n\n-a\nlost\n@@ bad\n+b\n@@ -1 +1 @@ \n"
+    assert one(spark, P.render(F.lit(odd))) == head + "@@ -7,3 +0 @@ f @@\n\\ o end\n \n-a\n+b\n@@ -1 +1 @@\n "
+    assert one(spark, P.render(F.lit("no patch"))) == ""
+
+
 def test_line_numbers(spark):
     df = spark.createDataFrame([(1, PATCH)], "id int, patch string")
     rows = diffs.line_numbers(diffs.diff_lines(df, ["id"]), ["id"]).orderBy("file_no", "hunk_no", "at").collect()
