@@ -92,7 +92,8 @@ def cover(first: Column, last: Column, width: int = LINES, top: int = 62) -> Col
         return F.when(level == top, every).otherwise(ends)
 
     levels = F.sequence(F.lit(0), F.least(F.floor(F.log2((b - a).cast("double"))).cast("int"), F.lit(top)))
-    return F.flatten(F.transform(levels, lambda k: F.transform(at(k), lambda n: F.struct(k.alias("level"), n.alias("node")))))
+    nodes = F.flatten(F.transform(levels, lambda k: F.transform(at(k), lambda n: F.struct(k.alias("level"), n.alias("node")))))
+    return F.when(b == a + 1, F.array(F.struct(F.lit(0).alias("level"), a.alias("node")))).otherwise(nodes)
 
 
 def ancestors(place: Column, levels: Column, width: int = LINES) -> Column:
