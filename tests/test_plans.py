@@ -42,3 +42,11 @@ def test_patches_are_not_cut_into_lines(spark, name):
     read = catalog.registered()[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in made
     assert ", \n, -1)" not in read and "aggregate(split" not in read
+
+
+def test_sources_are_cut_into_lines_where_they_are(spark):
+    """Spans of a source are found once, and files are dealt before they become lines."""
+    requests = catalog.registered()["x26c_issue_requests"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert requests.count("Generate posexplode(arrays_zip(") == 1
+    spans = plan(catalog.registered()["w15_entity_spans"](spark, SF_DIR))
+    assert spans.count("Exchange") == 1 and "REPARTITION_BY_NUM" in spans
