@@ -50,3 +50,10 @@ def test_sources_are_cut_into_lines_where_they_are(spark):
     assert requests.count("Generate posexplode(arrays_zip(") == 1
     spans = plan(catalog.registered()["w15_entity_spans"](spark, SF_DIR))
     assert spans.count("Exchange") == 1 and "REPARTITION_BY_NUM" in spans
+
+
+@pytest.mark.parametrize("name,reads", [("w08b_assign_tests", 2)])
+def test_sub_instances_read_their_files_once(spark, name, reads):
+    """Code and test files of a commit meet once: the window over its files is not made again for each rule."""
+    text = catalog.registered()[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation [") <= reads

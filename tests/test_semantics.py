@@ -241,3 +241,12 @@ def test_full_resolution(spark):
     got = {r.instance_id: (r.total_tests, r.f2p_passed, r.f2p_total, r.p2p_passed, r.p2p_total) for r in scores.collect()}
     assert got == {"a": (2, 1, 1, 1, 1), "b": (2, 1, 1, 0, 1), "c": (2, 1, 1, 0, 1), "d": (1, 0, 0, 0, 0), "e": (0, 0, 1, 0, 1)}
     assert {r.instance_id for r in evaluate.fully_resolved(scores).collect() if r.reward == 1.0} == {"a"}
+
+
+def test_dealt_tests(spark):
+    """A test goes to each group it matches by stem or directory, else to group 0; small commits take no part."""
+    files = [(1, i + 1, p) for i, p in enumerate(["src/a.py", "lib/b.py", "lib/c.py", "a.py", "src/a.py", "x/d.py", "x/e.py"])] + [(2, 1, "src/a.py"), (None, 1, "src/a.py")]
+    groups = instances.decompose(spark.createDataFrame(files, "n int, file_pos int, path string"), "n")
+    tests = spark.createDataFrame([(1, "t/test_a.py"), (1, "t/test_a.py"), (1, "x/tests/test_q.py"), (1, "test_none.py"), (1, None), (2, "t/test_a.py"), (3, "t/test_a.py")], "n int, path string")
+    got = sorted(map(tuple, instances.assign_tests(groups, tests, "n").collect()), key=str)
+    assert got == sorted([(1, 0, "t/test_a.py", True), (1, 1, "t/test_a.py", True), (1, 1, "x/tests/test_q.py", True), (1, 0, "test_none.py", False), (1, 0, None, False)], key=str)
