@@ -52,7 +52,7 @@ def test_sources_are_cut_into_lines_where_they_are(spark):
     assert spans.count("Exchange") == 1 and "REPARTITION_BY_NUM" in spans
 
 
-@pytest.mark.parametrize("name,reads", [("w08b_assign_tests", 2)])
+@pytest.mark.parametrize("name,reads", [("w08b_assign_tests", 2), ("w08c_sub_instances", 4)])
 def test_sub_instances_read_their_files_once(spark, name, reads):
     """Code and test files of a commit meet once: the window over its files is not made again for each rule."""
     text = catalog.registered()[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()

@@ -250,3 +250,17 @@ def test_dealt_tests(spark):
     tests = spark.createDataFrame([(1, "t/test_a.py"), (1, "t/test_a.py"), (1, "x/tests/test_q.py"), (1, "test_none.py"), (1, None), (2, "t/test_a.py"), (3, "t/test_a.py")], "n int, path string")
     got = sorted(map(tuple, instances.assign_tests(groups, tests, "n").collect()), key=str)
     assert got == sorted([(1, 0, "t/test_a.py", True), (1, 1, "t/test_a.py", True), (1, 1, "x/tests/test_q.py", True), (1, 0, "test_none.py", False), (1, 0, None, False)], key=str)
+
+
+def test_sub_instance_cells(spark):
+    """A diff stands once in each group of its file, in order of ``at``; unmatched tests come last in group 0."""
+    files = [(1, i + 1, p) for i, p in enumerate(["b.py", "a.py", "b.py", None, "b.py", "gone.py", "c.py"])] + [(2, 1, "b.py")]
+    groups = instances.decompose(spark.createDataFrame(files, "n int, file_pos int, path string"), "n")
+    code = spark.createDataFrame([(n, p, at, f"diff {p}") for n in (1, 2, 3) for p, at in (("a.py", 1), ("b.py", 2), ("c.py", 3), ("other.py", 4))], "n int, path string, at int, diff string")
+    tests = spark.createDataFrame([(n, p, p, f"test {p}") for n in (1, 2) for p in ("a_none.py", "test_b.py", "test_c.py")], "n int, path string, at string, diff string")
+    got = {(r.n, r.group_no): (r.patch_context, r.patch, r.test_patch) for r in instances.sub_instances(groups, code, tests, "n").collect()}
+    assert got == {
+        (1, 0): (["b.py", "a.py", "b.py", None], "diff a.py\ndiff b.py\n", "test test_b.py\ntest a_none.py\n"),
+        (1, 1): (["b.py", "gone.py", "c.py"], "diff b.py\ndiff c.py\n", "test test_b.py\ntest test_c.py\n"),
+        (2, None): (["b.py"], "diff b.py\n", "test a_none.py\ntest test_b.py\ntest test_c.py\n"),
+    }
