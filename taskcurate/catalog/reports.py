@@ -74,8 +74,9 @@ def floor_shares(v: Views):
 WITH s AS (SELECT number, pos, count(*) FILTER (line LIKE '+%' OR line LIKE '-%') AS size FROM v_lines GROUP BY ALL)
 SELECT repo, id, size, row_number() OVER (PARTITION BY repo ORDER BY size, id) AS place FROM (SELECT repo, number || '-' || pos AS id, size FROM s JOIN v_pulls USING (number))""")
 def ranked_by_size(v: Views):
-    df = v.patches().join(v.pulls().select("number", "repo"), "number")
-    df = df.select("repo", F.concat_ws("-", F.col("number").cast("string"), F.col("pos").cast("string")).alias("id"), P.n_changed(F.col("patch")).cast("long").alias("size"))
+    sizes = v.patches().select("number", "pos", P.n_changed(F.col("patch")).cast("long").alias("size"))  # patches stay in their row
+    df = sizes.join(v.pulls().select("number", "repo"), "number")
+    df = df.select("repo", F.concat_ws("-", F.col("number").cast("string"), F.col("pos").cast("string")).alias("id"), "size")
     return R.ranked_by_size(df, "repo", "size", "id")
 
 

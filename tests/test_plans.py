@@ -1,5 +1,7 @@
 """What physical plans may and may not hold."""
 
+import re
+
 import pytest
 
 from taskcurate import catalog
@@ -57,3 +59,9 @@ def test_sub_instances_read_their_files_once(spark, name, reads):
     """Code and test files of a commit meet once: the window over its files is not made again for each rule."""
     text = catalog.registered()[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Relation [") <= reads
+
+
+def test_patches_are_measured_where_they_are(spark):
+    """Only the size of a patch is joined, not its text."""
+    text = catalog.registered()["t02_ranked_by_size"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in text and not re.search(r"Join [^\n]*\n[ :+-]*Generate explode\(array\(patch", text)
