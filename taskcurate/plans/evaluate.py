@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import logs as L
 from ..operators import reports, testlogs
 
+LISTS = ("FAIL_TO_PASS", "PASS_TO_PASS")
 SCORES = ("total_tests", "total_passed", "f2p_total", "f2p_passed", "p2p_total", "p2p_passed")
 
 
@@ -25,22 +26,7 @@ def list_scores(results: DataFrame, lists: DataFrame) -> DataFrame:
     the dataset's lists (instance_id, list, test_id).  An instance without
     lists is scored by the names of its tests.
     """
-    passed = F.coalesce(F.col("status") == "PASSED", F.lit(False))
-
-    def counts(of: dict[str, object]) -> list:
-        return [c for n, is_in in of.items() for c in (F.count_if(is_in).alias(f"{n}_total"), F.count_if(is_in & passed).alias(f"{n}_passed"))]
-
-    named = {n: F.col("test_id").contains(f"test_{n}_") for n in ("f2p", "p2p")}
-    seen = results.groupBy("instance_id").agg(F.count(F.lit(1)).alias("total_tests"), F.count_if(passed).alias("total_passed"), *counts(named))
-    listed = {"f2p": F.col("list") == "FAIL_TO_PASS", "p2p": F.col("list") == "PASS_TO_PASS"}
-    wanted = lists.join(results, ["instance_id", "test_id"], "left").groupBy("instance_id").agg(*counts(listed))
-    both = seen.withColumnsRenamed({c: f"_{c}" for c in SCORES[2:]}).join(wanted, "instance_id", "full_outer")
-    has_list = F.coalesce(F.col("f2p_total") + F.col("p2p_total"), F.lit(0)) > 0
-    zero = F.lit(0).cast("long")
-    return both.select(
-        "instance_id", *[F.coalesce(c, zero).alias(c) for c in SCORES[:2]],
-        *[F.coalesce(F.when(has_list, F.col(c)).otherwise(F.col(f"_{c}")), zero).alias(c) for c in SCORES[2:]],
-    )
+    return testlogs.score_against_lists(results, lists.filter(F.col("list").isin(*LISTS)), "instance_id")
 
 
 def fully_resolved(scores: DataFrame) -> DataFrame:
@@ -57,9 +43,16 @@ def buckets(dataset: DataFrame, lists: DataFrame, predictions: DataFrame, runs:
     without tests where they must come from the log.  Resolved means that the
     patch applied and the tests ended with exit code 0.
     """
-    results = testlogs.results_table(runs, ["instance_id"], L.full_results)
-    found = runs.select("instance_id", "reported", F.coalesce(F.col("patch_applied") & (F.col("exit_code") == 0), F.lit(False)).alias("resolved"))
-    parsed = found.join(list_scores(results, lists.join(found, "instance_id", "left_semi")), "instance_id", "left")
+    found = runs.select(
+        "instance_id", "reported", F.coalesce(F.col("patch_applied") & (F.col("exit_code") == 0), F.lit(False)).alias("resolved"), L.last_results(L.full_results(F.col("log"))).alias("_results")
+    )
+    asked = lists.filter(F.col("list").isin(*LISTS)).groupBy("instance_id").agg(F.collect_list(F.struct("test_id", "list")).alias("_lists"))
+    none = F.array().cast("array<struct<test_id:string,list:string>>")
+    # a log is read once; its results and the lists of its instance, a cell each, stay in one task
+    rows = found.join(asked, "instance_id", "left").select(
+        "instance_id", "reported", "resolved", F.inline_outer(testlogs.score_rows(F.col("_results"), F.coalesce("_lists", none)))
+    )
+    parsed = testlogs.scores_of(rows, ["instance_id", "reported", "resolved"])
     trusted = F.coalesce(F.col("reported.total_tests") > 0, F.lit(False))
     scored = parsed.select("instance_id", "resolved", *[F.when(trusted, F.col(f"reported.{c}")).otherwise(F.coalesce(c, F.lit(0).cast("long"))).alias(c) for c in SCORES])
     return reports.run_buckets(dataset, predictions, scored).join(stats, "instance_id", "left")

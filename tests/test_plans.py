@@ -70,3 +70,9 @@ def test_patches_are_measured_where_they_are(spark):
 def test_scores_meet_their_lists_in_one_group(spark):
     text = catalog.registered()["a21_score_against_lists"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in text and text.count("Relation [") == 2
+
+
+def test_logs_are_read_once_for_a_report(spark):
+    """One pass makes the scores, one the lists; ids come without the logs."""
+    text = catalog.registered()["c03_evaluation_report"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Generate explode(array(log#") == 2
