@@ -85,7 +85,9 @@ def file_paths(patch: Column) -> Column:
 
 
 def is_readme_only(patch: Column) -> Column:
-    return let(files(patch), lambda segs: (F.size(segs) > 0) & F.forall(segs, lambda s: paths.is_readme(file_path(s))))
+    """Read off the header lines without cutting the patch: there is one, and none whose file name begins otherwise."""
+    other = r"(?:\A|\n)diff --git a/(?!(?:[^\n]*/)?(?i:readme)[^\n/]*(?:\n|\z))(?![^\n]* b/ +(?i:readme)[^\n/]*(?:\n|\z))"
+    return (patch.startswith(FILE_HEAD) | patch.contains("\n" + FILE_HEAD)) & ~patch.rlike(other)
 
 
 def select_files(patch: Column, keep) -> Column:

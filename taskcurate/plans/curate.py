@@ -46,10 +46,11 @@ def instance_table(pulls: DataFrame, commits: DataFrame, patches: DataFrame, cut
 def task_instances(pulls: DataFrame, commits: DataFrame, patches: DataFrame, seen: DataFrame | None = None, cutoff: Column | None = None) -> DataFrame:
     """Task instances with code and test patch and their linked issues counted."""
     rows, p = candidate_rows(pulls, commits, patches, seen, cutoff), F.col("patch")
+    rows = rows.withColumn("_code", F.explode(F.array(P.code_part(p))))  # made once, for candidates only: the filter below is not pushed under their join
     out = rows.select(
         paths.instance_id(F.col("repo"), F.col("number"), F.col("sha")).alias("instance_id"), "repo", "number", "pos", "created_at", "n_issues",
         titles.statement_from_pull(F.col("title"), F.col("body")).alias("problem_statement"),
-        P.code_part(p).alias("patch"), P.test_part(p).alias("test_patch"),
+        F.col("_code").alias("patch"), P.test_part(p).alias("test_patch"),
     )
     return out.filter("patch <> ''")
 

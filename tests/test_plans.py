@@ -76,3 +76,9 @@ def test_logs_are_read_once_for_a_report(spark):
     """One pass makes the scores, one the lists; ids come without the logs."""
     text = catalog.registered()["c03_evaluation_report"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Generate explode(array(log#") == 2
+
+
+def test_code_parts_are_made_once(spark):
+    """Only candidates are cut into code and tests, and once: not in a filter below their join too."""
+    text = catalog.registered()["c02_judged_instances"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"lambdafunction\(NOT RLIKE\(lower\(substring_index", text)) == 1 and "forall" not in text

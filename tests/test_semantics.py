@@ -278,3 +278,12 @@ def test_score_against_lists(spark):
     )
     got = sorted(tuple(r) for r in testlogs.score_against_lists(results, lists).collect())
     assert got == [("a", 4, 3, 2, 1, 2, 1), ("b", 0, 0, 1, 0, 0, 0), ("c", 2, 1, 2, 1, 1, 0), ("d", 1, 0, 0, 0, 0, 0)]
+
+
+@pytest.mark.parametrize("heads", ["a/README.md b/README.md", "a/x/y b/docs/readme", "a/README b/src/a.py", "a/a.py b/ README", "a/q b/x/ README", "a/README", "a/d/ReadMe.rst b/d/ReadMe.rst  |a/README b/README", "a/README b/README|a/a.py b/a.py", "a/readme/a b/readme/a", "a/README b/READM"])
+def test_readme_only(spark, heads):
+    patch = "text diff --git a/z b/z\n" + "\n".join(f"diff --git {h}\n--- {h}\n@@ -1 +1 @@\n+/README" for h in heads.split("|"))
+    segments = F.filter(F.split(F.lit(patch), "\n(?=diff --git a/)"), lambda s: s.startswith("diff --git a/"))
+    want = F.forall(segments, lambda s: paths.is_readme(P.file_path(s)))
+    assert one(spark, P.is_readme_only(F.lit(patch))) is one(spark, want)
+    assert one(spark, P.is_readme_only(F.lit("no header"))) is False
