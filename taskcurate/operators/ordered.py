@@ -154,15 +154,24 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
+#: A group of no more rows than this is ranked by one window; only larger ones are cut into blocks.
+WHOLE = 4096
+
+
 def top_rows(df: DataFrame, keys: Sequence[str], score: str, tie: str, tie_block: Column, size_of: Callable[[Column], Column]) -> DataFrame:
     """The best rows of each group by falling ``score`` (rows without one come last), ties by rising ``tie``.
 
-    ``size_of`` turns the group size into the number of rows wanted.
+    ``size_of`` turns the group size into the number of rows wanted.  Rows are dealt by
+    their keys once; the rows of groups of more than ``WHOLE`` move on, block by block.
     """
-    keys = list(keys)
-    ranked = numbered(df, keys, [F.col(score).desc(), F.col(tie)], [-log_bucket(F.col(score)), -_value_first(F.col(score)), tie_block], "_rank")
-    sized = same_group(ranked, df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")), keys)
-    return sized.filter(F.col("_rank") <= size_of(F.col("_size"))).select(*df.columns)
+    keys, order = list(keys), [F.col(score).desc(), F.col(tie)]
+    rows = df.withColumn("_keys", F.struct(*keys))  # null keys are equal in it
+    large = rows.groupBy("_keys").agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > WHOLE)
+    group = Window.partitionBy("_keys")
+    few = rows.join(large, "_keys", "left_anti").withColumns({"_rank": F.row_number().over(group.orderBy(*order)).cast("long"), "_size": F.count(F.lit(1)).over(group)})
+    many = rows.join(large, "_keys")
+    many = numbered(many, keys, order, [-log_bucket(F.col(score)), -_value_first(F.col(score)), tie_block], "_rank")
+    return few.unionByName(many).filter(F.col("_rank") <= size_of(F.col("_size"))).select(*df.columns)
 
 
 def _value_first(value: Column) -> Column:

@@ -72,6 +72,24 @@ def test_ranks_with_nulls_and_nan(spark, rows):
     assert {r.i for r in top.collect()} == best
 
 
+def test_only_large_groups_are_cut_into_blocks(spark, monkeypatch):
+    """Small groups are ranked by one window, whatever their size the rows are the same; null keys are a group."""
+    r = random.Random(12)
+    rows = [(k, i, r.choice((None, 0.5, float("nan"), float(r.randrange(9))))) for i, k in enumerate(r.choices(["a", "b", "c", None], [9, 3, 1, 2], k=90))]
+    want = set()
+    for k in {x[0] for x in rows}:
+        group = sorted(sorted((x for x in rows if x[0] == k), key=lambda x: x[1]), key=lambda x: rising(x[2]), reverse=True)
+        want |= {x[1] for x in group[: max(1, len(group) // 2)]}
+    df = spark.createDataFrame(rows, "k string, i long, v double")
+    for whole in (4096, 20, 0):
+        monkeypatch.setattr(O, "WHOLE", whole)
+        top = O.top_rows(df, ["k"], "v", "i", F.floor(F.col("i") / 4), lambda n: F.greatest(F.lit(1), F.floor(n / 2)))
+        assert top.columns == df.columns and {x.i for x in top.collect()} == want
+        if whole == 4096:
+            ran = top._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            assert ran.count("Exchange hashpartitioning") <= 3
+
+
 @pytest.mark.parametrize("offset", [0.0, 1.7e9])
 def test_percentiles(spark, offset):
     probs = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p95": 0.95, "p100": 1.0}
