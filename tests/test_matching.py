@@ -83,6 +83,21 @@ def test_hunk_owners_over_long_spans(spark):
     assert {x.h: x.owner for x in got.collect()} == want
 
 
+def test_hunks_move_as_one_row(spark):
+    """Nested and equal spans, repeated ids, missing numbers: each hunk meets the spans of its file once."""
+    r = random.Random(3)
+    spans = [(r.choice("fg"), "function", r.choice("abc") + str(i % 5), a, r.choice((None, a, a - 3, a + 9, a + 400))) for i, a in enumerate(r.choice((None, *range(1, 300))) if i % 9 == 0 else r.randrange(1, 300) for i in range(50))]
+    hunks = [(r.choice((None, *range(40))), r.choice(("f", "g", "h", None)), r.choice((None, 5, 90, 200, 700)), r.choice((None, 7, 90, 150, 800))) for _ in range(90)]
+    got = E.hunk_owners(spark.createDataFrame(hunks, "h int, path string, first_line long, last_line long"), spark.createDataFrame([*spans, ("f", "method", None, 1, 999)], "path string, kind string, name string, start_line long, end_line long"), ["h"], ["path"])
+    want = {}
+    for h, f, a, b in hunks:
+        if a is not None:
+            hit = [(s, n) for g, _, n, s, e in spans if f == g and s is not None and s <= max(a, b or a) and max(s, e or s) >= a]
+            want.setdefault(h, []).extend(hit)
+    assert sorted((str(x.h), x.owner) for x in got.collect()) == sorted((str(h), min(hit)[1] if hit else None) for h, hit in want.items())
+    assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_small_groups_are_not_cut(spark):
     """Few texts looked for in a group: outer texts stay whole rows; many: the same matches by parts."""
     r = random.Random(4)
