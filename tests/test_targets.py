@@ -56,6 +56,19 @@ def test_targets_by_rule(spark):
     assert {rule for t in want.values() for rule, _ in t} == {"test_patch", "name", "parent", "folder"}
 
 
+def test_targets_meet_once(spark):
+    """The rules between the targets of an instance need no joins; rows that come twice count once, rows without an instance keep all."""
+    code = [(1, "r", "lib/a.py"), (1, "r", "lib/a.py"), (2, "r", "lib/a.py"), (None, "r", "lib/a.py"), (None, "r", "x/tests/util.py"), (3, "r", "x/tests/util.py"), (3, "r", "lib/a.py")]
+    tests = [("r", "x/tests/test_a.py"), ("r", "x/tests/test_a.py"), ("r", "y/test_b.py")]
+    schema = "id int, repo string, path string"
+    df = I.test_targets(spark.createDataFrame(code, schema), spark.createDataFrame(tests, "repo string, path string"), spark.createDataFrame([(2, "r", "z/test_b.py"), (2, "r", "q/test_b.py")], schema), "id")
+    a, folder = "x/tests/test_a.py", "x/tests"
+    want = [(1, "name", a), (2, "test_patch", "y/test_b.py"), (3, "folder", folder), (None, "folder", folder), (None, "name", a)]
+    assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, want))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline(") == 1
+
+
 def test_version_by_the_first_file_that_tells(spark):
     instances = spark.createDataFrame(
         [(1, "psf/requests", 1, "c1"), (2, "psf/requests", 2, "c2"), (3, "tqdm/tqdm", 3, "c3"), (4, "pyca/cryptography", 8390, "c4"), (5, "nobody/else", 5, "c5"), (6, "tqdm/tqdm", 6, "c6"), (7, "django/django", 7, "c7")],
