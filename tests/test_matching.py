@@ -125,6 +125,18 @@ def test_touched_entities_against_all_pairs(spark):
     assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_edits_are_bits(spark):
+    """Lines and spans at the edges of a row of bits; spans without an end or that end before they start; nothing is collected."""
+    edges = [0, 1, 62, 63, 64, 65, 127, 128, 191, 192, 1000]
+    lines = [(i, "p", k, n if k == "deleted" else None, n if k == "added" else None) for i, (k, n) in enumerate((k, n) for k in ("deleted", "added") for n in [*edges, None])]
+    spans = [("p", "function", f"{v}{a}-{b}", v, a, b) for v in ("old", "new") for a in edges for b in [*edges, None]]
+    got = E.touched_entities(spark.createDataFrame(lines, "c int, path string, type string, old_line int, new_line int"), spark.createDataFrame(spans, "path string, kind string, name string, version string, start_line int, end_line int"), ["c"])
+    at = lambda o, w: w if o is None else o
+    want = {(c, n) for c, _, k, o, w in lines for _, _, n, v, a, b in spans if (k == "deleted") == (v == "old") and b is not None and at(o, w) is not None and a <= at(o, w) <= b}
+    assert sorted((x.c, x.name) for x in got.collect()) == sorted(want)
+    assert "collect_set" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_test_entities_are_read_once(spark):
     rows = spark.createDataFrame([(1, "t", "function", "f", "added"), (1, "s", "function", "f", "added"), (2, "t", "function", "g", "deleted")], "c int, path string, kind string, name string, status string")
     got = E.test_entities(rows, ["c"], F.col("path") == "t")

@@ -287,3 +287,16 @@ def test_readme_only(spark, heads):
     want = F.forall(segments, lambda s: paths.is_readme(P.file_path(s)))
     assert one(spark, P.is_readme_only(F.lit(patch))) is one(spark, want)
     assert one(spark, P.is_readme_only(F.lit("no header"))) is False
+
+
+def test_hunk_headers_against_the_pattern(spark):
+    """Numbers are cut from a header that fits the pattern as a whole; others have none."""
+    import re
+
+    lines = ["@@ -1,2 +3,4 @@ def f", "@@ -1 +3 @@", "@@ -01,0 +3 @@x, y +9,9 @@", "@@ -1,2 +3,4 @", "@@ -1, +3 @@", "@@ -1,2  +3,4 @@", " @@ -1 +2 @@", "@@ -a,2 +3 @@", "@@ -1 +2,5 @@  a b", "@@ @@", "", "@@ -1,2,3 +4 @@", "@@ -1 -2 @@", None]
+    df = spark.createDataFrame([(x,) for x in lines], "l string").select("l", P.hunk_header(F.col("l")).alias("h"))
+    for row in df.collect():
+        m = row.l is not None and re.match(r"@@ -(\d+)(?:,(\d+))? \+(\d+)(?:,(\d+))? @@(.*)", row.l)
+        want = [*(None if x is None else int(x) for x in m.groups()[:4]), m[5].lstrip(" ")] if m else [None] * 4 + [None if row.l is None else ""]
+        assert list(row.h) == want, row.l
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") == 1
